@@ -21,19 +21,21 @@ FIELD_PATTERNS = (
 )
 
 
+def _found(field: Column, pattern: str | None, tags: dict[str, int], rest: int) -> Column:
+    def capture(group: int | None) -> Column:
+        return (F.lit(None).cast("string") if group is None
+                else F.regexp_extract(field, pattern, group))
+    left_over = field if pattern is None else capture(rest)
+    return F.struct(F.struct(*[capture(tags.get(t)).alias(t) for t in FIELD_TAGS]).alias("tags"),
+                    left_over.alias("field"))
+
+
 def tag_samza_field(group: Column, field: Column) -> Column:
-    """The field name left over and the tags found in it (null where not found)."""
-    plain = F.struct(*[F.lit(None).cast("string").alias(t) for t in FIELD_TAGS],
-                     field.alias("field"))
-    result = None
+    """The tags found in a field's name (null where not found) and the name left over, as a
+    struct (tags, field)."""
+    plain = _found(field, None, {}, 0)
+    # every pattern needs a dash
+    result = F.when(~group.startswith(GROUP_PREFIX) | ~field.contains("-"), plain)
     for pattern, tags, rest in FIELD_PATTERNS:
-        found = F.struct(
-            *[(F.regexp_extract(field, pattern, tags[t]) if t in tags
-               else F.lit(None).cast("string")).alias(t) for t in FIELD_TAGS],
-            F.regexp_extract(field, pattern, rest).alias("field"))
-        matches = field.rlike(pattern)
-        if result is None:
-            result = F.when(~group.startswith(GROUP_PREFIX), plain).when(matches, found)
-        else:
-            result = result.when(matches, found)
+        result = result.when(field.rlike(pattern), _found(field, pattern, tags, rest))
     return result.otherwise(plain)

@@ -175,7 +175,7 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
 
     # from block to block: one fold per rate over the blocks of a key
     entry = F.struct("_block", "_last", *names)
-    blocks = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_blocks"))
+    blocks = ends.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_blocks"))
 
     def carry(done: Column, b: Column) -> Column:
         before = F.element_at(done, -1)

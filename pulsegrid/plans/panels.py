@@ -10,7 +10,8 @@ the panels are defined, also the one that is titled a mean.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,12 @@ class Target:
     field: str
     alias: str = "$col"
     name: str | None = None
-    measurement: str | None = None
     negative: bool = False
 
+    @property
+    def column(self) -> str:
+        return self.name or self.how
+
 
 @dataclass(frozen=True)
 class Panel:
@@ -42,6 +46,7 @@ class Panel:
     by: tuple[str, ...] = ()
     group: str | None = None
     by_topic: bool = False
+    per_broker: bool = False
     width: int | str = "scan"
     reduce: str | None = None
     levels: tuple[float, float] | None = None
@@ -56,14 +61,13 @@ class Range:
     interval: int | str = 10
     topics: str = ALL
     max_points: int = 100
-    seconds: int = field(default=0, compare=False)
 
     def width(self, panel: Panel) -> int:
         if panel.width == "scan":
             return interval_seconds(self.interval)
         if panel.width == "auto":
-            return auto_interval(self.seconds, self.max_points) if self.seconds else interval_seconds(
-                self.interval)
+            length = datetime.fromisoformat(self.end) - datetime.fromisoformat(self.start)
+            return auto_interval(length.total_seconds(), self.max_points)
         return interval_seconds(panel.width)
 
 
@@ -95,16 +99,16 @@ PANELS = {
                  group="kafka.network", reduce="avg"),
     "Q12": Panel("Num.delayed Operations", "NumDelayedOperations",
                  (Target("max", "Value"), Target("median", "Value"), Target("min", "Value")),
-                 ("service",), width="auto"),
+                 ("service",), per_broker=True, width="auto"),
     "Q13": Panel("Log Flush Time (mean)", "LogFlushRateAndTimeMs",
                  (Target("sum", "999thPercentile", name="999thPercentile"),
                   Target("sum", "99thPercentile", name="99thPercentile"),
                   Target("sum", "95thPercentile", name="95thPercentile")),
-                 ("service",), "kafka.log", width="30s", levels=(100, 250)),
+                 ("service",), "kafka.log", per_broker=True, width="30s", levels=(100, 250)),
     "Q14": Panel("Throughput", "BytesOutPerSec", _rate("Output", negative=True), ("service",),
-                 by_topic=True, width="auto"),
+                 by_topic=True, per_broker=True, width="auto"),
     "Q15": Panel("Throughput", "BytesInPerSec", _rate("Input"), ("service",), by_topic=True,
-                 width="auto"),
+                 per_broker=True, width="auto"),
 }
 
 
@@ -115,14 +119,14 @@ def panel_filter(df: DataFrame, panel: Panel, asked: Range) -> Column:
         keep &= tag_eq(df, "group", panel.group)
     if panel.by_topic:
         keep &= tag_re(df, "topic", asked.topics)
-    if panel.width != "scan" and "service" in panel.by or panel.title.startswith("Throughput"):
+    if panel.per_broker:
         keep &= tag(df, "service").isNotNull()
     return keep
 
 
 def panel_table(df: DataFrame, panel: Panel, asked: Range, width: int | None = None,
                 fill: bool = True) -> DataFrame:
-    """The panel as one row per bucket and key, with a column per target (Target.name or how)."""
+    """The panel as one row per bucket and key, with a column per target (its name, or how)."""
     width = width or asked.width(panel)
     fields = list(dict.fromkeys(t.field for t in panel.targets))
     # flat columns first: over these, filters and pruning reach the scan where the tags and
@@ -132,12 +136,12 @@ def panel_table(df: DataFrame, panel: Panel, asked: Range, width: int | None = N
         *[F.col("fields")[f].alias(f"_{f}") for f in fields])
     present = F.coalesce(*[F.col(f"_{f}") for f in fields]).isNotNull()
     table = buckets.bucket_agg(rows.filter(present), width, list(panel.by),
-                               {t.name or t.how: (t.how, f"_{t.field}") for t in panel.targets})
+                               {t.column: (t.how, f"_{t.field}") for t in panel.targets})
     if fill:
         table = buckets.fill_null(table, asked.start, asked.end, width, list(panel.by))
     for t in panel.targets:
         if t.negative:
-            table = table.withColumn(t.name or t.how, -F.col(t.name or t.how))
+            table = table.withColumn(t.column, -F.col(t.column))
     return table
 
 
@@ -145,7 +149,7 @@ def panel_series(df: DataFrame, panel: Panel, asked: Range, width: int | None =
                  fill: bool = True) -> DataFrame:
     """The panel as shown: bucket, its keys, the series label, value, and level if it has any."""
     table = panel_table(df, panel, asked, width, fill)
-    names = [t.name or t.how for t in panel.targets]
+    names = [t.column for t in panel.targets]
     rows = buckets.unpivot_aggregates(table, list(panel.by), names)
     tags = {k: F.col(k) for k in panel.by}
     label = None
@@ -162,7 +166,7 @@ def panel_number(df: DataFrame, panel: Panel, asked: Range, width: int | None =
     """A panel that shows one number per series: ``current`` or ``avg`` over the buckets."""
     if panel.reduce is None:
         raise ValueError(f"{panel.title} shows series, not numbers")
-    name = panel.targets[0].name or panel.targets[0].how
+    name = panel.targets[0].column
     # empty buckets do not count for either, so they need not be made
     table = panel_table(df, panel, asked, width, fill=False)
     return buckets.series_reduce(table, list(panel.by), name, panel.reduce).withColumnRenamed(name, "value")

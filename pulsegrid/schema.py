@@ -30,7 +30,7 @@ MEASUREMENT_COLUMNS = [f.name for f in MEASUREMENT.fields]
 
 def tag_entries(tags: Column | str = "tags") -> Column:
     """Tags as a sorted list of pairs: a map can be neither hashed nor joined on, this can."""
-    return F.array_sort(F.map_entries(tags))
+    return F.sort_array(F.map_entries(tags))
 
 
 def series_key(name: Column | str = "name", tags: Column | str = "tags") -> Column:

@@ -276,12 +276,18 @@ def _encode(ms: pa.Array, name: pa.Array, tags: pa.Array, fields: pa.Array) -> p
     return encode_batch(ms, name, tags, fields)
 
 
+# Both are pure. They are declared otherwise so that a filter on their result is not moved
+# before them, which would run them a second time.
+_decode_once = _decode.asNondeterministic()
+_encode_once = _encode.asNondeterministic()
+
+
 def decode_avro_v1(value: Column | str = "value") -> Column:
     """Binary record to struct (ms, name, tags, fields, error). The magic byte is not looked at."""
-    return _decode(value)
+    return _decode_once(value)
 
 
 def encode_avro_v1(df: DataFrame, column: str = "value") -> DataFrame:
     """Add the binary record of each measurement. Null values in a map are left out."""
     present = [F.map_filter(m, lambda _k, v: v.isNotNull()) for m in ("tags", "fields")]
-    return df.withColumn(column, _encode(F.unix_millis("ts"), F.col("name"), *present))
+    return df.withColumn(column, _encode_once(F.unix_millis("ts"), F.col("name"), *present))

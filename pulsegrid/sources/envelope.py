@@ -37,7 +37,11 @@ def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
                            .when(kind == "json", snapshot_error())
                            .when(kind == "registry", "schema registry records are not supported")
                            .otherwise(unknown))
-    rows = explode_parsed(rows.drop(value, "_text"))
+    # rows pass through a generator here: a filter on the error is not moved before it, which
+    # would decode every record a second time
+    parsed = ["_kind", "_binary", "_header", "_metrics", "error"]
+    rows = rows.select(*others, F.explode(F.array(F.struct(*parsed))).alias("_parsed"))
+    rows = explode_parsed(rows.select(*others, *[f"_parsed.{c}" for c in parsed]))
     rows = rows.filter((kind != "json") | F.col("error").isNotNull() | F.col("_run").isNotNull())
 
     def pick(binary: Column, json: Column) -> Column:

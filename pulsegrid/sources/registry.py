@@ -27,14 +27,11 @@ SINGLE_VALUE_KINDS = ("client", "gauge")
 
 def kind_fields() -> Column:
     """Those of ``values`` that the instrument's kind reports. A single value must be finite."""
+    names = F.create_map(*[x for kind, fields in KIND_FIELDS.items() for x in (
+        F.lit(kind), F.array(*[F.lit(f) for f in fields]))])[F.col("kind")]
     single = F.col("kind").isin(*SINGLE_VALUE_KINDS)
-    chosen = None
-    for kind, names in KIND_FIELDS.items():
-        of_kind = F.map_filter("values", lambda k, v, names=names: k.isin(names) & v.isNotNull())
-        chosen = (F.when(F.col("kind") == kind, of_kind) if chosen is None
-                  else chosen.when(F.col("kind") == kind, of_kind))
-    chosen = chosen.otherwise(F.create_map().cast("map<string,double>"))
-    return F.when(single, F.map_filter(chosen, lambda _k, v: finite(v).isNotNull())).otherwise(chosen)
+    return F.map_filter("values", lambda k, v: F.array_contains(names, k) & v.isNotNull()
+                        & (~single | finite(v).isNotNull()))
 
 
 def registry_to_measurements(snapshots: DataFrame, fixed_tags: dict[str, str] | None = None) -> DataFrame:

@@ -30,16 +30,14 @@ def _variant_text(value: Column) -> Column:
     return F.when(_variant_type(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def json_number(value: Column) -> Column:
-    """A JSON number as a finite double; text, booleans, nulls, objects and integers beyond
-    64 bits give null.
+def is_number(kind: Column, number: Column) -> Column:
+    """Whether a JSON value of a variant type, read as a double, is a finite number; text,
+    booleans, nulls, objects and integers beyond 64 bits are not.
 
     A whole number outside the range of a long arrives as a decimal without a fraction.
     """
-    kind = _variant_type(value)
-    number = finite(F.try_variant_get(value, "$", "double"))
     beyond_long = kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) >= F.lit(2.0 ** 63))
-    return F.when(kind.rlike(r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & ~beyond_long, number)
+    return kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & finite(number).isNotNull() & ~beyond_long
 
 
 def parse_snapshot(df: DataFrame, text: str) -> DataFrame:
@@ -81,21 +79,23 @@ def _header_tags() -> Column:
 
 def _header_time() -> Column:
     time = F.col("_header")["time"]
-    whole = F.when(_variant_type(time) == "BIGINT", F.try_variant_get(time, "$", "bigint"))
-    return F.timestamp_millis(F.coalesce(whole, json_number(time).cast("bigint"), F.lit(0)))
+    kind = _variant_type(time)
+    whole = F.when(kind == "BIGINT", F.try_variant_get(time, "$", "bigint"))
+    number = F.try_variant_get(time, "$", "double")
+    return F.timestamp_millis(F.coalesce(
+        whole, F.when(is_number(kind, number), number.cast("bigint")), F.lit(0)))
 
 
 def _number_fields(group: Column, fields: Column) -> Column:
     """Numeric fields of a group with the tags found in their names, sorted by tags, name
     and place in the document."""
-    def one(entry: Column, place: Column) -> Column:
-        named = tag_samza_field(group, entry["key"])
-        return F.struct(
-            F.struct(*[named[t].alias(t) for t in FIELD_TAGS]).alias("tags"),
-            named["field"].alias("field"), place.alias("place"),
-            json_number(entry["value"]).alias("value"))
-    return F.array_sort(F.filter(F.transform(F.map_entries(fields), one),
-                                 lambda x: x["value"].isNotNull()))
+    read = F.transform(F.map_entries(fields), lambda e, place: F.struct(
+        e["key"].alias("key"), place.alias("place"), _variant_type(e["value"]).alias("kind"),
+        F.try_variant_get(e["value"], "$", "double").alias("value")))
+    numbers = F.filter(read, lambda x: is_number(x["kind"], x["value"]))
+    return F.sort_array(F.transform(numbers, lambda x: F.struct(
+        tag_samza_field(group, x["key"]).alias("named"), x["place"].alias("place"),
+        x["value"].alias("value"))))
 
 
 def _runs_of_equal_tags(df: DataFrame) -> Column:
@@ -113,7 +113,8 @@ def explode_parsed(df: DataFrame) -> DataFrame:
     numbers = F.col("_numbers")
     starts = F.filter(
         F.transform(numbers, lambda _x, i: i),
-        lambda i: (i == 0) | ~F.get(numbers, i)["tags"].eqNullSafe(F.get(numbers, i - 1)["tags"]))
+        lambda i: (i == 0) | ~F.get(numbers, i)["named"]["tags"].eqNullSafe(
+            F.get(numbers, i - 1)["named"]["tags"]))
     df = df.withColumn("_accepted", F.coalesce(json_shape_ok(), F.lit(False)))
     df = df.select(
         "*", F.when(F.col("_accepted"), _header_time()).alias("_ts"),
@@ -129,7 +130,7 @@ def explode_parsed(df: DataFrame) -> DataFrame:
 def run_tags() -> Column:
     run = F.col("_run")
     own = F.map_filter(
-        F.create_map(*[x for t in FIELD_TAGS for x in (F.lit(t), F.get(run, 0)["tags"][t])]),
+        F.create_map(*[x for t in FIELD_TAGS for x in (F.lit(t), F.get(run, 0)["named"]["tags"][t])]),
         lambda _k, v: v.isNotNull()).cast(TAGS)
     return overlay_map(F.col("_common"), own)
 
@@ -138,8 +139,8 @@ def run_fields() -> Column:
     """Fields of a run; of a repeated name the last in the document counts."""
     run = F.col("_run")
     last = F.filter(run, lambda x, i: (i == F.size(run) - 1)
-                    | ~x["field"].eqNullSafe(F.get(run, i + 1)["field"]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["field"], x["value"])))
+                    | (x["named"]["field"] != F.get(run, i + 1)["named"]["field"]))
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["named"]["field"], x["value"])))
 
 
 def explode_snapshot_json(df: DataFrame, text: str = "value") -> DataFrame:

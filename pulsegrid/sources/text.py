@@ -14,7 +14,7 @@ TIME_FORMAT = "dd/MM/yyyy G 'at' HH:mm:ss z"
 def measurement_text() -> Column:
     """``name,k=v [time] `` and a line of tab-ended fields. Tags and fields are sorted."""
     tags = F.transform(tag_entries("tags"), lambda e: F.concat(F.lit(","), e["key"], F.lit("="), e["value"]))
-    fields = F.transform(F.array_sort(F.map_entries("fields")),
+    fields = F.transform(F.sort_array(F.map_entries("fields")),
                          lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"), F.lit("\t")))
     return F.concat(
         F.col("name"), F.array_join(tags, ""),

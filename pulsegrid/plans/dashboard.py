@@ -36,13 +36,14 @@ def dashboard_input(df: DataFrame, panel_ids: list[str], asked: Range) -> DataFr
                      & time_range(df, asked.start, asked.end))
 
 
-def evaluate_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range) -> dict[str, DataFrame]:
-    ids = dashboard.panel_ids()
-    rows = dashboard_input(df, ids, asked)
-    return {panel: evaluate(rows, panel, asked) for panel in ids}
+def evaluate_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range,
+                       width: int | None = None) -> dict[str, DataFrame]:
+    """Every panel of a dashboard; ``width`` replaces the bucket widths of the panels."""
+    return {panel: evaluate(df, panel, asked, width) for panel in dashboard.panel_ids()}
 
 
-def bundle_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range, path: str) -> list[str]:
+def bundle_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range, path: str,
+                     width: int | None = None) -> list[str]:
     """Store every panel of a dashboard under its id. Gives the paths, in panel order.
 
     The input is cut to what the panels need and written once, by measurement; each panel then
@@ -55,7 +56,7 @@ def bundle_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range, path: st
      .write.mode("overwrite").partitionBy("name").parquet(shared))
     rows = spark.read.schema(df.schema).parquet(shared)
     paths = []
-    for panel in ids:
+    for panel, shown in evaluate_dashboard(rows, dashboard, asked, width).items():
         paths.append(f"{path}/{panel}")
-        evaluate(rows, panel, asked).write.mode("overwrite").parquet(paths[-1])
+        shown.write.mode("overwrite").parquet(paths[-1])
     return paths

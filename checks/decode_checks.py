@@ -73,10 +73,10 @@ def decoded(spark, sf_dir):
 
 @query("d03_encode_avro_v1", f"""
     WITH {MEASUREMENTS_SQL}
-    SELECT event_id, '0101' AS head, 2 + 6 + (1 + length(name))
+    SELECT event_id, '0101' AS head, CAST(2 + 6 + (1 + length(name))
       + 1 + (5 + length(dash) + 1) + (6 + length(grp) + 1) + (8 + length(service) + 1)
       + coalesce(6 + length(topic) + 1, 0) + 1
-      + 1 + (1 + 5 + 8) + (1 + 13 + 8) + 3 * (1 + 14 + 8) + (1 + 15 + 8) + 1 AS bytes
+      + 1 + (1 + 5 + 8) + (1 + 13 + 8) + 3 * (1 + 14 + 8) + (1 + 15 + 8) + 1 AS INTEGER) AS bytes
     FROM m""")
 def encoded(spark, sf_dir):
     rows = encode_avro_v1(measurements(spark, sf_dir, "event_id"))

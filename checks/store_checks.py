@@ -62,7 +62,7 @@ def read_from_topic(spark, sf_dir):
 
 @query("s02_write_topic", f"""
     WITH {MEASUREMENTS_SQL}
-    SELECT name, service, coalesce(topic, '') AS topic, count(*) AS n, 1 AS keys, 1 AS partitions, 4 AS key_bytes
+    SELECT name, service, coalesce(topic, '') AS topic, count(*) AS n, CAST(1 AS BIGINT) AS keys, CAST(1 AS BIGINT) AS partitions, 4 AS key_bytes
     FROM m GROUP BY ALL""")
 def written_topic(spark, sf_dir):
     path = work_dir(spark, "s02-topic")

@@ -109,7 +109,7 @@ def counter(spark, sf_dir):
 
 
 @query("a04_counter_history", """
-    SELECT event_type, bucket, sum(n) OVER (PARTITION BY event_type ORDER BY bucket) AS "Count"
+    SELECT event_type, bucket, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY bucket) AS BIGINT) AS "Count"
     FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS n FROM events GROUP BY ALL)""")
 def counter_history(spark, sf_dir):
     return summary.counter_history(events(spark, sf_dir), ["event_type"], 3600)

@@ -116,7 +116,7 @@ def object_name_parts(spark, sf_dir):
 @query("p07_series_key", f"""
     WITH {MEASUREMENTS_SQL}
     SELECT name, 'group=' || grp || ',name=' || dash || ',service=' || service
-      || coalesce(',topic=' || topic, '') AS key, count(*) AS n, 1 AS hashes
+      || coalesce(',topic=' || topic, '') AS key, count(*) AS n, CAST(1 AS BIGINT) AS hashes
     FROM m GROUP BY ALL""")
 def series_keys(spark, sf_dir):
     df = measurements(spark, sf_dir).select(series_key().alias("k"), series_hash().alias("h"))

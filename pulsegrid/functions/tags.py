@@ -37,16 +37,22 @@ def with_fixed_tags(df: DataFrame, tags: dict[str, str], column: str = "tags") -
     return df.withColumn(column, overlay_map(literal_map(tags), F.col(column))) if tags else df
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def last_wins_map(keys: Column, values: Column) -> Column:
     """A map from two lists in which a repeated key keeps its last value."""
-    size = F.size(keys)
-    last = F.transform(
-        F.array_distinct(keys),
-        lambda k: F.element_at(values, (size + 1 - F.array_position(F.reverse(keys), k)).cast("int")),
-    )
-    repeated = F.size(F.array_distinct(keys)) < size
-    return F.when(repeated, F.map_from_arrays(F.array_distinct(keys), last)).otherwise(
-        F.map_from_arrays(keys, values))
+    def of(pair: Column) -> Column:
+        k, v = pair["k"], pair["v"]
+        last = F.transform(
+            F.array_distinct(k),
+            lambda key: F.element_at(v, (F.size(k) + 1 - F.array_position(F.reverse(k), key)).cast("int")))
+        repeated = F.size(F.array_distinct(k)) < F.size(k)
+        return F.when(repeated, F.map_from_arrays(F.array_distinct(k), last)).otherwise(
+            F.map_from_arrays(k, v))
+    return bind(F.named_struct(F.lit("k"), keys, F.lit("v"), values), of)
 
 
 def present_tags(**tags: Column) -> Column:
@@ -75,10 +81,11 @@ def scope_is_odd(group: Column | str, scope: Column | str) -> Column:
 
 def decompose_scope(scope: Column | str) -> Column:
     """``topic.foo.partition.3`` as the tags topic=foo, partition=3; none for an odd scope."""
-    parts = scope_parts(scope)
-    keys = F.filter(parts, lambda _x, i: i % 2 == 0)
-    values = F.filter(parts, lambda _x, i: i % 2 == 1)
-    return F.when(F.size(parts) % 2 == 0, last_wins_map(keys, values)).otherwise(empty_tags())
+    def pairs(parts: Column) -> Column:
+        keys = F.filter(parts, lambda _x, i: i % 2 == 0)
+        values = F.filter(parts, lambda _x, i: i % 2 == 1)
+        return F.when(F.size(parts) % 2 == 0, last_wins_map(keys, values)).otherwise(empty_tags())
+    return bind(scope_parts(scope), pairs)
 
 
 def metric_name_tags(group: Column | str, type_: Column | str, scope: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tags import (
-    empty_tags, literal_map, metric_name_tags, overlay_map, scope_is_odd)
+    bind, empty_tags, literal_map, metric_name_tags, overlay_map, scope_is_odd)
 from pulsegrid.functions.values import finite
 from pulsegrid.operators.pack import drop_empty
 
@@ -30,8 +30,9 @@ def kind_fields() -> Column:
     names = F.create_map(*[x for kind, fields in KIND_FIELDS.items() for x in (
         F.lit(kind), F.array(*[F.lit(f) for f in fields]))])[F.col("kind")]
     single = F.col("kind").isin(*SINGLE_VALUE_KINDS)
-    return F.map_filter("values", lambda k, v: F.array_contains(names, k) & v.isNotNull()
-                        & (~single | finite(v).isNotNull()))
+    return bind(F.named_struct(F.lit("names"), names, F.lit("single"), single),
+                lambda kind: F.map_filter("values", lambda k, v: F.array_contains(kind["names"], k)
+                                          & v.isNotNull() & (~kind["single"] | finite(v).isNotNull())))
 
 
 def registry_to_measurements(snapshots: DataFrame, fixed_tags: dict[str, str] | None = None) -> DataFrame:

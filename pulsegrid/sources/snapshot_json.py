@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.samza import FIELD_TAGS, tag_samza_field
-from pulsegrid.functions.tags import last_wins_map, overlay_map
+from pulsegrid.functions.tags import bind, last_wins_map, overlay_map
 from pulsegrid.functions.values import finite
 from pulsegrid.schema import TAGS
 
@@ -36,8 +36,10 @@ def is_number(kind: Column, number: Column) -> Column:
 
     A whole number outside the range of a long arrives as a decimal without a fraction.
     """
-    beyond_long = kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) >= F.lit(2.0 ** 63))
-    return kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & finite(number).isNotNull() & ~beyond_long
+    decimal = kind.startswith("DECIMAL")
+    beyond_long = decimal & kind.endswith(",0)") & (F.abs(number) >= F.lit(2.0 ** 63))
+    return ((kind.isin("BIGINT", "DOUBLE", "FLOAT") | decimal) & finite(number).isNotNull()
+            & ~beyond_long)
 
 
 def parse_snapshot(df: DataFrame, text: str) -> DataFrame:
@@ -70,11 +72,10 @@ def json_shape_ok() -> Column:
 
 
 def _header_tags() -> Column:
-    entries = F.filter(
-        F.map_entries("_header"),
-        lambda e: ~e["key"].isin(*HEADER_NOT_TAGS) & _variant_text(e["value"]).isNotNull())
-    return last_wins_map(F.transform(entries, lambda e: e["key"]),
-                         F.transform(entries, lambda e: _variant_text(e["value"]))).cast(TAGS)
+    texts = F.transform(F.map_entries("_header"), lambda e: F.named_struct(
+        F.lit("key"), e["key"], F.lit("text"), _variant_text(e["value"])))
+    tags = F.filter(texts, lambda e: ~e["key"].isin(*HEADER_NOT_TAGS) & e["text"].isNotNull())
+    return bind(tags, lambda t: last_wins_map(t["key"], t["text"])).cast(TAGS)
 
 
 def _header_time() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.roles import BEANS_SQL, END, SNAPSHOTS_SQL, beans, events, snapshots, table
+from checks.roles import BEANS_SQL, END, SNAPSHOTS_SQL, beans, events, snapshots, spread, table
 from pulsegrid.operators import summary
 from pulsegrid.operators.buckets import time_bucket
 from pulsegrid.operators.pack import long_fields, pack_fields
@@ -45,18 +45,19 @@ def bean_measurements(spark, sf_dir):
     WHERE NOT (kind IN ('client', 'gauge') AND l_linenumber = 7)""")
 def registry_measurements(spark, sf_dir):
     # the line that an instrument stands for is carried along in its name
-    named = snapshots(spark, sf_dir).withColumn("name", F.concat_ws("/", "name", "l_orderkey", "kind", F.coalesce(
+    named = spread(snapshots(spark, sf_dir)).withColumn("name", F.concat_ws("/", "name", "l_orderkey", "kind", F.coalesce(
         F.when(F.col("group") == "java.lang", "6"), F.when(F.col("type") == "", "5"),
         F.when(F.col("scope").isNull(), "1"), F.when(F.col("scope") == "", "2"),
         F.when(F.col("scope").startswith("a.b"), "4"),
         F.when(F.col("scope").contains(".partition."), "7"), F.lit("3"))))
-    df = registry_to_measurements(named, {"type": "fixed"}).withColumn("_n", F.split("name", "/"))
-    tags, fields = F.col("tags"), F.col("fields")
+    df = registry_to_measurements(named, {"type": "fixed"})
+    df = df.withColumn("_n", F.split("name", "/")).withColumn("_all", F.explode(F.array(F.struct("tags", "fields"))))
+    tags, fields = F.col("_all.tags"), F.col("_all.fields")
     kind = F.col("_n")[2]
     return df.select(
         F.col("_n")[1].cast("bigint").alias("l_orderkey"), F.col("_n")[3].cast("int").alias("l_linenumber"),
         kind.alias("kind"), F.substring(F.col("_n")[0], 6, 20).cast("bigint").alias("l_partkey"),
-        F.size("fields").alias("fields"), fields["Value"].alias("value"), fields["Count"].alias("count"),
+        F.size(fields).alias("fields"), fields["Value"].alias("value"), fields["Count"].alias("count"),
         tags["group"].alias("group"), tags["client-id"].alias("client"),
         F.nullif(tags["type"], F.lit("fixed")).alias("type"), "error")
 

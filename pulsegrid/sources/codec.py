@@ -1,14 +1,18 @@
 """Binary form of a measurement: two header bytes, then an Avro body.
 
-Both directions are Arrow UDFs that work on whole batches: every step below reads or writes
-one token of *all* rows of a batch with numpy, so no Python runs per row.
+Spark's own Avro functions do the work where their jar is on the class path. Elsewhere both
+directions are Arrow UDFs over whole batches: every step reads or writes one token of *all* rows
+of a batch with numpy, so no Python runs per row.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +22,14 @@ from pulsegrid.schema import FIELDS, TAGS
 MAGIC = 1
 VERSION = 1
 
+# Fixed value: the schema of a version 1 body.
+AVRO_SCHEMA = json.dumps({"type": "record", "name": "MeasurementV1", "fields": [
+    {"name": "timestamp", "type": "long"},
+    {"name": "name", "type": "string"},
+    {"name": "tags", "type": {"type": "map", "values": "string"}},
+    {"name": "fields", "type": {"type": "map", "values": "double"}},
+]})
+
 DECODED = T.StructType([
     T.StructField("ms", T.LongType()),
     T.StructField("name", T.StringType()),
@@ -282,12 +294,44 @@ _decode_once = _decode.asNondeterministic()
 _encode_once = _encode.asNondeterministic()
 
 
+def has_avro(spark: SparkSession) -> bool:
+    """Whether Spark's own Avro functions are on the class path."""
+    try:
+        spark.range(0).select(F.call_function("from_avro", F.lit(b""), F.lit(AVRO_SCHEMA))).schema
+        return True
+    except PySparkException:
+        return False
+
+
+def _decode_builtin(value: Column) -> Column:
+    """The same struct by Spark's own reader; a damaged body comes back as null."""
+    version = F.conv(F.hex(F.substring(value, 2, 1)), 16, 10).cast("int")
+    lenient = F.create_map(F.lit("mode"), F.lit("PERMISSIVE"))
+    body = F.call_function("from_avro", F.when(version == VERSION, F.substring(value, 3, 2 ** 31 - 1)),
+                           F.lit(AVRO_SCHEMA), lenient)
+    error = (F.when(value.isNull(), F.lit(None).cast("string"))
+             .when(version.isNotNull() & (version != VERSION), F.concat(
+                 F.lit("unsupported measurement version "), version.cast("string")))
+             .when(body["name"].isNull(), "malformed measurement body"))
+    return F.struct(body["timestamp"].alias("ms"), body["name"].alias("name"),
+                    body["tags"].alias("tags"), body["fields"].alias("fields"), error.alias("error"))
+
+
 def decode_avro_v1(value: Column | str = "value") -> Column:
-    """Binary record to struct (ms, name, tags, fields, error). The magic byte is not looked at."""
-    return _decode_once(value)
+    """Binary record to struct (ms, name, tags, fields, error). The magic byte is not looked at.
+
+    Spark's own Avro reader is used where its jar is there, else an Arrow UDF.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    return _decode_builtin(value) if has_avro(SparkSession.active()) else _decode_once(value)
 
 
 def encode_avro_v1(df: DataFrame, column: str = "value") -> DataFrame:
     """Add the binary record of each measurement. Null values in a map are left out."""
-    present = [F.map_filter(m, lambda _k, v: v.isNotNull()) for m in ("tags", "fields")]
-    return df.withColumn(column, _encode_once(F.unix_millis("ts"), F.col("name"), *present))
+    tags, fields = (F.map_filter(m, lambda _k, v: v.isNotNull()) for m in ("tags", "fields"))
+    if has_avro(df.sparkSession):
+        record = F.struct(F.unix_millis("ts").alias("timestamp"), F.col("name"), tags.alias("tags"),
+                          fields.alias("fields"))
+        body = F.call_function("to_avro", record, F.lit(AVRO_SCHEMA))
+        return df.withColumn(column, F.concat(F.lit(bytes([MAGIC, VERSION])), body))
+    return df.withColumn(column, _encode_once(F.unix_millis("ts"), F.col("name"), tags, fields))

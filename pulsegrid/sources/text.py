@@ -31,4 +31,7 @@ def format_measurements(df: DataFrame) -> DataFrame:
 
 
 def write_text(df: DataFrame, path: str) -> None:
-    format_measurements(df).write.mode("overwrite").option("lineSep", "").text(path)
+    """One text after another; the writer adds the last line end of each."""
+    texts = format_measurements(df).select(
+        F.col("value").substr(F.lit(1), F.length("value") - 1).alias("value"))
+    texts.write.mode("overwrite").option("lineSep", "\n").text(path)

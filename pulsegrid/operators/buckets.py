@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.tags import group_tag, tag
 from pulsegrid.functions.values import floor_div
 from pulsegrid.operators.quantiles import exact_percentiles
-from pulsegrid.operators.skew import with_next
+from pulsegrid.operators.skew import join_series, with_next
 
 
 def time_bucket(width: int, ts: str = "ts") -> Column:
@@ -46,7 +46,7 @@ def bucket_agg(df: DataFrame, width: int, keys: list[str], aggregates: dict[str,
     result = rows.groupBy(*by).agg(*plain) if plain or not ranked else None
     for value, quantiles in ranked.items():
         found = exact_percentiles(rows, by, value, quantiles).drop("n")
-        result = found if result is None else result.join(found, by, "left")
+        result = found if result is None else join_series(result, found, keys, ["bucket"], "left")
     return result.select(*by, *aggregates)
 
 
@@ -85,7 +85,7 @@ def connect_nulls(bucketed: DataFrame, keys: list[str], value: str, width: int)
     line = (gaps.withColumn("_at", F.explode(F.sequence(F.col("_i") + 1, F.col("next__i") - 1)))
             .select(*keys, F.timestamp_seconds(F.col("_at") * width).alias("bucket"),
                     (F.col("_v") + step * (F.col("_at") - F.col("_i"))).alias("_line")))
-    return (bucketed.join(line, [*keys, "bucket"], "left")
+    return (join_series(bucketed, line, keys, ["bucket"], "left")
             .withColumn(value, F.coalesce(value, "_line")).select(*bucketed.columns))
 
 
@@ -134,6 +134,6 @@ def cumulative(bucketed: DataFrame, keys: list[str], value: str, total: str,
                                 .rowsBetween(Window.unboundedPreceding, -1))
     chunks = chunks.select(*keys, "_chunk", F.coalesce(before, F.lit(0)).alias("_before"))
     inside = F.sum(value).over(Window.partitionBy(*keys, "_chunk").orderBy("bucket"))
-    return (rows.withColumn("_inside", inside).join(chunks, [*keys, "_chunk"])
+    return (join_series(rows.withColumn("_inside", inside), chunks, keys, ["_chunk"])
             .withColumn(total, F.col("_before") + F.col("_inside"))
             .select(*bucketed.columns, total))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,21 @@ def salted_join(many: DataFrame, one: DataFrame, on: list[str], spread: list[Col
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def join_series(left: DataFrame, right: DataFrame, keys: list[str], on: list[str],
+                how: str = "inner") -> DataFrame:
+    """Join on the keys of a series, where a missing key equals a missing key, and on ``on``.
+
+    Keys that cannot be null join plainly, which keeps the partitioning that both sides have.
+    """
+    safe = [k for k in keys if left.schema[k].nullable]
+    if not safe:
+        return left.join(right, [*keys, *on], how)
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in [*keys, *on]})
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) if c in safe else F.col(c) == F.col(f"_r_{c}")
+            for c in [*keys, *on]]
+    return left.join(right, reduce(and_, same), how).drop(*[f"_r_{c}" for c in [*keys, *on]])
+
+
 def with_next(points: DataFrame, keys: list[str], index: str, columns: list[str],
               chunk: int = 65536) -> DataFrame:
     """Add to each point the index and columns of the next point of its key (``next_<column>``).
@@ -37,7 +55,7 @@ def with_next(points: DataFrame, keys: list[str], index: str, columns: list[str]
         Window.partitionBy(*keys).orderBy("_chunk")).alias("_after"))
     inside = points.withColumn("_next", F.lead(point).over(
         Window.partitionBy(*keys, "_chunk").orderBy(index)))
-    joined = inside.join(heads, [*keys, "_chunk"], "left")
+    joined = join_series(inside, heads, keys, ["_chunk"], "left")
     following = F.coalesce("_next", "_after")
     return joined.select(*points.columns[:-1],
                          *[following[c].alias(f"next_{c}") for c in taken])

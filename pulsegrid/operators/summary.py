@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.values import finite, floor_div
 from pulsegrid.operators.buckets import cumulative, time_bucket
 from pulsegrid.operators.quantiles import approximate_percentiles, exact_percentiles
+from pulsegrid.operators.skew import join_series
 
 # Percentiles and moving rates a summary has, and the ticks of the rates.
 PERCENTILES = {"95thPercentile": 0.95, "98thPercentile": 0.98, "99thPercentile": 0.99,
@@ -146,18 +147,24 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
             *[F.sum((1 - keep[n]) / tick_seconds * F.col("_n")
                     * F.pow(F.lit(keep[n]), per_report - 1 - place)).alias(f"_b_{n}")
               for n in names])
-    start = reports.groupBy(*keys).agg(F.min("_report").alias("_from"))
     end = F.floor(F.unix_seconds(F.lit(until).cast("timestamp")) / report_seconds).cast("bigint")
-    grid = (start.filter(F.col("_from") < end)
-            .select(*keys, "_from", F.explode(F.sequence("_from", end - 1)).alias("_report")))
-    dense = grid.join(reports, [*keys, "_report"], "left")
+
+    # one row per key and interval, silent ones too: each interval adds those up to the next. A
+    # key has at most one row per interval here, however many observations it had
+    by_key = Window.partitionBy(*keys).orderBy("_report")
     first_place = F.col("_first") - F.col("_report") * per_report
-    inputs = {n: F.coalesce(F.col(f"_b_{n}"), F.lit(0.0)) + F.when(
-        F.col("_report") == F.col("_from"),
-        keep[n] * F.col("_first_n") / tick_seconds * F.pow(F.lit(keep[n]), per_report - 1 - first_place)
-    ).otherwise(0.0) for n in names}
-    dense = dense.select(*keys, "_report", floor_div(F.col("_report"), block).alias("_block"),
-                         *[inputs[n].alias(n) for n in names])
+    starts = F.lag("_report").over(by_key).isNull()
+    inputs = [(F.col(f"_b_{n}") + F.when(
+        starts, keep[n] * F.col("_first_n") / tick_seconds
+        * F.pow(F.lit(keep[n]), per_report - 1 - first_place)).otherwise(0.0)).alias(n) for n in names]
+    rows = reports.filter(F.col("_report") < end).select(
+        *keys, "_report", F.coalesce(F.lead("_report").over(by_key), end).alias("_next"), *inputs)
+    rows = rows.withColumn("_at_report", F.explode(F.sequence(F.col("_report"), F.col("_next") - 1)))
+    here = F.col("_at_report") == F.col("_report")
+    dense = rows.select(
+        *keys, F.col("_at_report").alias("_report"),
+        floor_div(F.col("_at_report"), block).alias("_block"),
+        *[F.when(here, F.col(n)).otherwise(0.0).alias(n) for n in names])
 
     # within a block: sum of b_i * A^(j-i), written as A^j * sum of b_i * A^-i
     at = F.col("_report") - F.col("_block") * block
@@ -187,7 +194,7 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
     carried = blocks.select(*keys, F.explode(F.aggregate("_blocks", nothing, carry)).alias("_c"))
     carried = carried.select(*keys, F.col("_c.block").alias("_block"),
                              *[F.col(f"_c.{n}").alias(f"_before_{n}") for n in names])
-    joined = inside.join(carried, [*keys, "_block"])
+    joined = join_series(inside, carried, keys, ["_block"])
     return joined.select(
         *keys, F.timestamp_seconds((F.col("_report") + 1) * report_seconds).alias("at"),
         *[(F.col(f"_in_{n}") + F.col(f"_before_{n}") * F.pow(F.lit(fade[n]), F.col("_at") + 1)).alias(n)

@@ -62,14 +62,27 @@ def test_salted_join_keeps_every_row(spark):
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
 def test_with_next_over_chunks(spark, chunk):
     rng = random.Random(chunk)
-    rows = [(k, i, float(i * 2)) for k in "ab" for i in sorted(rng.sample(range(-20, 60), 17))]
+    rows = [(k, i, float(i * 2)) for k in ("a", None) for i in sorted(rng.sample(range(-20, 60), 17))]
     got = with_next(spark.createDataFrame(rows, "k string, i bigint, v double"), ["k"], "i", ["v"], chunk)
     by_key = defaultdict(list)
     for k, i, v in rows:
         by_key[k].append((i, v))
     expected = [(k, i, v, *(points[n + 1] if n + 1 < len(points) else (None, None)))
                 for k, points in by_key.items() for n, (i, v) in enumerate(points)]
-    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
+
+
+def test_series_without_a_key_value_are_kept(spark):
+    rows = [(k, at(s), float(s)) for k in ("a", None) for s in (0, 20, 7000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, value double")
+    history = summary.counter_history(df, ["k"], 1)
+    assert sorted((str(r.k), r.Count) for r in history.collect()) == [
+        (k, n) for k in ("None", "a") for n in (1, 2, 3)]
+    rates = summary.ewma_rate(df, ["k"], "2024-01-01 04:00:00", 600)
+    assert sorted(Counter(str(r.k) for r in rates.collect()).items()) == [("None", 24), ("a", 24)]
+    mixed = buckets.bucket_agg(df, 60, ["k"], {"n": ("count", "value"), "mid": ("median", "value")})
+    assert sorted((str(r.k), r.n, r.mid) for r in mixed.collect()) == [
+        (k, n, m) for k in ("None", "a") for n, m in ((1, 7000.0), (2, 10.0))]
 
 
 def test_pack_fields_last_wins(spark):

@@ -277,6 +277,21 @@ def redelivered(spark, sf_dir):
     return rows.groupBy("name").agg(F.count("*").alias("n"))
 
 
+@query("r07_drop_redelivered_spread", f"""
+    WITH {MEASUREMENTS_SQL}
+    SELECT name, count(*) AS n FROM (SELECT DISTINCT ts, name, service, topic FROM m) GROUP BY name""")
+def redelivered_spread(spark, sf_dir):
+    path, out = work_dir(spark, "r07s-in"), work_dir(spark, "r07s")
+    df = measurements(spark, sf_dir)
+    copies = df.withColumn("offset", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    copies.repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(copies.schema).parquet(path)
+    once = drop_redelivered(stream, "40 days", spread=["offset"]).drop("offset")
+    store_stream(once, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+    rows = spark.read.schema(df.schema).parquet(f"{out}/rows")
+    return rows.groupBy("name").agg(F.count("*").alias("n"))
+
+
 @query("r07_drop_redelivered_batch", f"""
     WITH {MEASUREMENTS_SQL} SELECT DISTINCT ts, name, service, coalesce(topic, '') AS topic FROM m""")
 def redelivered_batch(spark, sf_dir):

@@ -17,7 +17,8 @@ def time_bucket(width: int, ts: str = "ts") -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(width * 1_000_000)))
 
 
-def _aggregate(how: str, value: str, ts: str) -> Column:
+def aggregate(how: str, value: str, ts: str) -> Column:
+    """An aggregate of a panel by its name."""
     if how == "last":
         # of points at the same time the greatest value counts
         return F.max(F.when(F.col(value).isNotNull(), F.struct(ts, value)))[value]
@@ -42,7 +43,7 @@ def bucket_agg(df: DataFrame, width: int, keys: list[str], aggregates: dict[str,
         if value in ranked and place is not None:
             ranked[value][name] = place
         else:
-            plain.append(_aggregate(how, value, ts).alias(name))
+            plain.append(aggregate(how, value, ts).alias(name))
     result = rows.groupBy(*by).agg(*plain) if plain or not ranked else None
     for value, quantiles in ranked.items():
         found = exact_percentiles(rows, by, value, quantiles).drop("n")

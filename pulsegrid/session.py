@@ -34,9 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = os.path.join(tempfile.gettempdir(), "pulsegrid-shared")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return os.path.join(tempfile.gettempdir(), "pulsegrid-shared")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

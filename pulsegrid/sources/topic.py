@@ -50,11 +50,11 @@ def order_by_series(df: DataFrame) -> DataFrame:
     """Rows of a series next to each other and in time order.
 
     Ranges of (series, time) are dealt to the tasks, so a series too large for one of them
-    goes on, still in order, in the next.
+    goes on, still in order, in the next; so do many copies of one point.
     """
-    keyed = df.withColumn("_series", series_hash())
-    return (keyed.repartitionByRange("_series", "ts").sortWithinPartitions("_series", "ts")
-            .drop("_series"))
+    keyed = df.withColumn("_series", series_hash()).withColumn("_copy", F.monotonically_increasing_id())
+    return (keyed.repartitionByRange("_series", "ts", "_copy")
+            .sortWithinPartitions("_series", "ts").drop("_series", "_copy"))
 
 
 def write_topic(df: DataFrame, topic: str = DEFAULT_TOPIC, format: str = "kafka",

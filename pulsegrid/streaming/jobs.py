@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions.tags import with_fixed_tags
 from pulsegrid.functions.values import interval_seconds
-from pulsegrid.operators.buckets import _aggregate
+from pulsegrid.operators.buckets import aggregate
+from pulsegrid.operators.skew import SALTS
 from pulsegrid.schema import series_hash
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
 from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, write_points
@@ -52,13 +53,22 @@ def load_topic_to_points(records: DataFrame, path: str, checkpoint: str,
             .trigger(**tick_trigger(interval)).start())
 
 
-def drop_redelivered(df: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """A point (series and time) once, of all deliveries within ``delay``."""
+def drop_redelivered(df: DataFrame, delay: str = "10 minutes",
+                     spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+    """A point (series and time) once, of all deliveries within ``delay``.
+
+    A table drops copies before it is shuffled. A stream cannot, so where one point may come very
+    often, ``spread`` names columns that differ between its deliveries (partition and offset):
+    these deal the copies to several tasks, which leave one each, before the last is chosen.
+    """
     keyed = df.withColumn("_series", series_hash())
-    if df.isStreaming:
-        return keyed.withWatermark("ts", delay).dropDuplicatesWithinWatermark(
-            ["_series", "ts"]).drop("_series")
-    return keyed.dropDuplicates(["_series", "ts"]).drop("_series")
+    if not df.isStreaming:
+        return keyed.dropDuplicates(["_series", "ts"]).drop("_series")
+    keyed = keyed.withWatermark("ts", delay)
+    if spread:
+        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+        keyed = keyed.dropDuplicatesWithinWatermark(["_series", "ts", "_salt"]).drop("_salt")
+    return keyed.dropDuplicatesWithinWatermark(["_series", "ts"]).drop("_series")
 
 
 def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: int | str,
@@ -75,7 +85,7 @@ def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: in
         "ts", *[F.coalesce(c, F.lit("")).alias(k) for k, c in keys.items()],
         *[F.col("fields")[f].alias(f"_{f}") for f in fields])
     columns = [
-        (F.percentile_approx(f"_{f}", 0.5, 10000) if how == "median" else _aggregate(how, f"_{f}", "ts"))
+        (F.percentile_approx(f"_{f}", 0.5, 10000) if how == "median" else aggregate(how, f"_{f}", "ts"))
         .alias(name) for name, (how, f) in aggregates.items()]
     window = F.window("ts", f"{interval_seconds(width)} seconds")
     panels = rows.withWatermark("ts", delay).groupBy(window.alias("_w"), *keys).agg(*columns)

@@ -145,9 +145,9 @@ def archived(spark, sf_dir):
 _LOADED_SQL = f"""
     WITH {MEASUREMENTS_SQL},
     p AS (SELECT DISTINCT ts, name, service, topic FROM m)
-    SELECT name, CAST(ts AS DATE) AS d, count(*) AS points FROM p GROUP BY ALL
+    SELECT name, strftime(ts, '%Y-%m-%d') AS d, count(*) AS points FROM p GROUP BY ALL
     UNION ALL
-    SELECT 'org.apache.samza.m', CAST(d AS DATE), count(*) FROM (
+    SELECT 'org.apache.samza.m', strftime(d, '%Y-%m-%d'), count(*) FROM (
       SELECT DISTINCT make_timestamp(epoch_us(ts) // 1000 * 1000) AS d, user_id,
         unnest(CASE WHEN event_id % 7 = 6 THEN ['-'] ELSE ['-', CASE event_id % 7 WHEN 0 THEN 'a' WHEN 1 THEN 'b'
           WHEN 2 THEN 'c' WHEN 3 THEN 'd' WHEN 4 THEN 'e' ELSE 'f' END] END) AS tags
@@ -160,7 +160,7 @@ def _load(spark, sf_dir, label: str):
     load_topic_to_points(records, out, f"{out}/checkpoint", None).awaitTermination()
     # a second run finds nothing new
     load_topic_to_points(records, out, f"{out}/checkpoint", None).awaitTermination()
-    return read_points(spark, out).groupBy("name", "d").agg(F.count("*").alias("points"))
+    return read_points(spark, out).groupBy("name", F.col("d").cast("string").alias("d")).agg(F.count("*").alias("points"))
 
 
 @query("s08_sink_connect", _LOADED_SQL)

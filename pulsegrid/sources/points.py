@@ -35,14 +35,15 @@ def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
 
     Writing a batch again replaces it, so a retried batch leaves no copies. ``order`` ranks the
     writes within the batch. Days are balanced over tasks by their size: a day with most of the
-    rows is split, and many small ones share a task.
+    rows is split, and many small ones share a task. Files are sorted by name, so that a query of
+    one measurement skips the row groups of others.
     """
     points = promote_tags(df.withColumn("ts", truncate_millis(F.col("ts")))
                           .withColumn("seq", F.lit(0) if order is None else F.col(order))
                           .select("ts", "name", "tags", "fields", F.col("seq").cast("bigint")))
     points = points.withColumn("d", F.to_date("ts"))
-    (points.hint("rebalance", "d").write.mode("overwrite").partitionBy("d")
-     .parquet(f"{points_path(path, database, retention)}/batch={batch}"))
+    (points.hint("rebalance", "d").sortWithinPartitions("d", "name", "ts")
+     .write.mode("overwrite").partitionBy("d").parquet(f"{points_path(path, database, retention)}/batch={batch}"))
 
 
 def stored_points(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE,
@@ -74,7 +75,7 @@ def compact_points(spark: SparkSession, path: str, target: str, database: str =
 
 def write_archive(df: DataFrame, path: str, timezone: str = "Etc/GMT+1", mode: str = "append") -> None:
     """Parquet by day of a time zone (``Etc/GMT+1`` is one hour behind UTC)."""
-    (archive_day(df, timezone).hint("rebalance", "d")
+    (archive_day(df, timezone).hint("rebalance", "d").sortWithinPartitions("d", "name", "ts")
      .write.mode(mode).partitionBy("d").parquet(path))
 
 

@@ -29,9 +29,13 @@ _DECODED_SQL = f"""
     WITH {MEASUREMENTS_SQL}, e AS (SELECT m.*, user_id, event_type, event_id % 7 AS k,
         CAST(json_extract(props, '$.k') AS DOUBLE) AS kv FROM m JOIN events USING (event_id)),
     rows AS (
-      SELECT event_id, ts, name, service, CAST(NULL AS VARCHAR) AS job, CAST(NULL AS VARCHAR) AS system, 'Value' AS field, e.value FROM e WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, ts, name, service, NULL, NULL, 'OneMinuteRate', value / 60 FROM e WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, ts, 'org.apache.samza.m', NULL, 'j' || user_id, CASE WHEN k < 3 THEN 'sys' WHEN k = 5 THEN 'commit' END,
+      SELECT event_id, ts, name, service, CAST(NULL AS VARCHAR) AS job, CAST(NULL AS VARCHAR) AS system,
+        'Value' AS field, e.value
+        FROM e WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, ts, name, service, NULL, NULL, 'OneMinuteRate', value / 60
+        FROM e WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, ts, 'org.apache.samza.m', NULL, 'j' || user_id,
+        CASE WHEN k < 3 THEN 'sys' WHEN k = 5 THEN 'commit' END,
         ['buffered-count', 'messages-behind', 'bytes-read', 'sends', 'restore-time', 'calls', 'window_ns'][k + 1], value
         FROM e WHERE event_type = 'signup'
       UNION ALL SELECT event_id, ts, 'org.apache.samza.m', NULL, 'j' || user_id, NULL, 'k', kv FROM e WHERE event_type = 'signup')

@@ -14,12 +14,11 @@ from pulsegrid.functions.tags import tag
 from pulsegrid.operators.filters import measurement_is, time_range
 from pulsegrid.operators.pack import long_fields
 from pulsegrid.plans.dashboard import bundle_dashboard, cluster_dashboard
-from pulsegrid.plans.panels import PANELS, Range, evaluate
+from pulsegrid.plans.panels import PANELS, evaluate
 from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.session import work_dir
 from pulsegrid.sources.envelope import decode_envelope
-from pulsegrid.sources.points import (
-    compact_points, promote_tags, read_points, write_archive, write_points)
+from pulsegrid.sources.points import compact_points, read_points, write_archive, write_points
 from pulsegrid.sources.topic import order_by_series, read_topic, write_topic
 from pulsegrid.streaming.jobs import (
     drop_redelivered, load_topic_to_points, store_stream, stream_panel, tick_trigger, union_streams)
@@ -132,7 +131,7 @@ def panel_over_points(spark, sf_dir):
 
 @query("s04_write_archive", f"""
     WITH {MEASUREMENTS_SQL}
-    SELECT CAST(strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%d') AS VARCHAR) AS d, name, count(*) AS n, round(sum(value), 3) AS total
+    SELECT strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%d') AS d, name, count(*) AS n, round(sum(value), 3) AS total
     FROM m GROUP BY ALL""")
 def archived(spark, sf_dir):
     path = work_dir(spark, "s04")

@@ -1,4 +1,4 @@
 """All queries of the subpackage: importing a module registers what it has."""
 
-from pulsegrid.llm import bpe, decontaminate, jaccard_join, shuffle_shards, substrings  # noqa: F401
+from pulsegrid.llm import bpe, decontaminate, jaccard_join, shuffle_shards, substrings, toxicity  # noqa: F401
 from pulsegrid.llm.common import ORACLES, QUERIES  # noqa: F401

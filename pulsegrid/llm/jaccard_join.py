@@ -10,9 +10,9 @@ prefix can link with nothing and drops out at once. The rest, mostly near copies
    sizes, places and 256-bit bitmaps of their sets allow a link;
 3. pairs of groups are expanded into pairs of members, whose sets are then compared.
 
-A posting list first joins all its groups with one hub, the group with most shared shingles, which needs no
-pairs of the list. Only groups in different components are paired afterwards, so a large group of near
-copies costs a row for each copy, not for each pair. No list is cut.
+A posting list first joins all its groups with one hub at a time, ``HUBS`` of them in turn, which needs no pairs of
+the list. Only groups in different components are paired afterwards, so a large group of near copies costs
+some rows for each copy, not one for each pair. No list is cut.
 
 Defined cases: null text, or a text without words, has no shingles, its own doc_id as component, and links
 nothing. A null doc_id links nothing and has a null component. Rows that repeat a doc_id are one node; should
@@ -35,6 +35,9 @@ from pulsegrid.llm.postings import known_ids, range_count, repeated
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
+HUBS = 3
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle codes of each row of a column of texts."""
     hashes, first = word_hashes(column, SPACED, FOLD)
@@ -153,35 +156,27 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     posting = stable(group.select(F.col("rep.node").alias("gid"), "n", "rep.m", "rep.b0", "rep.b1", "rep.b2",
                                   "rep.b3", "members", F.explode("prefix").alias("code")))
 
-    # one row for each member or posting: with the group's first member, and with the list's hub
-    first = (member.alias("x").join(
-        member.where("node = gid").alias("y"), F.col("x.gid") == F.col("y.gid"))
-        .where((F.col("x.node") != F.col("y.node")) & bits_allow("x", "y", percent))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    hubs = posting.groupBy("code").agg(
-        F.max_by(F.struct("gid", "n", "m", "b0", "b1", "b2", "b3"),
-                 F.struct(F.col("m") / F.col("n"), "members", "gid")).alias("y"))
-    hub = (posting.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
-           .where((F.col("x.gid") != F.col("y.gid")) & sizes_allow("x", "y", percent) & bits_allow("x", "y", percent))
-           .select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")))
-    near = stable(verified(first.unionByName(hub).distinct(), nodes, percent))
-    root = components(near)
-
-    # what is left: members of different components, in groups that share a code (or are the same)
-    member = stable(member.join(root.select("node", "root"), "node", "left")
-                    .withColumn("root", F.coalesce("root", "node")))
-    inside = member.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    posting = posting.join(inside, "gid")
-    mixed = posting.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
-    posting = stable(posting.join(mixed.select("code"), "code"))
-    x, y = posting.alias("x"), posting.alias("y")
+    # one row for each member and each posting, with the hub of its group and of its list
+    placed = member.withColumn("root", F.col("node"))
+    listed = posting.withColumns({"lo": F.col("gid"), "hi": F.col("gid"), "l": F.lit(None).cast("bigint")})
+    near = None
+    for turn in range(HUBS):
+        pairs = member_hub_pairs(placed, turn, percent).unionByName(hub_pairs(listed, turn, percent)).distinct()
+        found = stable(verified(pairs, nodes, percent))
+        near = found if near is None else near.unionByName(found)
+        placed, listed, inside = still_apart(member, posting, components(near))
+
+    # what is left: members of different components, in groups that share a code or are the same; a pair of groups
+    # counts at the least code that both have
+    prefixed = listed.join(group.select(F.col("rep.node").alias("gid"), "prefix"), "gid")
+    x, y = prefixed.alias("x"), prefixed.alias("y")
     alone = (F.col("x.members") == 1) & (F.col("y.members") == 1)
-    apart = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
-    groups = (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart
-                     & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent)))
-              .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
+    groups = (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart("x", "y")
+                     & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent))
+                     & (F.col("x.code") == F.array_min(F.array_intersect("x.prefix", "y.prefix"))))
+              .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h"))
               .unionByName(inside.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
-    x, y = member.alias("x"), member.alias("y")
+    x, y = placed.alias("x"), placed.alias("y")
     pairs = (groups.join(x, F.col("g") == F.col("x.gid"))
              .join(y, (F.col("h") == F.col("y.gid")) & (F.col("x.root") != F.col("y.root"))
                    & ((F.col("g") != F.col("h")) | (F.col("x.node") < F.col("y.node")))
@@ -190,6 +185,51 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     return near.unionByName(verified(pairs, nodes, percent))
 
 
+def apart(x: str, y: str):
+    """Two groups are not one component already; ``lo`` and ``hi`` are the least and greatest of their members."""
+    return ~((F.col(f"{x}.lo") == F.col(f"{x}.hi")) & (F.col(f"{y}.lo") == F.col(f"{y}.hi"))
+             & (F.col(f"{x}.lo") == F.col(f"{y}.lo")))
+
+
+def hub_pairs(listed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One pair of groups' first members for each posting: with the hub of its list.
+
+    The first hub is the group with the greatest share of shared shingles, such as what others were copied from;
+    later ones are any that are not wholly in the list's least component.
+    """
+    rank = F.struct(F.col("m") / F.col("n"), "members", "gid") if not turn else F.struct(
+        F.xxhash64("gid", F.lit(turn)), "gid")
+    columns = [c for c in listed.columns if c != "code"]
+    hubs = listed.where(F.lit(not turn) | (F.col("hi") != F.col("l"))).groupBy("code").agg(
+        F.max_by(F.struct(*columns), rank).alias("y"))
+    return (listed.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
+            .where((F.col("x.gid") != F.col("y.gid")) & apart("x", "y") & sizes_allow("x", "y", percent)
+                   & bits_allow("x", "y", percent))
+            .select(F.greatest("x.gid", "y.gid").alias("a"), F.least("x.gid", "y.gid").alias("b")))
+
+
+def member_hub_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One pair for each member of a group: with its first member, later with any outside the least component."""
+    columns = [c for c in placed.columns if c != "gid"]
+    least = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    hubs = (placed.join(least, "gid").where(F.lit(not turn) | (F.col("root") != F.col("lo"))).groupBy("gid").agg(
+        F.max_by(F.struct(*columns), F.struct(F.col("node") == F.col("gid") if not turn else F.xxhash64(
+            "node", F.lit(turn)), "node")).alias("y")))
+    return (placed.alias("x").join(hubs.select("gid", "y.*").alias("y"), F.col("x.gid") == F.col("y.gid"))
+            .where((F.col("x.root") != F.col("y.root")) & bits_allow("x", "y", percent))
+            .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")))
+
+
+def still_apart(member: DataFrame, posting: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members with their roots, postings of the lists that more than one component holds, and roots by group."""
+    placed = stable(member.join(root.select("node", "root"), "node", "left")
+                    .withColumn("root", F.coalesce("root", "node")))
+    inside = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rooted = posting.join(inside, "gid")
+    mixed = rooted.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
+    return placed, stable(rooted.join(mixed.select("code", "l"), "code")), inside
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""

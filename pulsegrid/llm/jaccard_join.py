@@ -10,8 +10,8 @@ prefix can link with nothing and drops out at once. The rest, mostly near copies
    sizes, places and 256-bit bitmaps of their sets allow a link;
 3. pairs of groups are expanded into pairs of members, whose sets are then compared.
 
-A posting list first joins all its groups with one hub at a time, ``HUBS`` of them in turn, which needs no pairs of
-the list. Only groups in different components are paired afterwards, so a large group of near copies costs
+A posting list first joins all its groups with one hub, and all members that this leaves apart with one more in
+each of ``HUBS`` turns, which needs no pairs of the list. Only groups in different components are paired afterwards, so a large group of near copies costs
 some rows for each copy, not one for each pair. No list is cut.
 
 Defined cases: null text, or a text without words, has no shingles, its own doc_id as component, and links
@@ -35,7 +35,7 @@ from pulsegrid.llm.postings import known_ids, range_count, repeated
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
-HUBS = 3
+HUBS = 2
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -156,14 +156,12 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     posting = stable(group.select(F.col("rep.node").alias("gid"), "n", "rep.m", "rep.b0", "rep.b1", "rep.b2",
                                   "rep.b3", "members", F.explode("prefix").alias("code")))
 
-    # one row for each member and each posting, with the hub of its group and of its list
-    placed = member.withColumn("root", F.col("node"))
-    listed = posting.withColumns({"lo": F.col("gid"), "hi": F.col("gid"), "l": F.lit(None).cast("bigint")})
-    near = None
-    for turn in range(HUBS):
-        pairs = member_hub_pairs(placed, turn, percent).unionByName(hub_pairs(listed, turn, percent)).distinct()
-        found = stable(verified(pairs, nodes, percent))
-        near = found if near is None else near.unionByName(found)
+    # one row for each posting with the hub of its list, and for each member with the first of its group
+    pairs = list_hub_pairs(posting, percent).unionByName(group_hub_pairs(member, percent)).distinct()
+    near = stable(verified(pairs, nodes, percent))
+    placed, listed, inside = still_apart(member, posting, components(near))
+    for turn in range(HUBS):  # and with others of the component that most are in by now
+        near = near.unionByName(stable(verified(later_hub_pairs(placed, listed, turn, percent), nodes, percent)))
         placed, listed, inside = still_apart(member, posting, components(near))
 
     # what is left: members of different components, in groups that share a code or are the same; a pair of groups
@@ -191,35 +189,37 @@ def apart(x: str, y: str):
              & (F.col(f"{x}.lo") == F.col(f"{y}.lo")))
 
 
-def hub_pairs(listed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """One pair of groups' first members for each posting: with the hub of its list.
-
-    The first hub is the group with the greatest share of shared shingles, such as what others were copied from;
-    later ones are any that are not wholly in the list's least component.
-    """
-    rank = F.struct(F.col("m") / F.col("n"), "members", "gid") if not turn else F.struct(
-        F.xxhash64("gid", F.lit(turn)), "gid")
-    columns = [c for c in listed.columns if c != "code"]
-    hubs = listed.where(F.lit(not turn) | (F.col("hi") != F.col("l"))).groupBy("code").agg(
-        F.max_by(F.struct(*columns), rank).alias("y"))
-    return (listed.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
-            .where((F.col("x.gid") != F.col("y.gid")) & apart("x", "y") & sizes_allow("x", "y", percent)
+def list_hub_pairs(posting: DataFrame, percent: int) -> DataFrame:
+    """Each group's first member with that of the list's hub: of the group with the greatest share of shared shingles,
+    such as what others were copied from."""
+    columns = [c for c in posting.columns if c != "code"]
+    hubs = posting.groupBy("code").agg(
+        F.max_by(F.struct(*columns), F.struct(F.col("m") / F.col("n"), "members", "gid")).alias("y"))
+    return (posting.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
+            .where((F.col("x.gid") != F.col("y.gid")) & sizes_allow("x", "y", percent)
                    & bits_allow("x", "y", percent))
             .select(F.greatest("x.gid", "y.gid").alias("a"), F.least("x.gid", "y.gid").alias("b")))
 
 
-def member_hub_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """One pair for each member of a group: with its first member, later with any outside the least component."""
-    columns = [c for c in placed.columns if c != "gid"]
-    least = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    hubs = (placed.join(least, "gid").where(F.lit(not turn) | (F.col("root") != F.col("lo"))).groupBy("gid").agg(
-        F.max_by(F.struct(*columns), F.struct(F.col("node") == F.col("gid") if not turn else F.xxhash64(
-            "node", F.lit(turn)), "node")).alias("y")))
-    return (placed.alias("x").join(hubs.select("gid", "y.*").alias("y"), F.col("x.gid") == F.col("y.gid"))
-            .where((F.col("x.root") != F.col("y.root")) & bits_allow("x", "y", percent))
+def group_hub_pairs(member: DataFrame, percent: int) -> DataFrame:
+    """Each member with the first of its group."""
+    return (member.alias("x").join(member.where("node = gid").alias("y"), F.col("x.gid") == F.col("y.gid"))
+            .where((F.col("x.node") != F.col("y.node")) & bits_allow("x", "y", percent))
             .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")))
 
 
+def later_hub_pairs(placed: DataFrame, listed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each member outside the least component of a list with one inside it, another in each list and turn."""
+    held = listed.select("code", "l", "gid").join(placed, "gid").drop("gid")
+    columns = [c for c in held.columns if c not in ("code", "l")]
+    hubs = held.where("root = l").groupBy("code").agg(
+        F.max_by(F.struct(*columns), F.struct(F.xxhash64("node", "code", F.lit(turn)), "node")).alias("y"))
+    return (held.where("root != l").alias("x").join(
+        hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
+        .where(sizes_allow("x", "y", percent) & bits_allow("x", "y", percent))
+        .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
+
+
 def still_apart(member: DataFrame, posting: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members with their roots, postings of the lists that more than one component holds, and roots by group."""
     placed = stable(member.join(root.select("node", "root"), "node", "left")

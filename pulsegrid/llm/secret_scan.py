@@ -1,14 +1,14 @@
 """Secret scan: fixed patterns, and character Markov models of random strings against ordinary identifiers.
 
 Base spans come from three patterns. Beside them, every token of 16 or more characters of ``[A-Za-z0-9+/_=-]`` with a
-digit is weighed: the log likelihood of its characters, each given the one before, under a model of random strings
+letter and a digit is weighed: the log likelihood of its characters, each given the one before, under a model of random strings
 less that under a model of ordinary identifiers. If the mean over the token exceeds ``THRESHOLD`` it is a span too,
 unless a base span overlaps it.
 
 Both models are tables of character pairs, trained on the documents of a sample of at most ``SAMPLE_ROWS`` (those
 with the least hash of the id): values in base spans are labelled random, identifiers elsewhere ordinary. Each
-distinct string counts once, and every pair has ``PRIOR`` of a uniform model, which is all the random model has if
-the sample holds no secret. The ratio goes back into the plan as one array of 65 x 65 numbers.
+distinct string counts once. Pairs that were hardly seen go by their second character, and characters have a share of a
+uniform model, which is all the random model has if the sample holds no secret. The ratio goes back into the plan as one array of 66 x 66 numbers.
 
 Only Spark expressions are used. A text is split by a pattern and the matches taken out by it; running lengths of both
 give the places, in code points, end exclusive. Defined cases: null and empty texts have no spans; repeated rows are
@@ -28,14 +28,15 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 #: a run that is too short cannot hold one that is long enough, so the least length stands in these two patterns
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{3,}"
 
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_"
 OTHER = len(ALPHABET)  # = and -, which end or join
+WIDTH = OTHER + 1
 SAMPLE_ROWS = 4_000
-PRIOR = 0.5
+UNIFORM, BACK_OFF = 0.05, 5.0
 THRESHOLD = 1.5
 
 SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string,value:string>>"
@@ -91,15 +92,18 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_ro
            .limit(sample_rows).distinct())
     sample = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
         F.broadcast(ids), "id")  # at most sample_rows ids
-    width = OTHER + 1
-    counts = {side: [PRIOR] * (width * width) for side in (False, True)}
+    counts = {side: [[0] * WIDTH for _ in range(WIDTH)] for side in (False, True)}
     for row in pair_counts(sample, "text").collect():  # two tables of pairs
-        counts[row["random"]][place(row["pair"][0]) * width + place(row["pair"][1])] += row["n"]
-    ratios = []
-    for first in range(width):
-        rows = [counts[side][first * width:(first + 1) * width] for side in (True, False)]
-        ratios += [log(r / sum(rows[0])) - log(o / sum(rows[1])) for r, o in zip(*rows, strict=True)]
-    return ratios
+        counts[row["random"]][place(row["pair"][0])][place(row["pair"][1])] += row["n"]
+    random, ordinary = (likelihoods(counts[side]) for side in (True, False))
+    return [log(r) - log(o) for r, o in zip(random, ordinary, strict=True)]
+
+
+def likelihoods(counts: list[list[int]]) -> list[float]:
+    """Of each character after each: by the pairs seen, and as far as few were, by the characters alone."""
+    seen = [sum(column) for column in zip(*counts, strict=True)]
+    alone = [(1 - UNIFORM) * (n + 1) / (sum(seen) + WIDTH) + UNIFORM / WIDTH for n in seen]
+    return [(n + BACK_OFF * p) / (sum(row) + BACK_OFF) for row in counts for n, p in zip(row, alone, strict=True)]
 
 
 def mean_ratio(token: Column, ratios: list[float]) -> Column:
@@ -111,7 +115,7 @@ def mean_ratio(token: Column, ratios: list[float]) -> Column:
         return F.when(found > 0, found - 1).otherwise(OTHER)
 
     total = F.aggregate(F.sequence(F.lit(2), F.length(token)), F.lit(0.0), lambda acc, i: acc + F.get(
-        known, at(i - 1) * (OTHER + 1) + at(i)))
+        known, at(i - 1) * WIDTH + at(i)))
     return total / (F.length(token) - 1)
 
 

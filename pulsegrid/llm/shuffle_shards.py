@@ -40,8 +40,10 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) ->
 
     Beyond numpy's limit by ratio of uniforms under a table mountain (Stadlober 1990).
     """
-    if good + bad < LARGEST or not good or not bad or not drawn:
-        return int(rng.hypergeometric(good, bad, drawn)) if good and drawn else 0
+    if not good or not bad or not drawn:
+        return drawn if good else 0
+    if good + bad < LARGEST:
+        return int(rng.hypergeometric(good, bad, drawn))
     everything = good + bad
     share, few = good / everything, min(drawn, everything - drawn)
     mean = few * share

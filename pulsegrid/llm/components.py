@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import stable
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b); root is the least node it reaches.
 
     Alternates two rounds until nothing changes: every node hands its greater neighbours to its least
     neighbour, then its smaller ones (Kiveris et al. 2014, "Connected components in MapReduce and
-    beyond"). Each is a partial aggregate and a join; edges shrink to stars, nothing is collected. A node
-    with a null end links nothing.
+    beyond"). Each is a partial aggregate and a join; edges shrink to stars, nothing is collected. A link
+    with a null end counts for nothing. With ``rounds`` it stops after as many: nodes of one root are
+    connected then, but connected nodes may still have several roots.
     """
     edges = stable(links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -24,14 +25,18 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         # large star: greater neighbours v of u go to the least of u and its neighbours
         large = (edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
-                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-                 .where("u != v").distinct())
+                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u != v"))
         # small star: smaller neighbours of u, and u itself, go to the least of them
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         edges = stable(large.join(small, "u").select(
             F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")),
                               F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("e"))
             .select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).where("u != v").distinct())
+        if rounds is not None:
+            rounds -= 1
+            if not rounds:
+                break
+            continue
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

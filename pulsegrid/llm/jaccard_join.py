@@ -35,7 +35,7 @@ from pulsegrid.llm.postings import known_ids, range_count, repeated
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
-HUBS = 2
+HUBS = 1
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -159,10 +159,10 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     # one row for each posting with the hub of its list, and for each member with the first of its group
     pairs = list_hub_pairs(posting, percent).unionByName(group_hub_pairs(member, percent)).distinct()
     near = stable(verified(pairs, nodes, percent))
-    placed, listed, inside = still_apart(member, posting, components(near))
+    placed, listed, inside = still_apart(member, posting, components(near, 2))
     for turn in range(HUBS):  # and with others of the component that most are in by now
         near = near.unionByName(stable(verified(later_hub_pairs(placed, listed, turn, percent), nodes, percent)))
-        placed, listed, inside = still_apart(member, posting, components(near))
+        placed, listed, inside = still_apart(member, posting, components(near, 2))
 
     # what is left: members of different components, in groups that share a code or are the same; a pair of groups
     # counts at the least code that both have

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.roles import MEASUREMENTS_SQL, events, json_text, measurements, spread
+from checks.roles import MEASUREMENTS_SQL, events, json_text, measurements
 from pulsegrid.operators.pack import long_fields
 from pulsegrid.sources.codec import decode_avro_v1, encode_avro_v1
 from pulsegrid.sources.envelope import (
@@ -17,7 +17,7 @@ from pulsegrid.sources.text import format_measurements
 def _records(spark, sf_dir):
     """Topic records of all kinds: binary, JSON, of a schema registry, unknown."""
     rows = measurements(spark, sf_dir, "event_id", "event_type", "user_id", "value", "props")
-    rows = encode_avro_v1(spread(rows.select("event_id", *[c for c in rows.columns if c != "event_id"])), "binary")
+    rows = encode_avro_v1(rows, "binary")
     value = (F.when(F.col("event_type").isin("view", "click"), F.col("binary"))
              .when(F.col("event_type").isin("signup", "error"), json_text().cast("binary"))
              .when(F.col("event_id") % 2 == 0, F.concat(F.unhex(F.lit("00")), F.col("props").cast("binary")))
@@ -101,7 +101,7 @@ def encoded(spark, sf_dir):
     UNION ALL SELECT event_id, 'org.apache.samza.m', 'j' || user_id, '1.0', NULL, NULL, NULL, NULL, 1, NULL, kv
     FROM e WHERE k <> 6""")
 def snapshot_json(spark, sf_dir):
-    rows = spread(events(spark, sf_dir)).withColumn("text", json_text()).select("event_id", "text")
+    rows = events(spark, sf_dir).withColumn("text", json_text()).select("event_id", "text")
     df = explode_snapshot_json(rows, "text")
     tags, fields = F.col("tags"), F.col("fields")
     named = F.map_values(F.map_filter("fields", lambda k, _v: k != "k"))

@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from checks.panel_checks import ASKED, NUMBER_SQL, SERIES_SQL
 from checks.registry import query
-from checks.roles import END, HOUR, MEASUREMENTS_SQL, START, events, json_text, measurements, panel_input
-from pulsegrid.functions.tags import tag
-from pulsegrid.operators.filters import measurement_is, time_range
+from checks.roles import HOUR, MEASUREMENTS_SQL, events, json_text, measurements, panel_input
 from pulsegrid.operators.pack import long_fields
 from pulsegrid.plans.dashboard import bundle_dashboard, cluster_dashboard
-from pulsegrid.plans.panels import PANELS, evaluate
+from pulsegrid.plans.panels import PANELS, evaluate_store
 from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.session import work_dir
 from pulsegrid.sources.envelope import decode_envelope
@@ -117,6 +115,44 @@ def compacted(spark, sf_dir):
     return _flat_points(read_points(spark, target))
 
 
+_TWO_WRITERS_SQL = f"""
+    WITH {MEASUREMENTS_SQL},
+    writes AS (SELECT 0 AS made, event_id, ts, name, service, topic, 'Value' AS field, value FROM m
+      UNION ALL SELECT 0, event_id, ts, name, service, topic, 'OneMinuteRate', value / 60 FROM m
+      UNION ALL SELECT 1, event_id, ts, name, service, topic, 'Value', value + 1000 FROM m WHERE value >= 50)
+    SELECT ts, name, service, topic, field,
+      arg_max(value, struct_pack(b := made, e := event_id, v := value)) AS value
+    FROM writes GROUP BY ALL"""
+
+
+def _two_parts(spark, sf_dir):
+    """All measurements with two fields, and later corrections of some values."""
+    df = measurements(spark, sf_dir, "event_id")
+    return (df.withColumn("fields", F.map_filter("fields", lambda k, _v: k.isin("Value", "OneMinuteRate"))),
+            df.filter(F.col("fields")["Value"] >= 50).withColumn(
+                "fields", F.create_map(F.lit("Value"), F.col("fields")["Value"] + 1000)))
+
+
+@query("s03_two_writers", _TWO_WRITERS_SQL)
+def two_writers(spark, sf_dir):
+    """Two jobs that both count their batches from 0."""
+    path = work_dir(spark, "s03w")
+    first, second = _two_parts(spark, sf_dir)
+    write_points(first, path, 0, "event_id", writer="scanner")
+    write_points(second, path, 0, "event_id", writer="topic")
+    return _flat_points(read_points(spark, path))
+
+
+@query("s03_write_after_compaction", _TWO_WRITERS_SQL)
+def written_after_compaction(spark, sf_dir):
+    path, target = work_dir(spark, "s03x"), work_dir(spark, "s03x-target")
+    first, second = _two_parts(spark, sf_dir)
+    write_points(first, path, 0, "event_id")
+    compact_points(spark, path, target)
+    write_points(second, target, 0, "event_id")
+    return _flat_points(read_points(spark, target))
+
+
 @query("s03_panel_over_points", SERIES_SQL["Q09"])
 def panel_over_points(spark, sf_dir):
     path = work_dir(spark, "s03p")
@@ -124,9 +160,7 @@ def panel_over_points(spark, sf_dir):
     df = measurements(spark, sf_dir, "event_id")
     write_points(df.withColumn("tags", F.map_concat("tags", F.create_map(
         F.lit("event"), F.col("event_id").cast("string")))), path, 0)
-    points = read_points(spark, path, where=lambda p: time_range(p, START, END)
-                         & measurement_is("BytesInPerSec") & (tag(p, "group") == "kafka.server"))
-    return evaluate(points, "Q09", ASKED).withColumn("value", F.round("value", 6))
+    return evaluate_store(spark, path, "Q09", ASKED, HOUR).withColumn("value", F.round("value", 6))
 
 
 @query("s04_write_archive", f"""

@@ -49,6 +49,11 @@ def truncate_millis(ts: Column) -> Column:
     return F.timestamp_millis(F.unix_millis(ts.cast("timestamp")))
 
 
+def utc_day(ts: Column) -> Column:
+    """The day of a timestamp in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts.cast("timestamp")) / 86_400_000_000).cast("int"))
+
+
 def floor_div(number: Column, width: int) -> Column:
     """Whole-number quotient, rounded down, without going through doubles for the remainder."""
     return ((number - F.pmod(number, F.lit(width))) / width).cast("bigint")

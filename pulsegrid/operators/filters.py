@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tags import tag
+from pulsegrid.functions.values import utc_day
 
 
 def measurement_is(name: str) -> Column:
@@ -23,12 +24,12 @@ def tag_re(df: DataFrame, key: str, pattern: str) -> Column:
 
 
 def time_range(df: DataFrame, start: str, end: str) -> Column:
-    """start <= ts < end, and the same for the day column ``d`` of stored points, so that whole
-    days are skipped."""
+    """start <= ts < end, and the same for the (UTC) day column ``d`` of stored points, so that
+    whole days are skipped."""
     first, last = (F.lit(t).cast("timestamp") for t in (start, end))
     inside = (F.col("ts") >= first) & (F.col("ts") < last)
     if "d" in df.columns:
-        inside &= (F.col("d") >= F.to_date(first)) & (F.col("d") <= F.to_date(last))
+        inside &= (F.col("d") >= utc_day(first)) & (F.col("d") <= utc_day(last))
     return inside
 
 

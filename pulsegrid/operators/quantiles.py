@@ -18,9 +18,16 @@ COARSE_SHIFT = 22  # fine bins in a coarse bin: 2 ** 22
 
 
 def _fine_bin(value: Column) -> Column:
-    """A whole number that never falls as the value rises: its binary logarithm, finely cut."""
+    """A whole number that never falls as the value rises: its binary logarithm, finely cut.
+
+    Infinity is above all numbers and NaN above infinity, as Spark sorts them.
+    """
+    endless = float("inf")
     size = F.floor((F.log2(F.abs(value)) + 1075) * float(2 ** FINE_BITS)) + 1
-    return F.coalesce(F.when(value > 0, size).when(value < 0, -size), F.lit(0)).cast("bigint")
+    return F.coalesce(
+        F.when(F.isnan(value), F.lit(2 ** 62)).when(value == endless, F.lit(2 ** 61))
+        .when(value == -endless, F.lit(-2 ** 61)).when(value > 0, size).when(value < 0, -size),
+        F.lit(0)).cast("bigint")
 
 
 def _ranks(quantiles: list[float], total: Column) -> Column:
@@ -82,7 +89,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str,
         below = F.max(F.when(F.col("_rank") == F.floor(place), F.col("_value")))
         above = F.max(F.when(F.col("_rank") == F.ceil(place), F.col("_value")))
         part = place - F.floor(place)
-        results.append((below * (1 - part) + above * part).alias(name))
+        # two equal ends, such as infinities, have nothing between them
+        results.append(F.when((part == 0) | (below == above), below).otherwise(
+            below * (1 - part) + above * part).alias(name))
     found = hits.groupBy("_key", "n").agg(*results)
     return found.select("_key.*", "n", *quantiles)
 

@@ -26,7 +26,7 @@ TICK_SECONDS = 5
 def summarise_gauge(df: DataFrame, keys: list[str], value: str = "value", ts: str = "ts") -> DataFrame:
     """The last finite value; keys that have none give no row."""
     last = F.max(F.struct(F.col(ts), F.col("_v")))["_v"].alias("Value")
-    rows = df.withColumn("_v", finite(F.col(value).cast("double"))).filter(F.col("_v").isNotNull())
+    rows = df.withColumn("_v", finite(F.col(value).try_cast("double"))).filter(F.col("_v").isNotNull())
     return rows.groupBy(*keys).agg(last)
 
 

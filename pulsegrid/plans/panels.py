@@ -13,13 +13,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tags import group_tag, series_label, tag
 from pulsegrid.functions.values import auto_interval, interval_seconds
 from pulsegrid.operators import buckets
 from pulsegrid.operators.filters import measurement_is, tag_eq, tag_re, time_range
+from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, read_points
 
 ALL = ".+"  # a topic pattern that any topic matches
 
@@ -177,3 +178,13 @@ def evaluate(df: DataFrame, panel_id: str, asked: Range, width: int | None = Non
     panel = PANELS[panel_id]
     show = panel_number if panel.reduce else panel_series
     return show(df, panel, asked, width)
+
+
+def evaluate_store(spark: SparkSession, path: str, panel_id: str, asked: Range, width: int | None = None,
+                   database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION) -> DataFrame:
+    """A panel over stored points. Its days, measurement and tags select rows in the scan, and only its
+    fields are resolved."""
+    panel = PANELS[panel_id]
+    points = read_points(spark, path, database, retention, lambda stored: panel_filter(stored, panel, asked),
+                         sorted({t.field for t in panel.targets}))
+    return evaluate(points, panel_id, asked, width)

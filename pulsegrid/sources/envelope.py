@@ -57,8 +57,11 @@ def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Measurements, and records that failed, so that one bad record does not stop the rest."""
-    return (decoded.filter(F.col("error").isNull()).drop("error"),
+    """Measurements, and records that failed, so that one bad record does not stop the rest.
+
+    Records that failed keep their ``payload``, if decoding was given one, to be read again later.
+    """
+    return (decoded.filter(F.col("error").isNull()).drop("error", "payload"),
             decoded.filter(F.col("error").isNotNull()).drop(*MEASUREMENT_COLUMNS))
 
 

@@ -1,11 +1,18 @@
-"""Stored points: Parquet by day, appended per batch, resolved to one row per point when read."""
+"""Stored points: Parquet by UTC day, appended per writer and batch, resolved to one row per point when read.
+
+A write is known by its writer and its batch. Several jobs may write to one store, each under a writer id of its own;
+a batch replaces only the same batch of the same writer. Writes rank by the time they were made, then by writer,
+batch and the order within the batch.
+"""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.values import truncate_millis
+from pulsegrid.functions.values import truncate_millis, utc_day
 from pulsegrid.operators.upsert import upsert_points
 
 # Tags that panels filter or group by. They get columns of their own, which
@@ -16,7 +23,7 @@ DEFAULT_RETENTION = "default"
 
 POINT_SCHEMA = (
     "ts timestamp, name string, tags map<string,string>, fields map<string,double>, "
-    + ", ".join(f"tag_{t} string" for t in HOT_TAGS) + ", seq bigint, batch bigint, d date")
+    + ", ".join(f"tag_{t} string" for t in HOT_TAGS) + ", seq bigint, made bigint, writer string, batch bigint, d date")
 
 
 def promote_tags(df: DataFrame) -> DataFrame:
@@ -30,47 +37,56 @@ def points_path(path: str, database: str = DEFAULT_DATABASE,
 
 
 def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
-                 database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION) -> None:
+                 database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION,
+                 writer: str = "default") -> None:
     """Write one batch of measurements into its own folder, by day.
 
-    Writing a batch again replaces it, so a retried batch leaves no copies. ``order`` ranks the
-    writes within the batch. Days are balanced over tasks by their size: a day with most of the
+    Writing a batch again replaces it, so a retried batch leaves no copies. ``writer`` names who
+    writes: writers of one store need different ids. ``order`` ranks the writes within the batch. Days are balanced over tasks by their size: a day with most of the
     rows is split, and many small ones share a task. Files are sorted by name, so that a query of
     one measurement skips the row groups of others.
     """
     points = promote_tags(df.withColumn("ts", truncate_millis(F.col("ts")))
                           .withColumn("seq", F.lit(0) if order is None else F.col(order))
-                          .select("ts", "name", "tags", "fields", F.col("seq").cast("bigint")))
-    points = points.withColumn("d", F.to_date("ts"))
+                          .select("ts", "name", "tags", "fields", F.col("seq").cast("bigint"),
+                                  F.lit(time.time_ns() // 1000).alias("made")))
+    points = points.withColumn("d", utc_day(F.col("ts")))
     (points.hint("rebalance", "d").sortWithinPartitions("d", "name", "ts")
-     .write.mode("overwrite").partitionBy("d").parquet(f"{points_path(path, database, retention)}/batch={batch}"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("d")
+     .parquet(f"{points_path(path, database, retention)}/writer={writer}/batch={batch}"))
 
 
 def stored_points(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE,
                   retention: str = DEFAULT_RETENTION) -> DataFrame:
-    """All writes as they were stored, with ``batch``, ``seq`` and the day ``d``."""
+    """All writes as they were stored, with ``writer``, ``batch``, ``made``, ``seq`` and the day ``d``."""
     return spark.read.schema(POINT_SCHEMA).parquet(points_path(path, database, retention))
 
 
 def read_points(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE,
-                retention: str = DEFAULT_RETENTION, where=None) -> DataFrame:
+                retention: str = DEFAULT_RETENTION, where=None, fields: list[str] | None = None) -> DataFrame:
     """One row per point, the last write of each field kept.
 
     ``where`` maps the stored rows to a condition on day, name or tags. It is applied before
-    points are resolved: all writes of a point agree in these, so nothing else changes.
+    points are resolved: all writes of a point agree in these, so nothing else changes. With
+    ``fields`` only these are resolved, and points that have none of them give no row.
     """
     stored = stored_points(spark, path, database, retention)
     if where is not None:
         stored = stored.filter(where(stored))
-    return promote_tags(upsert_points(stored, F.struct("batch", "seq"))).withColumn(
-        "d", F.to_date("ts"))
+    if fields is not None:
+        stored = stored.withColumn("fields", F.map_filter("fields", lambda k, _v: k.isin(fields)))
+    return promote_tags(upsert_points(stored, F.struct("made", "writer", "batch", "seq"))).withColumn(
+        "d", utc_day(F.col("ts")))
 
 
 def compact_points(spark: SparkSession, path: str, target: str, database: str = DEFAULT_DATABASE,
                    retention: str = DEFAULT_RETENTION) -> None:
-    """Write resolved points to another store, as its batch 0."""
+    """Write resolved points to another store, as batch 0 of the writer ``compaction``.
+
+    Jobs that go on writing there have ids of their own and replace none of it.
+    """
     resolved = read_points(spark, path, database, retention)
-    write_points(resolved, target, 0, database=database, retention=retention)
+    write_points(resolved, target, 0, database=database, retention=retention, writer="compaction")
 
 
 def write_archive(df: DataFrame, path: str, timezone: str = "Etc/GMT+1", mode: str = "append") -> None:

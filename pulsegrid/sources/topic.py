@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.sources.envelope import to_topic_records
 
 # Default names, and consumer settings that Spark spells differently or owns.
 DEFAULT_TOPIC = "metrics"
-PREFIX = "consumer."
+PREFIX, PRODUCER = "consumer.", "producer."
 RENAMED = {"auto.offset.reset": "startingOffsets"}
 NOT_PASSED = ("topic", "numThreads", "group.id", "enable.auto.commit", "auto.commit.interval.ms")
 
@@ -57,21 +59,56 @@ def order_by_series(df: DataFrame) -> DataFrame:
             .sortWithinPartitions("_series", "ts").drop("_series", "_copy"))
 
 
-def write_topic(df: DataFrame, topic: str = DEFAULT_TOPIC, format: str = "kafka",
-                path: str | None = None, servers: str = "localhost:9092") -> None:
-    """Measurements to a topic: keyed by series, so that a broker keeps each in order; gzip.
+def producer_options(conf: dict[str, str]) -> dict[str, str]:
+    """``producer.*`` settings as options of Spark's Kafka sink, over the defaults of the reporter."""
+    options = {"kafka.bootstrap.servers": "localhost:9092", "kafka.compression.type": "gzip", "kafka.linger.ms": "1000"}
+    for key, value in conf.items():
+        if key.startswith(PRODUCER) and key != f"{PRODUCER}topic":
+            options[f"kafka.{key.removeprefix(PRODUCER)}"] = value
+    return options
+
 
-    Files get the columns that a broker would add. An offset there is unique in its partition
-    number (the series hash, cut to 16) but not without gaps.
+def write_topic(df: DataFrame, topic: str = DEFAULT_TOPIC, format: str = "kafka", path: str | None = None,
+                conf: dict[str, str] | None = None, checkpoint: str | None = None,
+                trigger: dict | None = None) -> StreamingQuery | None:
+    """Measurements to a topic, keyed by series, so that a broker keeps each in order; gzip.
+
+    Each series is written by one task in time order, as a broker keeps the order in which a producer
+    sends. A stream is written batch by batch, given a ``checkpoint``. Files get the columns that a
+    broker would add; an offset there is unique in its partition number (the series hash, cut to 16)
+    and above those of earlier writes, but not without gaps.
     """
-    if format == "kafka":
-        (to_topic_records(df).withColumn("topic", F.lit(topic)).write.format("kafka")
-         .option("kafka.bootstrap.servers", servers).option("kafka.compression.type", "gzip")
-         .option("kafka.linger.ms", "1000").save())
-        return
-    records = to_topic_records(order_by_series(df), keep=["ts"])
-    (records.select("key", "value", F.lit(topic).alias("topic"),
-                    F.pmod(F.hash("key"), F.lit(16)).alias("partition"),
-                    F.monotonically_increasing_id().alias("offset"),
-                    F.col("ts").alias("timestamp"))
-     .write.mode("append").option("compression", "gzip").format(format).save(path))
+    conf = conf or {}
+
+    def put(batch: DataFrame, _id: int = 0) -> None:
+        if format == "kafka":
+            series = batch.withColumn("_series", series_hash())
+            ordered = series.repartition("_series").sortWithinPartitions("_series", "ts").drop("_series")
+            (to_topic_records(ordered).withColumn("topic", F.lit(topic)).write.format("kafka")
+             .options(**producer_options(conf)).save())
+            return
+        records = to_topic_records(order_by_series(batch), keep=["ts"])
+        (records.select("key", "value", F.lit(topic).alias("topic"),
+                        F.pmod(F.hash("key"), F.lit(16)).alias("partition"),
+                        (F.monotonically_increasing_id() + next_offset(batch.sparkSession, format, path)).alias("offset"),
+                        F.col("ts").alias("timestamp"))
+         .write.mode("append").option("compression", "gzip").format(format).save(path))
+
+    if not df.isStreaming:
+        put(df)
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream needs a checkpoint")
+    return (df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
+def next_offset(spark: SparkSession, format: str, path: str) -> int:
+    """One more than the greatest offset in the files of a topic."""
+    try:
+        written = spark.read.schema(TOPIC_RECORD).format(format).load(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return 0
+    return (written.agg(F.max("offset")).first()[0] or -1) + 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from threading import Event
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pulsegrid.functions.tags import with_fixed_tags
 from pulsegrid.functions.values import interval_seconds
 from pulsegrid.operators.buckets import aggregate
 from pulsegrid.operators.skew import SALTS
-from pulsegrid.schema import series_hash
+from pulsegrid.schema import series_key, tag_entries
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
 from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, write_points
 
@@ -38,37 +39,49 @@ def load_topic_to_points(records: DataFrame, path: str, checkpoint: str,
                          retention: str = DEFAULT_RETENTION) -> StreamingQuery:
     """Topic records to stored points; records that cannot be decoded go to ``<path>/rejects``.
 
-    One job serves all partitions of the topic. Each batch replaces its own folder, so a batch
-    that is tried again leaves no copies; records delivered twice are resolved when points are
-    read.
+    One job serves all partitions of the topic; several jobs may feed one store. A job writes
+    under the id that its checkpoint keeps, and each batch replaces its own folder, so a batch that
+    is tried again leaves no copies and jobs leave each other's alone. Records delivered twice
+    are resolved when points are read.
     """
-    def store(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_envelope(batch).persist()
-        good, bad = split_rejects(decoded)
-        write_points(good, path, batch_id, "offset", database, retention)
-        bad.write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
-        decoded.unpersist()
+    known, job = Event(), {}
 
-    return (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-            .trigger(**tick_trigger(interval)).start())
+    def store(batch: DataFrame, batch_id: int) -> None:
+        known.wait()
+        decoded = decode_envelope(batch.withColumn("payload", F.col("value"))).persist()
+        try:
+            good, bad = split_rejects(decoded)
+            write_points(good, path, batch_id, "offset", database, retention, job["id"])
+            (bad.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .parquet(f"{path}/rejects/writer={job['id']}/batch={batch_id}"))
+        finally:
+            decoded.unpersist()
+
+    query = (records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+             .trigger(**tick_trigger(interval)).start())
+    job["id"] = str(query.id)
+    known.set()
+    return query
 
 
 def drop_redelivered(df: DataFrame, delay: str = "10 minutes",
                      spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
-    """A point (series and time) once, of all deliveries within ``delay``.
+    """Each delivery of a point once, of all its copies within ``delay``: the same series, time and
+    fields. Deliveries of one point with other fields all stay; merging them is what upsert does.
 
     A table drops copies before it is shuffled. A stream cannot, so where one point may come very
     often, ``spread`` names columns that differ between its deliveries (partition and offset):
     these deal the copies to several tasks, which leave one each, before the last is chosen.
     """
-    keyed = df.withColumn("_series", series_hash())
+    copy = ["_series", "ts", "_fields"]
+    keyed = df.withColumn("_series", series_key()).withColumn("_fields", tag_entries("fields"))
     if not df.isStreaming:
-        return keyed.dropDuplicates(["_series", "ts"]).drop("_series")
+        return keyed.dropDuplicates(copy).drop("_series", "_fields")
     keyed = keyed.withWatermark("ts", delay)
     if spread:
         keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-        keyed = keyed.dropDuplicatesWithinWatermark(["_series", "ts", "_salt"]).drop("_salt")
-    return keyed.dropDuplicatesWithinWatermark(["_series", "ts"]).drop("_series")
+        keyed = keyed.dropDuplicatesWithinWatermark([*copy, "_salt"]).drop("_salt")
+    return keyed.dropDuplicatesWithinWatermark(copy).drop("_series", "_fields")
 
 
 def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: int | str,

@@ -73,9 +73,10 @@ def test_panel_over_the_store_reads_what_it_needs(spark, tmp_path):
     write_points(df, path, 0)
     asked = Range("main", "2024-01-01 00:00:00", "2024-01-02 00:00:00", interval="1h", topics="t[01]")
     shown = evaluate_store(spark, path, "Q01", asked)
-    plan = shown._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
-    assert "PartitionFilters: [isnotnull(d" in scan and "EqualTo(tag_name,main)" in scan and "EqualTo(name,BytesInPerSec)" in scan
+    plan = shown._sc._jvm.PythonSQLUtils.explainString(shown._jdf.queryExecution(), "formatted")
+    days = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    assert "(d#" in days and "EqualTo(tag_name,main)" in pushed and "EqualTo(name,BytesInPerSec)" in pushed, (days, pushed)
     key = lambda r: (r.bucket, r.series)
     assert sorted(shown.collect(), key=key) == sorted(evaluate(df, "Q01", asked).collect(), key=key)
 

@@ -92,6 +92,27 @@ NUMBER_SQL = {
                        "avg(value / 60)", "avg"),
 }
 
+SHORT = Range(dash="main", start="2024-01-05 00:00:00", end="2024-01-05 12:00:00", interval="10s")
+
+
+def _own_width_sql(panel_id: str) -> str:
+    """The panel's oracle over half a day, in buckets of its own width."""
+    micros = SHORT.width(PANELS[panel_id]) * 1_000_000
+    first, last = (f"epoch_us(TIMESTAMP '{t}')" for t in (SHORT.start, SHORT.end))
+    sql = SERIES_SQL[panel_id].replace("time_bucket(INTERVAL 1 HOUR, ts)",
+                                       f"make_timestamp(epoch_us(ts) // {micros} * {micros})")
+    sql = sql.replace("dash = 'main' AND", f"dash = 'main' AND ts >= '{SHORT.start}' AND ts < '{SHORT.end}' AND")
+    return sql.replace(GRID, f"(SELECT make_timestamp(x * {micros}) AS bucket FROM range({first} // {micros}, "
+                             f"({last} - 1) // {micros} + 1) t(x)) g")
+
+
+def _register_own_width(panel_id: str) -> None:
+    @query(f"{panel_id.lower()}_{TITLES[panel_id]}_own_width", _own_width_sql(panel_id))
+    def shown(spark, sf_dir):
+        rows = panel_series(panel_input(spark, sf_dir), PANELS[panel_id], SHORT)
+        return rows.withColumn("value", F.round("value", 6))
+
+
 TITLES = {
     "Q01": "topic_input_bytes", "Q02": "topic_input_messages", "Q03": "topic_failed_fetches",
     "Q04": "topic_output_bytes", "Q05": "controllers", "Q06": "under_replicated_partitions",
@@ -121,6 +142,8 @@ def _register_panel(panel_id: str) -> None:
 
 for _panel_id in PANELS:
     _register_panel(_panel_id)
+for _panel_id in ("Q01", "Q08", "Q12", "Q13", "Q14", "Q15"):
+    _register_own_width(_panel_id)
 
 
 # bucketed aggregates, one by one

@@ -7,6 +7,8 @@ is one of the keys.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.values import finite, floor_div
 from pulsegrid.operators.buckets import cumulative, time_bucket
 from pulsegrid.operators.quantiles import approximate_percentiles, exact_percentiles
-from pulsegrid.operators.skew import join_series
+from pulsegrid.operators.skew import join_series, with_next
 
 # Percentiles and moving rates a summary has, and the ticks of the rates.
 PERCENTILES = {"95thPercentile": 0.95, "98thPercentile": 0.98, "99thPercentile": 0.99,
@@ -127,8 +129,8 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
 
     A rate after an interval is A * (rate before) + b, with b a sum over the interval's ticks.
     Intervals are composed in blocks: within a block as a running sum scaled by powers of A (a
-    block is short enough for these to stay in range), and from block to block by a fold over
-    one entry per block. A block spans about ten hours times the shortest rate's minutes.
+    block is short enough for these to stay in range), and from block to block by the few blocks
+    before that still count. A block spans about ten hours times the shortest rate's minutes.
     """
     per_report = report_seconds // tick_seconds
     if per_report * tick_seconds != report_seconds:
@@ -149,17 +151,17 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
               for n in names])
     end = F.floor(F.unix_seconds(F.lit(until).cast("timestamp")) / report_seconds).cast("bigint")
 
-    # one row per key and interval, silent ones too: each interval adds those up to the next. A
-    # key has at most one row per interval here, however many observations it had
-    by_key = Window.partitionBy(*keys).orderBy("_report")
+    # one row per key and interval, silent ones too: each interval adds those up to the next. Keys are cut
+    # into chunks of time for this; what is known of a whole key is its first interval
+    firsts = reports.groupBy(*keys).agg(F.min("_report").alias("_report")).withColumn("_starts", F.lit(True))
     first_place = F.col("_first") - F.col("_report") * per_report
-    starts = F.lag("_report").over(by_key).isNull()
     inputs = [(F.col(f"_b_{n}") + F.when(
-        starts, keep[n] * F.col("_first_n") / tick_seconds
+        F.col("_starts"), keep[n] * F.col("_first_n") / tick_seconds
         * F.pow(F.lit(keep[n]), per_report - 1 - first_place)).otherwise(0.0)).alias(n) for n in names]
-    rows = reports.filter(F.col("_report") < end).select(
-        *keys, "_report", F.coalesce(F.lead("_report").over(by_key), end).alias("_next"), *inputs)
-    rows = rows.withColumn("_at_report", F.explode(F.sequence(F.col("_report"), F.col("_next") - 1)))
+    rows = with_next(join_series(reports.filter(F.col("_report") < end), firsts, keys, ["_report"], "left")
+                     .select(*keys, "_report", *inputs), keys, "_report", [])
+    rows = rows.withColumn("_at_report", F.explode(F.sequence(
+        F.col("_report"), F.coalesce("next__report", end) - 1)))
     here = F.col("_at_report") == F.col("_report")
     dense = rows.select(
         *keys, F.col("_at_report").alias("_report"),
@@ -180,20 +182,14 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
         F.max("_at").alias("_last"),
         *[F.max_by(f"_in_{n}", "_at").alias(n) for n in names])
 
-    # from block to block: one fold per rate over the blocks of a key
-    entry = F.struct("_block", "_last", *names)
-    blocks = ends.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_blocks"))
-
-    def carry(done: Column, b: Column) -> Column:
-        before = F.element_at(done, -1)
-        after = [(b[n] + before[n] * F.pow(F.lit(fade[n]), b["_last"] + 1)).alias(n) for n in names]
-        return F.concat(done, F.array(F.struct((b["_block"] + 1).alias("block"), *after)))
-
-    nothing = F.array(F.struct(F.col("_blocks")[0]["_block"].alias("block"),
-                               *[F.lit(0.0).alias(n) for n in names]))
-    carried = blocks.select(*keys, F.explode(F.aggregate("_blocks", nothing, carry)).alias("_c"))
-    carried = carried.select(*keys, F.col("_c.block").alias("_block"),
-                             *[F.col(f"_c.{n}").alias(f"_before_{n}") for n in names])
+    # from block to block: a block's end fades by the intervals of those after it. Blocks are whole but for a
+    # key's first and last, and what came ``reach`` blocks before is below the precision of a double
+    slowest = per_report * tick_seconds / (60 * max(minutes.values()))
+    reach = 1 + math.ceil(40 / (slowest * block))
+    by_key = Window.partitionBy(*keys).orderBy("_block")  # one row for each block
+    carried = ends.select(*keys, "_block", *[
+        reduce(add, [F.coalesce(F.lag(n, j).over(by_key), F.lit(0.0)) * fade[n] ** (block * (j - 1))
+                     for j in range(1, reach + 1)]).alias(f"_before_{n}") for n in names])
     joined = join_series(inside, carried, keys, ["_block"])
     return joined.select(
         *keys, F.timestamp_seconds((F.col("_report") + 1) * report_seconds).alias("at"),

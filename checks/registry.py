@@ -7,6 +7,8 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrid.session import ensure_shared_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,6 +24,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # the tables hold times without a zone, which are meant as UTC
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ensure_shared_dir(spark)
             return function(spark, sf_dir)
 
         QUERIES[name] = run

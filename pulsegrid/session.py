@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,16 +24,20 @@ def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder named by ``spark.checkpoint.dir``, which every executor can reach."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(tempfile.gettempdir(), "pulsegrid-shared")
+    return configured.rstrip("/")
+
+
+def ensure_shared_dir(spark: SparkSession) -> None:
+    """For tests: a local session that names no shared folder gets one of its own."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-"))
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

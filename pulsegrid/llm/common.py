@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.session import shared_dir
+from pulsegrid.session import ensure_shared_dir, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,7 @@ def stable(df: DataFrame) -> DataFrame:
 
     Later jobs see the same rows in the same partitions, whatever happens to executors.
     """
+    ensure_shared_dir(df.sparkSession)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import bpe, decontaminate, jaccard_join, secret_scan, toxicity
 from pulsegrid.llm.common import table
-from pulsegrid.session import work_dir
+from pulsegrid.session import ensure_shared_dir, work_dir
 
 ORACLE_SQL = None
 
@@ -63,6 +63,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is a table in the shared folder."""
+    ensure_shared_dir(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_dir(spark, f"pipeline-{name}")

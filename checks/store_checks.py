@@ -19,7 +19,7 @@ from pulsegrid.sources.envelope import decode_envelope
 from pulsegrid.sources.points import compact_points, read_points, write_archive, write_points
 from pulsegrid.sources.topic import order_by_series, read_topic, write_topic
 from pulsegrid.streaming.jobs import (
-    drop_redelivered, load_topic_to_points, store_stream, stream_panel, tick_trigger, union_streams)
+    drop_redelivered, load_topic_to_points, store_stream, stream_panel, stream_panel_series, tick_trigger, union_streams)
 
 TOPIC = {"consumer.topic": "metrics", "consumer.auto.offset.reset": "earliest"}
 
@@ -264,6 +264,28 @@ def panel_of_stream(spark, sf_dir):
     return rows.withColumn("total", F.round("total", 3)).withColumn("mean", F.round("mean", 6))
 
 
+def _closed_sql(panel_id: str) -> str:
+    """The panel's oracle without empty hours, of the hours that the stream has closed."""
+    newest = f"SELECT max(ts) - INTERVAL 1 HOUR FROM m WHERE name = '{PANELS[panel_id].measurement}'"
+    return (f"WITH {MEASUREMENTS_SQL} SELECT * FROM ({SERIES_SQL[panel_id]}) "
+            f"WHERE value IS NOT NULL AND bucket + INTERVAL 1 HOUR <= ({newest})")
+
+
+def _register_stream(panel_id: str) -> None:
+    @query(f"r03_stream_{panel_id.lower()}", _closed_sql(panel_id))
+    def shown(spark, sf_dir):
+        out = work_dir(spark, f"r03-{panel_id}")
+        rows = _points_stream(spark, sf_dir, f"r03-{panel_id}-in")
+        panel = stream_panel_series(rows, panel_id, ASKED, HOUR, "1 hour")
+        store_stream(panel, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+        stored_rows = spark.read.schema(panel.schema).parquet(f"{out}/rows")
+        return stored_rows.withColumn("value", F.round("value", 6))
+
+
+for _panel_id in ("Q01", "Q08", "Q13", "Q14"):
+    _register_stream(_panel_id)
+
+
 @query("r04_multi_source_union", """
     SELECT CASE WHEN value >= 50 THEN 'west' ELSE 'east' END AS dc, event_type AS name, count(*) AS n
     FROM events GROUP BY ALL""")

@@ -149,7 +149,11 @@ def panel_table(df: DataFrame, panel: Panel, asked: Range, width: int | None = N
 def panel_series(df: DataFrame, panel: Panel, asked: Range, width: int | None = None,
                  fill: bool = True) -> DataFrame:
     """The panel as shown: bucket, its keys, the series label, value, and level if it has any."""
-    table = panel_table(df, panel, asked, width, fill)
+    return shown_series(panel_table(df, panel, asked, width, fill), panel)
+
+
+def shown_series(table: DataFrame, panel: Panel) -> DataFrame:
+    """A table of a panel's aggregates, of a stream too, as rows of labelled values."""
     names = [t.column for t in panel.targets]
     rows = buckets.unpivot_aggregates(table, list(panel.by), names)
     tags = {k: F.col(k) for k in panel.by}

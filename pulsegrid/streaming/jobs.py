@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsegrid.functions.tags import with_fixed_tags
+from pulsegrid.functions.tags import group_tag, with_fixed_tags
 from pulsegrid.functions.values import interval_seconds
 from pulsegrid.operators.buckets import aggregate
 from pulsegrid.operators.skew import SALTS
+from pulsegrid.plans.panels import PANELS, Range, panel_filter, shown_series
 from pulsegrid.schema import series_key, tag_entries
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
 from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, write_points
@@ -105,6 +106,21 @@ def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: in
     return panels.select(F.col("_w.start").alias("bucket"), *keys, *aggregates)
 
 
+def stream_panel_series(df: DataFrame, panel_id: str, asked: Range, width: int | None = None,
+                        delay: str = "30 minutes") -> DataFrame:
+    """A panel of the cluster dashboard by its id over a stream, as ``panel_series`` shows it.
+
+    Buckets without any measurement are not made up, and medians come from bounded sketches.
+    """
+    panel = PANELS[panel_id]
+    table = stream_panel(df, panel_filter(df, panel, asked), {k: group_tag(df, k) for k in panel.by},
+                         width or asked.width(panel), {t.column: (t.how, t.field) for t in panel.targets}, delay)
+    for t in panel.targets:
+        if t.negative:
+            table = table.withColumn(t.column, -F.col(t.column))
+    return shown_series(table, panel)
+
+
 def store_stream(df: DataFrame, path: str, checkpoint: str,
                  interval: int | str | None = DEFAULT_INTERVAL) -> StreamingQuery:
     """Append finished rows of a stream to Parquet."""

@@ -11,7 +11,7 @@ from pulsegrid.llm.common import stable
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b); root is the least node it reaches.
 
-    Alternates two rounds until nothing changes: every node hands its greater neighbours to its least
+    Alternates two steps until only stars are left: every node hands its greater neighbours to its least
     neighbour, then its smaller ones (Kiveris et al. 2014, "Connected components in MapReduce and
     beyond"). Each is a partial aggregate and a join; edges shrink to stars, nothing is collected. A link
     with a null end counts for nothing. With ``rounds`` it stops after as many: nodes of one root are
@@ -19,7 +19,6 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """
     edges = stable(links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -37,9 +36,12 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
             if not rounds:
                 break
             continue
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        # done when every node has one parent and no parent has one
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        seen = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if seen.where("up > 1 OR (up = 1 AND down = 1)").isEmpty():
             break
-        state = now
-    roots = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(
+        F.min("root").alias("root"))

@@ -10,8 +10,7 @@ prefix can link with nothing and drops out at once. The rest, mostly near copies
    sizes, places and 256-bit bitmaps of their sets allow a link;
 3. pairs of groups are expanded into pairs of members, whose sets are then compared.
 
-A posting list first joins all its groups with one hub, and all members that this leaves apart with one more in
-each of ``HUBS`` turns, which needs no pairs of the list. Only groups in different components are paired afterwards, so a large group of near copies costs
+A posting list first joins all its nodes with a few hubs (one and ``HUBS`` more), which needs no pairs of the list. Only groups in different components are paired afterwards, so a large group of near copies costs
 some rows for each copy, not one for each pair. No list is cut.
 
 Defined cases: null text, or a text without words, has no shingles, its own doc_id as component, and links
@@ -35,7 +34,7 @@ from pulsegrid.llm.postings import known_ids, range_count, repeated
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
-HUBS = 1
+HUBS = 2
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -142,38 +141,35 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def links(nodes: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between candidate nodes, enough to have all their components."""
-    entries = prefixes(nodes)
+    entries = stable(prefixes(nodes))
     prefix = entries.groupBy("node").agg(F.sort_array(F.collect_list("code")).alias("prefix"))
-    member = (prefix.join(nodes.drop("codes", "left").join(nodes.select("node", F.size("codes").alias("m")), "node"),
-                          "node"))
-    member = member.withColumn("sign", F.xxhash64("n", "prefix"))
-    group = member.groupBy("sign", "n", "prefix").agg(
+    member = prefix.join(nodes.select("node", "n", F.size("codes").alias("m"), "b0", "b1", "b2", "b3"), "node")
+    member = stable(member.withColumn("sign", F.xxhash64("n", "prefix")))
+
+    # one row for each entry and hub of its list
+    near = stable(verified(hub_pairs(entries.join(member.drop("prefix", "sign"), "node"), percent), nodes, percent))
+    root = components(near, rounds=2)
+
+    # what is left: members of different components, in groups that share a code or are the same
+    placed = member.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    group = placed.groupBy("sign", "n", "prefix").agg(
         F.max_by(F.struct("node", "m", "b0", "b1", "b2", "b3"), F.struct("m", "node")).alias("rep"),
-        F.count("*").alias("members"))
-    member = stable(member.join(group.select("sign", "n", "prefix", F.col("rep.node").alias("gid")),
-                                ["sign", "n", "prefix"])
-                    .select("node", "gid", "n", "m", "b0", "b1", "b2", "b3"))
-    posting = stable(group.select(F.col("rep.node").alias("gid"), "n", "rep.m", "rep.b0", "rep.b1", "rep.b2",
-                                  "rep.b3", "members", F.explode("prefix").alias("code")))
-
-    # one row for each posting with the hub of its list, and for each member with the first of its group
-    pairs = list_hub_pairs(posting, percent).unionByName(group_hub_pairs(member, percent)).distinct()
-    near = stable(verified(pairs, nodes, percent))
-    placed, listed, inside = still_apart(member, posting, components(near, 2))
-    for turn in range(HUBS):  # and with others of the component that most are in by now
-        near = near.unionByName(stable(verified(later_hub_pairs(placed, listed, turn, percent), nodes, percent)))
-        placed, listed, inside = still_apart(member, posting, components(near, 2))
-
-    # what is left: members of different components, in groups that share a code or are the same; a pair of groups
-    # counts at the least code that both have
-    prefixed = listed.join(group.select(F.col("rep.node").alias("gid"), "prefix"), "gid")
-    x, y = prefixed.alias("x"), prefixed.alias("y")
+        F.count("*").alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    group = stable(group.select("sign", "n", "prefix", F.col("rep.node").alias("gid"), "rep.m", "rep.b0", "rep.b1",
+                                "rep.b2", "rep.b3", "members", "lo", "hi"))
+    placed = placed.join(group.select("sign", "n", "prefix", "gid"), ["sign", "n", "prefix"]).drop("sign", "prefix")
+    posting = group.drop("sign").withColumn("code", F.explode("prefix"))
+    mixed = posting.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
+    posting = posting.join(mixed.select("code"), "code")
+
+    # a pair of groups counts at the least code that both have
+    x, y = posting.alias("x"), posting.alias("y")
     alone = (F.col("x.members") == 1) & (F.col("y.members") == 1)
     groups = (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart("x", "y")
                      & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent))
                      & (F.col("x.code") == F.array_min(F.array_intersect("x.prefix", "y.prefix"))))
               .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h"))
-              .unionByName(inside.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
+              .unionByName(group.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
     x, y = placed.alias("x"), placed.alias("y")
     pairs = (groups.join(x, F.col("g") == F.col("x.gid"))
              .join(y, (F.col("h") == F.col("y.gid")) & (F.col("x.root") != F.col("y.root"))
@@ -189,45 +185,21 @@ def apart(x: str, y: str):
              & (F.col(f"{x}.lo") == F.col(f"{y}.lo")))
 
 
-def list_hub_pairs(posting: DataFrame, percent: int) -> DataFrame:
-    """Each group's first member with that of the list's hub: of the group with the greatest share of shared shingles,
-    such as what others were copied from."""
-    columns = [c for c in posting.columns if c != "code"]
-    hubs = posting.groupBy("code").agg(
-        F.max_by(F.struct(*columns), F.struct(F.col("m") / F.col("n"), "members", "gid")).alias("y"))
-    return (posting.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
-            .where((F.col("x.gid") != F.col("y.gid")) & sizes_allow("x", "y", percent)
+def hub_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Each entry of a list with the list's hubs.
+
+    One hub is the node with the greatest share of shared shingles, such as what others were copied from. The others
+    are any, different ones in each list, so that a node of a large group meets several of it.
+    """
+    columns = [c for c in held.columns if c != "code"]
+    ranks = [F.struct(F.col("m") / F.col("n"), "node")] + [
+        F.struct(F.xxhash64("node", "code", F.lit(k)), "node") for k in range(HUBS)]
+    hubs = held.groupBy("code").agg(*(F.max_by(F.struct(*columns), r).alias(f"h{k}") for k, r in enumerate(ranks)))
+    hubs = hubs.select("code", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(len(ranks)))))).alias("y"))
+    return (held.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
+            .where((F.col("x.node") != F.col("y.node")) & sizes_allow("x", "y", percent)
                    & bits_allow("x", "y", percent))
-            .select(F.greatest("x.gid", "y.gid").alias("a"), F.least("x.gid", "y.gid").alias("b")))
-
-
-def group_hub_pairs(member: DataFrame, percent: int) -> DataFrame:
-    """Each member with the first of its group."""
-    return (member.alias("x").join(member.where("node = gid").alias("y"), F.col("x.gid") == F.col("y.gid"))
-            .where((F.col("x.node") != F.col("y.node")) & bits_allow("x", "y", percent))
-            .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")))
-
-
-def later_hub_pairs(placed: DataFrame, listed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member outside the least component of a list with one inside it, another in each list and turn."""
-    held = listed.select("code", "l", "gid").join(placed, "gid").drop("gid")
-    columns = [c for c in held.columns if c not in ("code", "l")]
-    hubs = held.where("root = l").groupBy("code").agg(
-        F.max_by(F.struct(*columns), F.struct(F.xxhash64("node", "code", F.lit(turn)), "node")).alias("y"))
-    return (held.where("root != l").alias("x").join(
-        hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
-        .where(sizes_allow("x", "y", percent) & bits_allow("x", "y", percent))
-        .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
-
-
-def still_apart(member: DataFrame, posting: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members with their roots, postings of the lists that more than one component holds, and roots by group."""
-    placed = stable(member.join(root.select("node", "root"), "node", "left")
-                    .withColumn("root", F.coalesce("root", "node")))
-    inside = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    rooted = posting.join(inside, "gid")
-    mixed = rooted.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
-    return placed, stable(rooted.join(mixed.select("code", "l"), "code")), inside
+            .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",

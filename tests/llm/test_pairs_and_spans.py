@@ -88,6 +88,9 @@ def test_components(spark):
     links = spark.createDataFrame([*chain, (None, 4)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
     assert got == {k: 10 for k in range(10, 61)} | {5: 5, 100: 5, 7: 5}
+    early = [(r.node, r.root) for r in components(links, rounds=1).collect()]
+    assert len(early) == len(got) == len(dict(early)) and all(got[a] == got[b] for a, b in early)
+    assert components(links.where("false")).collect() == []
 
 
 def brute_repeats(rows, window):

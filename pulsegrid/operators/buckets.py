@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.tags import group_tag, tag
 from pulsegrid.functions.values import floor_div
 from pulsegrid.operators.quantiles import exact_percentiles
-from pulsegrid.operators.skew import join_series, with_next
+from pulsegrid.operators.skew import explode_in_chunks, join_series, with_next
 
 
 def time_bucket(width: int, ts: str = "ts") -> Column:
@@ -54,28 +54,27 @@ def bucket_agg(df: DataFrame, width: int, keys: list[str], aggregates: dict[str,
 def fill_null(bucketed: DataFrame, start: str, end: str, width: int, keys: list[str]) -> DataFrame:
     """A row for every bucket of the range, for each series that has any; empty ones are null.
 
-    Every bucket that is there adds the empty ones up to the next; those before the first of a
-    series come from the first alone. A series is cut into chunks of time (``with_next``), so a
-    long one is spread over tasks.
+    Every bucket that is there adds the empty ones up to the next (the first one also those
+    before it), so the input is read once. A series has at most one row per bucket here,
+    however many measurements it had; what it is filled with is dealt to tasks by chunks of time.
     """
     first, last = (F.lit(t).cast("timestamp") for t in (start, end))
     begin = floor_div(F.unix_seconds(first), width)
     # the last bucket is the one that holds the moment before the end
     stop = floor_div(F.unix_micros(last) - 1, width * 1_000_000)
-    indexed = bucketed.withColumn("_i", floor_div(F.unix_seconds("bucket"), width))
-    rows = with_next(indexed, keys, "_i", [])
-    highest = F.greatest(F.coalesce("next__i", stop + 1) - 1, F.col("_i"))
-    rows = rows.withColumn("_at", F.explode(F.sequence(F.col("_i"), highest)))
+    index = floor_div(F.unix_seconds("bucket"), width)
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_i")
+    rows = (bucketed.withColumn("_i", index)
+            .withColumn("_before", F.lag("_i").over(order))
+            .withColumn("_after", F.coalesce(F.lead("_i").over(order), stop + 1)))
+    rows = rows.withColumns({
+        "_low": F.when(F.col("_before").isNull(), F.least(begin, F.col("_i"))).otherwise(F.col("_i")),
+        "_high": F.greatest(F.col("_after") - 1, F.col("_i"))})
+    rows = explode_in_chunks(rows, keys, "_low", "_high", "_at")
     here = F.col("_at") == F.col("_i")
-    filled = rows.select(*[
+    return rows.select(*[
         F.timestamp_seconds(F.col("_at") * width).alias(c) if c == "bucket"
         else F.col(c) if c in keys else F.when(here, F.col(c)).alias(c) for c in bucketed.columns])
-    starts = indexed.groupBy(*keys).agg(F.min("_i").alias("_i")).where(F.col("_i") > begin)
-    before = starts.withColumn("_at", F.explode(F.sequence(begin, F.col("_i") - 1)))
-    return filled.unionByName(before.select(*[
-        F.timestamp_seconds(F.col("_at") * width).alias(c) if c == "bucket"
-        else F.col(c) if c in keys else F.lit(None).cast(bucketed.schema[c].dataType).alias(c)
-        for c in bucketed.columns]))
 
 
 def connect_nulls(bucketed: DataFrame, keys: list[str], value: str, width: int) -> DataFrame:

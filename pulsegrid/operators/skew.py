@@ -59,3 +59,16 @@ def with_next(points: DataFrame, keys: list[str], index: str, columns: list[str]
     following = F.coalesce("_next", "_after")
     return joined.select(*points.columns[:-1],
                          *[following[c].alias(f"next_{c}") for c in taken])
+
+
+def explode_in_chunks(rows: DataFrame, keys: list[str], low: str, high: str, name: str,
+                      chunk: int = 65536) -> DataFrame:
+    """One row for each whole number from ``low`` to ``high``, as ``name``.
+
+    A range is cut at multiples of ``chunk`` first, and the pieces are dealt to tasks by key and chunk: a key
+    with long ranges is spread, and no array is longer than a chunk. ``_chunk`` is the piece's number.
+    """
+    pieces = rows.withColumn("_chunk", F.explode(F.sequence(
+        F.floor(F.col(low) / chunk), F.floor(F.col(high) / chunk)))).repartition(*keys, "_chunk")
+    return pieces.withColumn(name, F.explode(F.sequence(
+        F.greatest(F.col(low), F.col("_chunk") * chunk), F.least(F.col(high), F.col("_chunk") * chunk + chunk - 1))))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.values import finite, floor_div
 from pulsegrid.operators.buckets import cumulative, time_bucket
 from pulsegrid.operators.quantiles import approximate_percentiles, exact_percentiles
-from pulsegrid.operators.skew import join_series, with_next
+from pulsegrid.operators.skew import explode_in_chunks, join_series
 
 # Percentiles and moving rates a summary has, and the ticks of the rates.
 PERCENTILES = {"95thPercentile": 0.95, "98thPercentile": 0.98, "99thPercentile": 0.99,
@@ -151,21 +151,21 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
               for n in names])
     end = F.floor(F.unix_seconds(F.lit(until).cast("timestamp")) / report_seconds).cast("bigint")
 
-    # one row per key and interval, silent ones too: each interval adds those up to the next. Keys are cut
-    # into chunks of time for this; what is known of a whole key is its first interval
-    firsts = reports.groupBy(*keys).agg(F.min("_report").alias("_report")).withColumn("_starts", F.lit(True))
+    # one row per key and interval, silent ones too: each interval adds those up to the next. A
+    # key has at most one row per interval here, however many observations it had; what follows is
+    # dealt to tasks by key and block
+    by_key = Window.partitionBy(*keys).orderBy("_report")
     first_place = F.col("_first") - F.col("_report") * per_report
+    starts = F.lag("_report").over(by_key).isNull()
     inputs = [(F.col(f"_b_{n}") + F.when(
-        F.col("_starts"), keep[n] * F.col("_first_n") / tick_seconds
+        starts, keep[n] * F.col("_first_n") / tick_seconds
         * F.pow(F.lit(keep[n]), per_report - 1 - first_place)).otherwise(0.0)).alias(n) for n in names]
-    rows = with_next(join_series(reports.filter(F.col("_report") < end), firsts, keys, ["_report"], "left")
-                     .select(*keys, "_report", *inputs), keys, "_report", [])
-    rows = rows.withColumn("_at_report", F.explode(F.sequence(
-        F.col("_report"), F.coalesce("next__report", end) - 1)))
+    rows = reports.filter(F.col("_report") < end).select(
+        *keys, "_report", (F.coalesce(F.lead("_report").over(by_key), end) - 1).alias("_until"), *inputs)
+    rows = explode_in_chunks(rows, keys, "_report", "_until", "_at_report", block)
     here = F.col("_at_report") == F.col("_report")
     dense = rows.select(
-        *keys, F.col("_at_report").alias("_report"),
-        floor_div(F.col("_at_report"), block).alias("_block"),
+        *keys, F.col("_at_report").alias("_report"), F.col("_chunk").alias("_block"),
         *[F.when(here, F.col(n)).otherwise(0.0).alias(n) for n in names])
 
     # within a block: sum of b_i * A^(j-i), written as A^j * sum of b_i * A^-i

@@ -67,10 +67,10 @@ def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 
 def shingle_features(size: int):
-    """Distinct shingles of a batch; a document with the set of one before it in the batch is left out."""
+    """Distinct shingles of a batch, by the first 56 bits of their codes: they only meet within pairs of documents."""
     def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         ids = batch.column(0).to_numpy()
-        sets = list(shingle_sets(batch.column(1), size))
+        sets = [np.unique(s & ~np.uint64(255)) for s in shingle_sets(batch.column(1), size)]
         return np.repeat(ids, [len(s) for s in sets]), np.concatenate(sets) if sets else np.empty(0, np.uint64)
     return features
 
@@ -78,22 +78,23 @@ def shingle_features(size: int):
 def with_bitmaps(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, n, codes) to sorted codes, the places left in the prefix, and four words of bitmap.
 
-    Bit ``code % 256`` is the parity of the codes there, so two bitmaps differ in at most as many bits as the
-    sets differ in codes.
+    Each of 256 bits, chosen by a byte of the code, is the parity of the codes there: so two bitmaps differ in at
+    most as many bits as the sets differ in codes.
     """
     names = ["node", "n", "left", "codes", "b0", "b1", "b2", "b3"]
     schema = pa.schema([(x, pa.list_(pa.int64()) if x == "codes" else pa.int64()) for x in names])
 
     def build(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             rows = {name: [] for name in names}
-            for node, n, codes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                codes = np.unique(np.array(codes, np.int64))
+            for node, n, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
+                                      strict=True):
+                codes = np.unique(codes.values.to_numpy())
                 n = max(n, len(codes))
                 left = n + (-percent * n // 100) + 1 - (n - len(codes))
                 if left <= 0:
                     continue
-                parity = np.bincount(codes.view(np.uint64).astype(np.uint8), minlength=256) & 1
+                parity = np.bincount((codes >> 8).astype(np.uint8), minlength=256) & 1
                 bits = np.packbits(parity.astype(np.uint8)).view(">i8").tolist()
                 for name, value in zip(names, (node, n, left, codes, *bits), strict=True):
                     rows[name].append(value)
@@ -105,7 +106,7 @@ def with_bitmaps(nodes: DataFrame, percent: int) -> DataFrame:
 
 def prefixes(nodes: DataFrame) -> DataFrame:
     """(node, code, pos): the shared shingles within each node's prefix, rarest among the nodes first."""
-    held = nodes.select("node", "left", F.explode("codes").alias("code"))
+    held = nodes.select("node", F.explode("codes").alias("code"))
     # what one node alone holds cannot be shared: it takes up places, and goes no further
     counts = held.groupBy("code").agg(F.count("*").alias("df")).where("df > 1")
     shared = held.join(counts, "code")

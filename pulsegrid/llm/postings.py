@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1_000_000       # codes sorted together in a task
+CHUNK = 500_000         # codes sorted together in a task
 RANGE_BYTES = 4_000_000  # bytes of text for each range of codes
 LEAST_RANGES = 64
 

@@ -7,7 +7,9 @@
 4. secrets: each stretch that holds a secret is replaced by a mark; documents stay, and n_chars follows the text.
 5. tokens: adds nothing to drop; returns doc_id, lang, source, the number of tokens, the ids and their digest.
 
-The first four return the columns of ``documents``. Where SQL has no word for a stage (a fitted model, BPE), the
+The first four return the columns of ``documents``. Defined cases: documents without an id or without words are never
+near duplicates and stay; rows that repeat a doc_id are one document and stay or go together; null texts have no hits,
+no secrets and no tokens. Where SQL has no word for a stage (a fitted model, BPE), the
 result is tested against a plain version in ``tests/llm``.
 """
 

@@ -1,7 +1,10 @@
 """The pipeline's stages, each on its own input, and the queries against their SQL."""
 
+import hashlib
 import os
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,10 @@ SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
 
 import corpus_pipeline  # noqa: E402
+from test_pairs_and_spans import LOWER, brute_components  # noqa: E402
+from test_text_operators import base_of  # noqa: E402
+
+from pulsegrid.llm import bpe, toxicity  # noqa: E402
 from pulsegrid.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 
@@ -67,3 +74,44 @@ def test_near_duplicates_leave_one_of_each_group(spark):
                                   (None, words), (2, None)], "doc_id long, text string")
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "None"]
+
+
+def test_run_against_plain_versions(spark):
+    """All stages one after the other on the smallest tables, each rule written again over Python rows.
+
+    The fitted parts (the toxicity model, the Markov spans) are taken from the operators.
+    """
+    from tokenizers import Tokenizer
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = {r.doc_id: r for r in docs.collect()}
+    model = toxicity.learn(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    lexicon = toxicity.Lexicon(model.terms) if model.terms else None
+    kept = {}
+    for k, r in rows.items():
+        hits = toxicity.hits_of(r.text or "", lexicon) if lexicon else []
+        if model.score(toxicity.features_of(hits, model.terms)) < toxicity.THRESHOLD:
+            kept[k] = r.text or ""
+    classes = brute_components(list(kept.items()), 5, 80)
+    kept = {k: t for k, t in kept.items() if classes[k][1] == k}
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = set()
+    for r in spark.read.parquet(f"{small}/benchmark.parquet").collect():
+        w = word.findall((r.text or "").translate(LOWER))
+        m = min(13, len(w))
+        windows |= {tuple(w[i:i + m]) for i in range(len(w) - m + 1) if m}
+    lengths = {len(w) for w in windows}
+    for k, text in list(kept.items()):
+        w = word.findall(text.translate(LOWER))
+        hit = {j for m in lengths for i in range(len(w) - m + 1) if tuple(w[i:i + m]) in windows for j in range(i, i + m)}
+        if hit and 20 * len(hit) >= len(w):
+            del kept[k]
+    found = {r.doc_id: r for r in corpus_pipeline.run(spark, small).collect()}
+    assert set(found) == set(kept)
+    library = Tokenizer.from_file(bpe.tokenizer_file())
+    plain = [k for k, t in kept.items() if not re.search(r"[A-Za-z0-9+/_=-]{16,}", t) and not base_of(t)]
+    assert len(plain) > len(kept) / 4
+    for k in plain:
+        ids = np.array(library.encode(kept[k], add_special_tokens=False).ids, "<u4").tobytes()
+        assert bytes(found[k].ids) == ids and found[k].ids_sha256 == hashlib.sha256(ids).hexdigest()
+        assert found[k].n_tokens == len(ids) // 4

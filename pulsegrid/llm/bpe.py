@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import query, table
 
-FRAGMENTS = 300_000  # remembered fragments of a task; then it starts afresh
+FRAGMENTS = 150_000  # remembered fragments of a task; then it starts afresh
 BATCH_BYTES = 1 << 20
 
 SPACE = b" \t\n\r"

@@ -18,13 +18,22 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     """Register a query over the given tables; ``sql`` where DuckDB can say the same."""
     def add(function: Query) -> Query:
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            short_batches(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
     return add
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of 500 rows: texts are long, and both a task and its Python worker hold batches whole."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

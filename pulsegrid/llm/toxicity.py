@@ -42,7 +42,7 @@ FUZZY = 5
 WINDOW = 40
 NEAR, QUOTED = 0.6, 0.2
 THRESHOLD = 0.7
-WORDS = 200_000    # remembered words of a task
+WORDS = 50_000     # remembered words of a task
 
 OPENING, CLOSING = "\"'“„«‘‹", "\"'”“»’›"
 #: words of reporting, before a term

@@ -19,18 +19,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import bpe, decontaminate, jaccard_join, secret_scan, toxicity
-from pulsegrid.llm.common import table
+from pulsegrid.llm.common import short_batches, table
 from pulsegrid.session import ensure_shared_dir, work_dir
 
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     classes = jaccard_join.near_duplicates(docs, size=5, percent=80)
     # a row without an id has no class and stays
     dropped = classes.where("doc_id <> component_id").select("doc_id").distinct()
@@ -38,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     found = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
     return found.where(~F.col("contaminated")).select(docs.columns)
 
@@ -50,6 +53,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     found = bpe.encoded(docs, bpe.tokenizer_file(), keep=["doc_id", "lang", "source"])
     return found.select("doc_id", "lang", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
 

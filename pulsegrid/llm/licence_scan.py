@@ -6,6 +6,11 @@ identifiers with gaps for other sentences. Rules are tried in order at each plac
 first; a rule that fits takes its sentences, and the scan goes on behind them. A known sentence that no rule takes is
 reported as unmatched, so that nothing is lost.
 
+Notices are often wrapped, behind comment marks: within a paragraph a line end and the marks at the start of the next
+line count as a blank, and a line without any word ends the paragraph. As a line may also be a notice of its own,
+without a stop, each line and each sentence can begin a known one, which is the longest run of them that has its form.
+A form with an open end goes on to the next stop, but not into a line that begins another known sentence.
+
 Only texts with one of the words that all known sentences share are cut into sentences at all (this is checked when
 the table is built). Defined cases: null and empty texts have no sentences and no licences; repeated notices are
 reported each; a sentence in any case or spacing is the same sentence.
@@ -15,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +29,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import query, table
 
 # --- fixed values: forms of licence sentences (regular expressions over normalised sentences) ---
+HEADER = r"(?:this )?\w+(?: \w+){0,3} is free software you (?:can|may) redistribute it and or modify it under the terms of the "
 SENTENCES = (
     ("mit-name", r"(?:this \w+ is |\w+ is )?(?:released|licensed|distributed|available) under the (?:terms of the )?mit licen[cs]e"),
     ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction .*"),
@@ -31,14 +38,21 @@ SENTENCES = (
     ("no-liability", r"in no event shall .* be liable for any .*"),
     ("apache-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?apache licen[cs]e(?: version)? 2 0(?: the license)?"),
     ("apache-condition", r"you may not use this file except in compliance with the license"),
-    ("apache-copy", r"you may obtain a copy of the license at .*"),
+    ("apache-copy", r"you may obtain a copy of the license at(?: .*)?"),
+    ("apache-url", r"https? www apache org licenses license 2 0(?: txt| html)?"),
     ("apache-as-is", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*"),
     ("gpl2-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2"),
+    ("gpl2-later", HEADER + r"gnu general public licen[cs]e as published by the free software foundation either version 2 of the licen[cs]e or (?:at your option )?any later version"),
+    ("gpl2-only", HEADER + r"gnu general public licen[cs]e(?: as published by the free software foundation version 2(?: of the licen[cs]e)?(?: only)?| version 2(?: only)? as published by the free software foundation)"),
+    ("gpl3-later", HEADER + r"gnu general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or (?:at your option )?any later version"),
+    ("gpl3-only", HEADER + r"gnu general public licen[cs]e(?: as published by the free software foundation version 3(?: of the licen[cs]e)?(?: only)?| version 3(?: only)? as published by the free software foundation)"),
+    ("agpl-header", HEADER + r"gnu affero general public licen[cs]e as published by the free software foundation(?: either)? version 3(?: of the licen[cs]e)?(?: or (?:at your option )?any later version)?"),
+    ("lgpl-header", HEADER + r"gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation(?: either)? version (?:2|2 1|3)(?: of the licen[cs]e)?(?: or (?:at your option )?any later version)?"),
     ("gpl3-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3"),
     ("lgpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu (?:lesser|library) general public licen[cs]e version (?:2|2 1|3)"),
     ("agpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu affero general public licen[cs]e version 3"),
     ("later", r"(?:or )?(?:at your option )?any later version(?: of the license)?"),
-    ("gpl-warranty", r"this program is distributed in the hope that it will be useful but without any warranty .*"),
+    ("gpl-warranty", r"this program is distributed in the hope that it will be useful but without any warranty(?: .*)?"),
     ("bsd-grant", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd-source", r"(?:1 )?redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd-binary", r"(?:2 )?redistributions in binary form must reproduce the above copyright notice .*"),
@@ -55,8 +69,15 @@ RULES = (
     (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
     (("mit-grant", "mit-notice", "as-is"), "MIT"),
     (("apache-name", "apache-condition", "apache-copy", "apache-as-is"), "Apache-2.0"),
+    (("apache-name", "apache-condition", "apache-copy", "apache-url", "apache-as-is"), "Apache-2.0"),
     (("gpl3-name", "later"), "GPL-3.0-or-later"),
     (("gpl2-name", "later"), "GPL-2.0-or-later"),
+    (("gpl3-later",), "GPL-3.0-or-later"),
+    (("gpl2-later",), "GPL-2.0-or-later"),
+    (("gpl3-only",), "GPL-3.0-only"),
+    (("gpl2-only",), "GPL-2.0-only"),
+    (("agpl-header",), "AGPL-3.0"),
+    (("lgpl-header",), "LGPL"),
     (("spdx",), "{id}"),
     (("apache-name",), "Apache-2.0"),
     (("agpl-name",), "AGPL-3.0"),
@@ -74,38 +95,109 @@ KEYS = ("licen", "permission", "copyright", "warranty", "liable", "redistributio
 # --- end of fixed values ---
 
 KEYWORD = re.compile("|".join(k.replace(" ", r"\W+") for k in KEYS), re.IGNORECASE)
-#: a sentence ends at a line end, or at a stop before white space
-SENTENCE = re.compile(r"[^\n]+?(?:[.;!?](?=\s|$)|(?=\n|$))")
+#: a part ends at a line end, or at a stop before white space
+PART = re.compile(r"[^\n]+?(?:[.;!?](?=\s|$)|(?=\n|$))")
 FORMS = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
+OPEN = {name for name, pattern in SENTENCES if pattern.endswith((" .*", "(?: .*)?"))}
+#: between fixed words anything but a stop may stand
+FREE = OPEN | {name for name, pattern in SENTENCES if ".*" in pattern}
+#: one part each, as what follows them on the next line is no part of them
+SINGLE = {"spdx", "copyright"}
+#: a stop that ends no sentence
+SHORT = re.compile(r"\b(?:inc|ltd|corp|co)\.$", re.IGNORECASE)
+CLOSER = re.compile(r"\s*(?:\*+/|-->|[*#]+)\s*$")
+#: longest run of words in which the fixed words of a form are looked for
+WINDOW = 120
+
+
+class Part(NamedTuple):
+    start: int
+    end: int
+    text: str
+    plain: str
+    stop: bool
 
 
 def normalised(sentence: str) -> str:
     return " ".join(re.sub(r"[\W_]+", " ", sentence.lower()).split())
 
 
+def paragraphs(text: str) -> Iterator[list[Part]]:
+    parts: list[Part] = []
+    for found in PART.finditer(text):
+        a, b, part = found.start(), found.end(), found.group()
+        plain = normalised(part)
+        if "\n\n" in text[max(a - 2, 0):a] or not plain and text[a - 1:a] in ("", "\n") and text[b:b + 1] in ("", "\n"):
+            if parts:
+                yield parts
+            parts = []
+        if plain:
+            stop = part[-1] in ".;!?" and not plain.isdigit() and not SHORT.search(part)
+            parts.append(Part(a + len(part) - len(part.lstrip()), b, part, plain, stop))
+    if parts:
+        yield parts
+
+
+def begins(parts: list[Part], at: int) -> Iterator[tuple[int, str, re.Match]]:
+    """(parts, identifier, match) of the runs from ``at`` that have a form; the shortest run for one with an open end."""
+    words, ends, size, tail = 0, [], -1, []
+    for part in parts[at:]:
+        tail.append(part.plain)
+        words += part.plain.count(" ") + 1
+        size += len(part.plain) + 1
+        ends.append(size)
+        if words >= WINDOW:
+            break
+    plain = " ".join(tail)
+    if not KEYWORD.search(plain):
+        return
+    stop = next((n for n in range(1, len(ends) + 1) if parts[at + n - 1].stop), len(ends))
+    for name, form in FORMS:
+        if form.match(plain):
+            most = 1 if name in SINGLE else stop if name in FREE else len(ends)
+            for n in range(1, most + 1) if name in OPEN else range(most, 0, -1):
+                match = form.fullmatch(plain, 0, ends[n - 1])
+                if match:
+                    yield n, name, match
+                    break
+
+
+def known(parts: list[Part], at: int) -> tuple[int, str, re.Match] | None:
+    """(parts, identifier, match) of the longest known sentence that begins at ``at``."""
+    best = None
+    for n, name, match in begins(parts, at):
+        if name in OPEN and name not in SINGLE:
+            while not parts[at + n - 1].stop and at + n < len(parts) and not any(
+                    x != "copyright" or re.match(r"copyright (?:c |\d{4})", parts[at + n].plain)
+                    for _, x, _ in begins(parts, at + n)):
+                n += 1
+        if best is None or n > best[0]:
+            best = n, name, match
+    return best
+
+
 def sentences(text: str) -> Iterator[tuple[int, int, str, dict[str, str]]]:
     """(start, end, identifier, parts) of the known sentences, and one "gap" for others between them."""
     gap = True
-    for found in SENTENCE.finditer(text):
-        if KEYWORD.search(found.group()):
-            plain = normalised(found.group())
-            for name, form in FORMS:
-                match = form.fullmatch(plain)
-                if match:
-                    start = found.start() + len(found.group()) - len(found.group().lstrip())
-                    parts = ({"id": found.group().partition(":")[2].strip()} if name == "spdx" else
-                             {k: v.upper().replace(" ", "." if k == "version" else "-")
-                              for k, v in match.groupdict().items()})
-                    yield start, found.end(), name, parts
-                    gap = False
-                    break
+    for parts in paragraphs(text):
+        at = 0
+        found = KEYWORD.search(text, parts[0].start, parts[-1].end)
+        while at < len(parts):
+            best = known(parts, at) if found else None
+            if best:
+                n, name, match = best
+                first = parts[at].text
+                values = ({"id": CLOSER.sub("", first.partition(":")[2]).strip()} if name == "spdx" else
+                          {k: v.upper().replace(" ", "." if k == "version" else "-")
+                           for k, v in match.groupdict().items()})
+                yield parts[at].start, parts[at + n - 1].end, name, values
+                gap = False
+                at += n
             else:
                 if not gap:
-                    yield found.start(), found.end(), "gap", {}
+                    yield parts[at].start, parts[at].end, "gap", {}
                 gap = True
-        elif found.group().strip() and not gap:
-            yield found.start(), found.end(), "gap", {}
-            gap = True
+                at += 1
 
 
 def licences(text: str) -> list[tuple[int, int, str]]:

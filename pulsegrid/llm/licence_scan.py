@@ -11,8 +11,8 @@ line count as a blank, and a line without any word ends the paragraph. As a line
 without a stop, each line and each sentence can begin a known one, which is the longest run of them that has its form.
 A form with an open end goes on to the next stop, but not into a line that begins another known sentence.
 
-Only texts with one of the words that all known sentences share are cut into sentences at all (this is checked when
-the table is built). Defined cases: null and empty texts have no sentences and no licences; repeated notices are
+Only texts with one of the words that all known sentences share are cut into sentences at all (the tests make
+sentences of each form and look for those words). Defined cases: null and empty texts have no sentences and no licences; repeated notices are
 reported each; a sentence in any case or spacing is the same sentence.
 """
 
@@ -91,10 +91,11 @@ RULES = (
 )
 #: every known sentence has one of these in its normalised form
 KEYS = ("licen", "permission", "copyright", "warranty", "liable", "redistribution", "public domain", "later version",
-        "all rights reserved")
+        "all rights reserved", "creative commons", "cc by", "cc 0")
 # --- end of fixed values ---
 
-KEYWORD = re.compile("|".join(k.replace(" ", r"\W+") for k in KEYS), re.IGNORECASE)
+#: "cc" only as a word
+KEYWORD = re.compile("|".join(re.sub("^cc ", r"cc(?<![^\\W_]cc) ", k).replace(" ", r"[\W_]+") for k in KEYS), re.IGNORECASE)
 #: a part ends at a line end, or at a stop before white space
 PART = re.compile(r"[^\n]+?(?:[.;!?](?=\s|$)|(?=\n|$))")
 FORMS = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)

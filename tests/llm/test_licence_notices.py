@@ -1,5 +1,9 @@
 """Notices as they stand in files: wrapped, behind comment marks."""
 
+import random
+import re
+from re import _parser
+
 import pytest
 
 from pulsegrid.llm import licence_scan
@@ -64,3 +68,41 @@ def test_lines_stay_notices_of_their_own():
     assert names("/* SPDX-License-Identifier: MIT */\n# SPDX-License-Identifier: 0BSD") == ["MIT", "0BSD"]
     assert names("This work is licensed under the GNU General Public\n# License, version 3.\n#\n# Also this. Any later version.") == [
         "GPL-3.0-only", "unmatched:later"]
+
+
+def members(parsed, rnd):
+    """A random text that a parsed regular expression matches."""
+    out = ""
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(value)
+        elif op == "ANY":
+            out += rnd.choice("xyz ")
+        elif op == "IN":
+            kind, x = rnd.choice(value)
+            out += chr(x) if str(kind) == "LITERAL" else rnd.choice("0123456789") if "DIGIT" in str(x) else rnd.choice("abz")
+        elif op == "MAX_REPEAT":
+            least, most, inner = value
+            out += "".join(members(inner, rnd) for _ in range(rnd.randint(least, min(most, least + 3))))
+        elif op == "SUBPATTERN":
+            out += members(value[3], rnd)
+        elif op == "BRANCH":
+            out += members(rnd.choice(value[1]), rnd)
+        else:
+            raise ValueError(op)
+    return out
+
+
+def test_prefilter_keeps_every_form():
+    rnd = random.Random(8)
+    for name, pattern in licence_scan.SENTENCES:
+        for _ in range(300):
+            text = members(_parser.parse(pattern), rnd)
+            assert re.fullmatch(pattern, text), name
+            assert licence_scan.KEYWORD.search(text.replace(" ", rnd.choice([" ", "\n# ", "-", "_"]))), (name, text)
+
+
+def test_creative_commons_without_the_word_licence():
+    assert [x for _, _, x in licence_scan.licences("Released under CC BY-SA 4.0.")] == ["CC-BY-SA-4.0"]
+    assert [x for _, _, x in licence_scan.licences("This work is released under Creative Commons BY 4.0.")] == ["CC-BY-4.0"]

@@ -4,10 +4,10 @@ All rows are to be in random order, and shard j gets its exact number of them. H
 shard j is then a cell of a random matrix with given row sums (rows of the partitions) and column sums (sizes of
 the shards): a multivariate hypergeometric draw. With the matrix known, every task deals out its own rows:
 
-1. Draw: columns are blocks of at most ``block_rows`` rows, each a stretch of the slots of one shard, so no later
-   group grows with the input. Nobody holds the matrix. A task draws its own row by walking down a binary tree
+1. Draw: columns are blocks of at most ``block_rows`` rows, and of so many that rows of mean size make
+   ``block_bytes`` at most, each a stretch of the slots of one shard, so no later group grows with the input. Nobody holds the matrix. A task draws its own row by walking down a binary tree
    over the partitions: at each node the columns left over are split between the halves, by a generator seeded by
-   the node, so all tasks agree. The driver knows the number of rows of each partition and no more.
+   the node, so all tasks agree. The driver knows the rows and bytes of each partition and no more.
 2. Permute locally: the labels of the row, in random order, go to the partition's rows.
 3. Exchange by block, and permute again: a random key orders the rows of each block, which take its slots.
 
@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import query, stable, table
+from pulsegrid.session import ensure_shared_dir, work_dir
 
 BLOCK_ROWS = 100_000
+BLOCK_BYTES = 16_000_000
 LARGEST = 10 ** 9  # populations that numpy draws from
 
 
@@ -99,14 +101,26 @@ def block_sizes(rows: int, shards: int, block_rows: int) -> list[tuple[int, int,
     return out
 
 
-def shuffled_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def partition_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = size = 0
+    for batch in batches:
+        rows += batch.num_rows
+        size += batch.nbytes
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                      pa.array([rows], pa.int64()), pa.array([size], pa.int64())], names=["p", "n", "size"])
+
+
+def shuffled_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: int = BLOCK_ROWS,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``df`` with shard int and slot long; columns of these names are replaced."""
     keep = [c for c in df.columns if c not in ("shard", "slot")]
     rows = stable(df.select(F.struct(*keep).alias("row")))
-    counts = {r["p"]: r["n"] for r in
-              rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    found = rows.mapInArrow(partition_sizes, "p int, n bigint, size bigint").collect()
+    counts = {r["p"]: r["n"] for r in found}
     sizes = np.array([counts.get(p, 0) for p in range(max(counts, default=-1) + 1)], np.int64)
-    blocks = block_sizes(int(sizes.sum()), shards, block_rows)
+    total = int(sizes.sum())
+    fit = block_bytes * total // max(1, sum(r["size"] for r in found))
+    blocks = block_sizes(total, shards, max(1, min(block_rows, fit)))
     kind = rows.schema["row"].dataType.simpleString()
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,10 +146,19 @@ def shuffled_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: int =
     return dealt.withColumn("slot", F.col("first") + place - 1).select("row.*", "shard", "slot")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as written to the shared folder."""
+    ensure_shared_dir(df.sparkSession)
+    path = work_dir(df.sparkSession, "shards")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query("op3_sharding")
 def op3(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    facts = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("bigint").alias("size"),
-                        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
-    return shuffled_shards(facts, 40).select(
-        "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+    # whole documents are written to their shards; sizes and digests are those of the texts that stand there
+    shards = written(shuffled_shards(table(spark, sf_dir, "documents"), 40))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return shards.select("doc_id", (F.octet_length(text) + 16).cast("bigint").alias("size"),
+                         F.crc32(text.cast("binary")).alias("text_crc32"), "shard", "slot",
+                         F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))

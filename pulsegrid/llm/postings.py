@@ -3,23 +3,27 @@
 Each task sorts the codes of a chunk of documents and keeps one entry per code and chunk, so that a
 code which a third of all documents hold reaches its group once per chunk. Entries go to ranges of
 the code space as packed arrays (differences of sorted codes, byte by byte), which is a third of the
-size of rows. A range is one group of bounded size: their number follows the bytes of the input.
+size of rows. What a chunk settles itself meets nothing: it goes on in pieces of bounded size, each a group of its
+own. A range holds one entry per code and chunk, and the number of ranges follows the bytes of the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 500_000         # codes sorted together in a task
 RANGE_BYTES = 4_000_000  # bytes of text for each range of codes
 LEAST_RANGES = 64
+PIECE = 50_000          # settled rows that go on together
 
-ENTRIES = "part int, n int, codes binary, docs binary, settled binary"
+ENTRIES = "part int, piece bigint, n int, codes binary, docs binary, settled binary"
 FOUND = "doc_id bigint, code bigint, first bigint"
 
 #: features of a batch: (doc ids, codes), one pair for each distinct code of a document
@@ -78,9 +82,12 @@ def cut(codes: np.ndarray, ranges: int) -> Iterator[tuple[int, int, int]]:
             yield r, at[r], at[r + 1]
 
 
-def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: bool) -> dict[str, list]:
+def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: bool,
+                  pieces: Iterator[int]) -> dict[str, list]:
     """Entries of one chunk: one for each code, with its least document, and what the chunk settles itself.
 
+    The settled ones have the part ``ranges`` and a number of ``pieces``; the others have the piece 0.
+
     A code held twice in the chunk is settled here: for all its documents, or with ``earlier`` for those
     after the first, which goes on as the chunk's entry for the code.
     """
@@ -89,19 +96,21 @@ def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: boo
     first, group = runs(codes)
     least = np.minimum.reduceat(docs, first)
     several = np.maximum.reduceat(docs, first) > least
-    out = {name: [] for name in ("part", "n", "codes", "docs", "settled")}
+    out = {name: [] for name in ("part", "piece", "n", "codes", "docs", "settled")}
 
-    def add(part, codes, docs, settled):
-        for name, value in zip(out, (part, len(codes), pack_sorted(codes), pack_ids(docs), settled), strict=True):
+    def add(part, piece, codes, docs, settled):
+        values = part, piece, len(codes), pack_sorted(codes), pack_ids(docs), settled
+        for name, value in zip(out, values, strict=True):
             out[name].append(value)
 
     entry = codes[first]
     for r, a, b in cut(entry, ranges):
-        add(r, entry[a:b], least[a:b], np.packbits(several[a:b]).tobytes())
+        add(r, 0, entry[a:b], least[a:b], np.packbits(several[a:b]).tobytes())
     known = docs > least[group] if earlier else several[group]
     known_codes, known_docs, known_first = codes[known], docs[known], least[group][known]
-    for r, a, b in cut(known_codes, ranges):
-        add(ranges + r, known_codes[a:b], known_docs[a:b], pack_ids(known_first[a:b]))
+    for a in range(0, len(known_codes), PIECE):
+        b = a + PIECE
+        add(ranges, next(pieces), known_codes[a:b], known_docs[a:b], pack_ids(known_first[a:b]))
     return out
 
 
@@ -112,17 +121,18 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
     id; without, of all documents that hold it, and ``first`` says nothing.
     """
     names = [f.split()[0] for f in ENTRIES.split(", ")]
-    entry_schema = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("codes", pa.binary()),
+    entry_schema = pa.schema([("part", pa.int32()), ("piece", pa.int64()), ("n", pa.int32()), ("codes", pa.binary()),
                               ("docs", pa.binary()), ("settled", pa.binary())])
     found_schema = pa.schema([("doc_id", pa.int64()), ("code", pa.int64()), ("first", pa.int64())])
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+        pieces = count((TaskContext.get().partitionId() << 32) + 1)
 
         def flush():
             made = chunk_entries(np.concatenate([d for d, _ in held]), np.concatenate([c for _, c in held]),
-                                 ranges, earlier)
+                                 ranges, earlier, pieces)
             return pa.RecordBatch.from_pydict({name: made[name] for name in names}, schema=entry_schema)
 
         for batch in batches:
@@ -141,7 +151,7 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
         rows = group.to_pylist()
         codes = [unpack_sorted(r["codes"], r["n"]) for r in rows]
         ids = [unpack_ids(r["docs"], r["n"]) for r in rows]
-        if rows[0]["part"] >= ranges:  # what chunks have settled
+        if rows[0]["part"] >= ranges:  # a piece of what a chunk has settled
             code, doc = np.concatenate(codes), np.concatenate(ids)
             first = np.concatenate([unpack_ids(r["settled"], r["n"]) for r in rows])
         else:
@@ -156,7 +166,7 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
             code, doc, first = code[keep], doc[keep], first[keep]
         return pa.table([pa.array(doc), pa.array(code.view(np.int64)), pa.array(first)], schema=found_schema)
 
-    return docs.mapInArrow(entries, ENTRIES).groupBy("part").applyInArrow(meet, FOUND)
+    return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, FOUND)
 
 
 def known_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

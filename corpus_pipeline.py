@@ -7,7 +7,7 @@
 4. secrets: each stretch that holds a secret is replaced by a mark; documents stay, and n_chars follows the text.
 5. tokens: adds nothing to drop; returns doc_id, lang, source, the number of tokens, the ids and their digest.
 
-The first four return the columns of ``documents``. Defined cases: documents without an id or without words are never
+The first four return the columns of ``documents``, extra ones too, whatever their names. Defined cases: documents without an id or without words are never
 near duplicates and stay; rows that repeat a doc_id are one document and stay or go together; null texts have no hits,
 no secrets and no tokens. Where SQL has no word for a stage (a fitted model, BPE), the
 result is tested against a plain version in ``tests/llm``.
@@ -19,37 +19,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import bpe, decontaminate, jaccard_join, secret_scan, toxicity
-from pulsegrid.llm.common import short_batches, table
+from pulsegrid.llm.common import short_batches, table, without
 from pulsegrid.session import ensure_shared_dir, work_dir
 
 ORACLE_SQL = None
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The texts and, apart from what a stage adds, the whole rows: a stage overwrites no column of its input."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(docs.columns)
+    return toxicity.scored(packed(docs), model).where(F.col("score") < toxicity.THRESHOLD).select("document.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
     classes = jaccard_join.near_duplicates(docs, size=5, percent=80)
     # a row without an id has no class and stays
-    dropped = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, classes.where("doc_id <> component_id").select("doc_id"), "doc_id")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
-    found = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(docs.columns)
+    found = decontaminate.benchmark_hits(packed(docs), table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select("document.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.scanned(docs, secret_scan.train(docs))
-    clean = found.withColumn("text", secret_scan.redacted(F.col("text"), F.col("spans")))
-    return clean.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(
-        F.col("n_chars"))).select(docs.columns)
+    found = secret_scan.scanned(packed(docs), secret_scan.train(docs))
+    clean = secret_scan.redacted(F.col("text"), F.col("spans"))
+    changed = {"text": clean, "n_chars": F.when(F.size("spans") > 0, F.length(clean).cast("bigint")).otherwise(
+        F.col("document.n_chars"))}
+    return found.select(*(changed[c].alias(c) if c in changed else F.col(f"document.`{c}`") for c in docs.columns))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import query, table
+from pulsegrid.llm.common import query, rows_and, table, whole_row
 
 FRAGMENTS = 150_000  # remembered fragments of a task; then it starts afresh
 BATCH_BYTES = 1 << 20
@@ -123,8 +123,7 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str]
     with open(tokenizer, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "ids", "decoded")]
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.struct(*keep).alias("row"))
-    kept = rows.schema["row"].dataType.simpleString()
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), whole_row(keep).alias("row"))
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = start = 0
@@ -146,7 +145,7 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str]
                      pa.array([codec.decode(x) for x in ids], pa.string())],
                     names=["row", "n_tokens", "ids", "decoded"])
 
-    return rows.mapInArrow(run, f"row {kept}, n_tokens bigint, ids binary, decoded string").select(
+    return rows.mapInArrow(run, rows_and(rows, "row", "n_tokens bigint, ids binary, decoded string")).select(
         "row.*", "n_tokens", "ids", "decoded")
 
 

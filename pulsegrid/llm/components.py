@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import stable
+from pulsegrid.llm.common import forget, spread_join, stable
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -15,22 +15,27 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     neighbour, then its smaller ones (Kiveris et al. 2014, "Connected components in MapReduce and
     beyond"). Each is a partial aggregate and a join; edges shrink to stars, nothing is collected. A link
     with a null end counts for nothing. With ``rounds`` it stops after as many: nodes of one root are
-    connected then, but connected nodes may still have several roots.
+    connected then, but connected nodes may still have several roots. The edges of a hot root are dealt to several
+    tasks, and a round deletes the table of the round before.
     """
     edges = stable(links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
                    .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        # large star: greater neighbours v of u go to the least of u and its neighbours
-        large = (edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
-                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u != v"))
+        # large star: greater neighbours v of u go to the least of u and its neighbours; a root may have most of them
+        turned = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        large = stable(spread_join(turned, least, "u", ["v"]).select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+                       .where("u != v").distinct())
         # small star: smaller neighbours of u, and u itself, go to the least of them
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = stable(large.join(small, "u").select(
+        grown = stable(spread_join(large, small, "u", ["v"]).select(
             F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")),
                               F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("e"))
             .select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).where("u != v").distinct())
+        forget(edges)
+        forget(large)
+        edges = grown
         if rounds is not None:
             rounds -= 1
             if not rounds:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import query, table, text_bytes
+from pulsegrid.llm.common import query, table, text_bytes, whole_row
 
 WINDOW = 13
 BLOCK_BYTES = 16_000_000
@@ -84,7 +84,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text
     """
     made = ["n_words", "n_hit", "item_ids", "contaminated"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    rows = docs.select(F.col(text).cast("binary").alias("text"), F.struct(*keep).alias("row"),
+    rows = docs.select(F.col(text).cast("binary").alias("text"), whole_row(keep).alias("row"),
                        F.lit(0).cast("bigint").alias("words"),
                        F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)").alias("spans"),
                        F.expr("cast(array() as array<string>)").alias("items"))

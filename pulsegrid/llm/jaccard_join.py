@@ -15,7 +15,7 @@ some rows for each copy, not one for each pair. No list is cut.
 
 Defined cases: null text, or a text without words, has no shingles, its own doc_id as component, and links
 nothing. A null doc_id links nothing and has a null component. Rows that repeat a doc_id are one node; should
-their texts differ, it holds the shingles of all.
+their texts differ, it holds the shingles of all. Ids are whole numbers; a table with others is refused.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import query, stable, table, text_bytes
+from pulsegrid.llm.common import forget, query, spread_join, stable, table, text_bytes
 from pulsegrid.llm.components import components
-from pulsegrid.llm.postings import known_ids, range_count, repeated
+from pulsegrid.llm.postings import known_ids, range_count, refuse_other_ids, repeated
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
@@ -67,10 +67,10 @@ def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 
 def shingle_features(size: int):
-    """Distinct shingles of a batch, by the first 56 bits of their codes: they only meet within pairs of documents."""
+    """Distinct shingles of a batch, by the first 48 bits of their codes: they only meet within pairs of documents."""
     def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         ids = batch.column(0).to_numpy()
-        sets = [np.unique(s & ~np.uint64(255)) for s in shingle_sets(batch.column(1), size)]
+        sets = [np.unique(s & ~np.uint64(0xFFFF)) for s in shingle_sets(batch.column(1), size)]
         return np.repeat(ids, [len(s) for s in sets]), np.concatenate(sets) if sets else np.empty(0, np.uint64)
     return features
 
@@ -94,7 +94,7 @@ def with_bitmaps(nodes: DataFrame, percent: int) -> DataFrame:
                 left = n + (-percent * n // 100) + 1 - (n - len(codes))
                 if left <= 0:
                     continue
-                parity = np.bincount((codes >> 8).astype(np.uint8), minlength=256) & 1
+                parity = np.bincount((codes >> 16).astype(np.uint8), minlength=256) & 1
                 bits = np.packbits(parity.astype(np.uint8)).view(">i8").tolist()
                 for name, value in zip(names, (node, n, left, codes, *bits), strict=True):
                     rows[name].append(value)
@@ -105,7 +105,7 @@ def with_bitmaps(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame) -> DataFrame:
-    """(node, code, pos): the shared shingles within each node's prefix, rarest among the nodes first."""
+    """(node, code): the shared shingles within each node's prefix, rarest among the nodes first."""
     held = nodes.select("node", F.explode("codes").alias("code"))
     # what one node alone holds cannot be shared: it takes up places, and goes no further
     counts = held.groupBy("code").agg(F.count("*").alias("df")).where("df > 1")
@@ -115,8 +115,8 @@ def prefixes(nodes: DataFrame) -> DataFrame:
         nodes.select("node", "left", F.size("codes").alias("m")), "node")
     taken = F.col("left") - (F.col("m") - F.size("order"))
     return (kept.where(taken > 0)
-            .select("node", F.posexplode(F.expr("slice(order, 1, int(left - (m - size(order))))")).alias("pos", "o"))
-            .select("node", F.col("o.code").alias("code"), "pos"))
+            .select("node", F.explode(F.expr("slice(order, 1, int(left - (m - size(order))))")).alias("o"))
+            .select("node", F.col("o.code").alias("code")))
 
 
 def bits_allow(x: str, y: str, percent: int):
@@ -148,7 +148,10 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     member = stable(member.withColumn("sign", F.xxhash64("n", "prefix")))
 
     # one row for each entry and hub of its list
-    near = stable(verified(hub_pairs(entries.join(member.drop("prefix", "sign"), "node"), percent), nodes, percent))
+    held = stable(entries.join(member.drop("prefix", "sign"), "node"))
+    near = stable(verified(hub_pairs(held, percent), nodes, percent))
+    forget(held)
+    forget(entries)
     root = components(near, rounds=2)
 
     # what is left: members of different components, in groups that share a code or are the same
@@ -159,17 +162,17 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     group = stable(group.select("sign", "n", "prefix", F.col("rep.node").alias("gid"), "rep.m", "rep.b0", "rep.b1",
                                 "rep.b2", "rep.b3", "members", "lo", "hi"))
     placed = placed.join(group.select("sign", "n", "prefix", "gid"), ["sign", "n", "prefix"]).drop("sign", "prefix")
-    posting = group.drop("sign").withColumn("code", F.explode("prefix"))
+    # an entry of a list is what the filters need of its group; the prefix stays behind
+    posting = group.drop("sign").withColumn("code", F.explode("prefix")).drop("prefix")
     mixed = posting.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
     posting = posting.join(mixed.select("code"), "code")
 
-    # a pair of groups counts at the least code that both have
+    # a pair of groups that meets at several codes counts once
     x, y = posting.alias("x"), posting.alias("y")
     alone = (F.col("x.members") == 1) & (F.col("y.members") == 1)
     groups = (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart("x", "y")
-                     & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent))
-                     & (F.col("x.code") == F.array_min(F.array_intersect("x.prefix", "y.prefix"))))
-              .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h"))
+                     & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent)))
+              .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
               .unionByName(group.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
     x, y = placed.alias("x"), placed.alias("y")
     pairs = (groups.join(x, F.col("g") == F.col("x.gid"))
@@ -197,15 +200,17 @@ def hub_pairs(held: DataFrame, percent: int) -> DataFrame:
         F.struct(F.xxhash64("node", "code", F.lit(k)), "node") for k in range(HUBS)]
     hubs = held.groupBy("code").agg(*(F.max_by(F.struct(*columns), r).alias(f"h{k}") for k, r in enumerate(ranks)))
     hubs = hubs.select("code", F.explode(F.array_distinct(F.array(*(f"h{k}" for k in range(len(ranks)))))).alias("y"))
-    return (held.alias("x").join(hubs.select("code", "y.*").alias("y"), F.col("x.code") == F.col("y.code"))
-            .where((F.col("x.node") != F.col("y.node")) & sizes_allow("x", "y", percent)
-                   & bits_allow("x", "y", percent))
+    # a list that most nodes are in is dealt to several tasks, each with its hubs
+    both = spread_join(held.select("code", F.struct(*columns).alias("x")), hubs, "code", ["x.node"])
+    return (both.where((F.col("x.node") != F.col("y.node")) & sizes_allow("x", "y", percent)
+                       & bits_allow("x", "y", percent))
             .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
+    refuse_other_ids(docs, doc_id)
     signed = stable(signatures(docs, doc_id, text, size))
     classes = stable(signed.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(
         F.min("doc_id").alias("node"), F.max("n").alias("n")))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = 500_000         # codes sorted together in a task
 RANGE_BYTES = 4_000_000  # bytes of text for each range of codes
@@ -110,7 +111,7 @@ def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: boo
     known_codes, known_docs, known_first = codes[known], docs[known], least[group][known]
     for a in range(0, len(known_codes), PIECE):
         b = a + PIECE
-        add(ranges, next(pieces), known_codes[a:b], known_docs[a:b], pack_ids(known_first[a:b]))
+        add(ranges, next(pieces), known_codes[a:b], known_docs[a:b], pack_ids(known_first[a:b]) if earlier else b"")
     return out
 
 
@@ -153,7 +154,7 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
         ids = [unpack_ids(r["docs"], r["n"]) for r in rows]
         if rows[0]["part"] >= ranges:  # a piece of what a chunk has settled
             code, doc = np.concatenate(codes), np.concatenate(ids)
-            first = np.concatenate([unpack_ids(r["settled"], r["n"]) for r in rows])
+            first = np.concatenate([unpack_ids(r["settled"], r["n"]) for r in rows]) if earlier else doc
         else:
             code, doc = np.concatenate(codes), np.concatenate(ids)
             settled = np.concatenate([np.unpackbits(np.frombuffer(r["settled"], np.uint8), count=r["n"])
@@ -169,7 +170,15 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
     return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, FOUND)
 
 
+def refuse_other_ids(docs: DataFrame, doc_id: str) -> None:
+    """Ids are whole numbers here; a table with others is refused before any work is done."""
+    kind = docs.select(doc_id).schema[0].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{doc_id} must hold whole numbers, not {kind.simpleString()}")
+
+
 def known_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that can take part: those with an id and a text."""
+    refuse_other_ids(docs, doc_id)
     return docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

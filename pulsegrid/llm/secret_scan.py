@@ -22,7 +22,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import query, table
+from pulsegrid.llm.common import query, table, whole_row
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: a run that is too short cannot hold one that is long enough, so the least length stands in these two patterns
@@ -125,7 +125,7 @@ def scanned(docs: DataFrame, ratios: list[float], text: str = "text", keep: list
     A column named spans is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
-    rows = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(whole_row(keep).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("row", base_spans(F.col("text")).alias("base"), matches(F.col("text"), TOKEN, "markov").alias("own"))
     free = F.filter("own", lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     rows = rows.select("row", "base", F.filter(free, lambda s: mean_ratio(s["value"], ratios) > THRESHOLD).alias("own"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import query, stable, table
+from pulsegrid.llm.common import query, rows_and, stable, table, whole_row
 from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 TRAIN_ROWS = 20_000
@@ -353,8 +353,7 @@ HITS = "array<struct<word:bigint,term:string,edits:int,quoted:boolean>>"
 def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all), with score and hits; columns of these names are replaced."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "hits")]
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct(*keep).alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), whole_row(keep).alias("row"))
     hit_type = pa.list_(pa.struct([("word", pa.int64()), ("term", pa.string()), ("edits", pa.int32()),
                                    ("quoted", pa.bool_())]))
 
@@ -370,7 +369,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(scores, pa.float64()),
                                               pa.array(found, hit_type)], names=["row", "score", "hits"])
 
-    return rows.mapInArrow(run, f"row {kind}, score double, hits {HITS}").select("row.*", "score", "hits")
+    return rows.mapInArrow(run, rows_and(rows, "row", f"score double, hits {HITS}")).select("row.*", "score", "hits")
 
 
 @query("op1_toxicity")

@@ -20,22 +20,26 @@ from pulsegrid.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     cursor = con.execute(ORACLES[name])
     found = [c[0] for c in cursor.description]
     assert sorted(found) == columns
-    want = sorted(tuple(str(r[found.index(c)]) for c in columns) for r in cursor.fetchall())
-    assert sorted(tuple(str(r[c]) for c in columns) for r in df.collect()) == want
+    want = sorted(tuple(plain(r[found.index(c)]) for c in columns) for r in cursor.fetchall())
+    assert sorted(tuple(plain(r[c]) for c in columns) for r in df.collect()) == want
+
+
+def plain(value):
+    return str(round(value, 12) if isinstance(value, float) else value)
 
 
 def test_native_queries_have_no_python(spark):
@@ -76,6 +80,42 @@ def test_near_duplicates_leave_one_of_each_group(spark):
     assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "None"]
 
 
+def test_stages_overwrite_no_column(spark):
+    """Columns named like what the stages compute, and names that need quoting, come out as they went in."""
+    names = ["score", "hits", "n_words", "n_hit", "item_ids", "contaminated", "spans", "component_id", "n_shingles", "row",
+             "document", "base", "own", "decoded", "a b", "x.y", "q:r"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    mine = docs.withColumns({c: F.concat(F.lit(f"{c} of "), "doc_id") for c in names})
+    before = {r.doc_id: r for r in mine.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, mine, SF).collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in names), name
+        assert rows[0].__fields__ == mine.columns
+        if name != "secrets":
+            assert all(r == before[r.doc_id] for r in rows)
+
+
+def test_near_duplicates_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("pulsegrid.llm.common.BROADCAST_ROWS", 0)
+    words = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(5, words), (3, words), (None, words), (2, None)], "doc_id long, text string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "3", "None"]
+
+
+def test_pipeline_stages_on_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).collect() == []
+
+
+def test_ids_of_text_are_refused(spark):
+    docs = spark.createDataFrame([("a", "x y z")], "doc_id string, text string")
+    with pytest.raises(TypeError):
+        corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+
+
 def test_run_against_plain_versions(spark):
     """All stages one after the other on the smallest tables, each rule written again over Python rows.
 

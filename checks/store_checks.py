@@ -17,7 +17,7 @@ from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.session import work_dir
 from pulsegrid.sources.envelope import decode_envelope
 from pulsegrid.sources.points import compact_points, read_points, write_archive, write_points
-from pulsegrid.sources.topic import order_by_series, read_topic, write_topic
+from pulsegrid.sources.topic import order_by_series, read_topic, write_files, write_topic
 from pulsegrid.streaming.jobs import (
     drop_redelivered, load_topic_to_points, store_stream, stream_panel, stream_panel_series, tick_trigger, union_streams)
 
@@ -32,12 +32,12 @@ def _topic(spark, sf_dir, label: str) -> str:
     (rows.select(F.lit(None).cast("binary").alias("key"), json_text().cast("binary").alias("value"),
                  F.lit("metrics").alias("topic"), F.lit(99).alias("partition"),
                  F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-     .write.mode("append").parquet(path))
+     .write.mode("append").parquet(f"{path}/write=clicks"))
     return path
 
 
 def _records(spark, path: str):
-    return spark.read.schema(TOPIC_RECORD).parquet(path)
+    return spark.read.schema(TOPIC_RECORD).parquet(path).select(TOPIC_RECORD.names)
 
 
 @query("s01_read_topic", f"""
@@ -72,6 +72,31 @@ def written_topic(spark, sf_dir):
         F.count_distinct("partition").alias("partitions"), F.max(F.octet_length("key")).alias("key_bytes"))
 
 
+@query("s02_three_appends", f"""
+    WITH {MEASUREMENTS_SQL}
+    SELECT name, service, coalesce(topic, '') AS topic, 3 * count(*) AS n, round(3 * sum(value), 3) AS total,
+      true AS placed_once, true AS goes_on FROM m GROUP BY ALL""")
+def three_appends(spark, sf_dir):
+    """Two writes of one writer and a stream of another, whose batch is tried again: no place is taken twice."""
+    path, out = work_dir(spark, "s02a-topic"), work_dir(spark, "s02a")
+    df = measurements(spark, sf_dir)
+    write_topic(df, format="parquet", path=path)
+    before = _records(spark, path).agg(F.max("offset")).first()[0]
+    write_topic(df, format="parquet", path=path)
+    df.write.parquet(f"{out}/rows")
+    stream = spark.readStream.schema(df.schema).parquet(f"{out}/rows")
+    job = write_topic(stream, format="parquet", path=path, checkpoint=f"{out}/checkpoint", trigger={"availableNow": True})
+    job.awaitTermination()
+    write_files(df, "metrics", "parquet", path, f"{job.id}-0")
+    rows = decode_envelope(_records(spark, path))
+    rows = rows.withColumn("place", F.struct(F.pmod(F.hash("key"), F.lit(16)), "offset"))
+    tags = F.col("tags")
+    return rows.groupBy("name", tags["service"].alias("service"), F.coalesce(tags["topic"], F.lit("")).alias("topic")).agg(
+        F.count("*").alias("n"), F.round(F.sum(F.col("fields")["Value"]), 3).alias("total"),
+        (F.count_distinct("place") == F.count("*")).alias("placed_once"),
+        (F.count_if(F.col("offset") > before) == 2 * F.count_if(F.col("offset") <= before)).alias("goes_on"))
+
+
 _REWRITTEN_SQL = f"""
     WITH {MEASUREMENTS_SQL},
     writes AS (SELECT 0 AS batch, event_id, ts, name, service, topic, 'Value' AS field, value FROM m

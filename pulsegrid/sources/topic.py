@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.schema import TOPIC_RECORD, series_hash
+from pulsegrid.session import shared_dir
 from pulsegrid.sources.envelope import to_topic_records
+from pulsegrid.sources.ledger import Folder, append, entry, numbers
 
 # Default names, and consumer settings that Spark spells differently or owns.
 DEFAULT_TOPIC = "metrics"
@@ -45,7 +49,7 @@ def read_topic(spark: SparkSession, conf: dict[str, str], format: str = "kafka",
     if format == "kafka":
         return spark.readStream.format("kafka").options(**consumer_options(conf)).load()
     return (spark.readStream.schema(TOPIC_RECORD).format(format).load(path)
-            .filter(F.col("topic") == conf[f"{PREFIX}topic"]))
+            .filter(F.col("topic") == conf[f"{PREFIX}topic"]).select(TOPIC_RECORD.names))
 
 
 def order_by_series(df: DataFrame) -> DataFrame:
@@ -75,40 +79,77 @@ def write_topic(df: DataFrame, topic: str = DEFAULT_TOPIC, format: str = "kafka"
 
     Each series is written by one task in time order, as a broker keeps the order in which a producer
     sends. A stream is written batch by batch, given a ``checkpoint``. Files get the columns that a
-    broker would add; an offset there is unique in its partition number (the series hash, cut to 16)
-    and above those of earlier writes, but not without gaps.
+    broker would add: a partition number (the series hash, cut to 16) and an offset from a range that the write has
+    reserved in the topic's ledger, so offsets are unique whoever writes, and above those of writes before.
+    A batch of a stream has a folder of its own; when it is tried again after it was written, nothing happens.
     """
     conf = conf or {}
+    known, job = Event(), {}
+
+    def send(batch: DataFrame) -> None:
+        series = batch.withColumn("_series", series_hash())
+        ordered = series.repartition("_series").sortWithinPartitions("_series", "ts").drop("_series")
+        (to_topic_records(ordered).withColumn("topic", F.lit(topic)).write.format("kafka")
+         .options(**producer_options(conf)).save())
 
-    def put(batch: DataFrame, _id: int = 0) -> None:
+    def put(batch: DataFrame, number: int = 0) -> None:
         if format == "kafka":
-            series = batch.withColumn("_series", series_hash())
-            ordered = series.repartition("_series").sortWithinPartitions("_series", "ts").drop("_series")
-            (to_topic_records(ordered).withColumn("topic", F.lit(topic)).write.format("kafka")
-             .options(**producer_options(conf)).save())
+            send(batch)
             return
-        records = to_topic_records(order_by_series(batch), keep=["ts"])
-        (records.select("key", "value", F.lit(topic).alias("topic"),
-                        F.pmod(F.hash("key"), F.lit(16)).alias("partition"),
-                        (F.monotonically_increasing_id() + next_offset(batch.sparkSession, format, path)).alias("offset"),
-                        F.col("ts").alias("timestamp"))
-         .write.mode("append").option("compression", "gzip").format(format).save(path))
+        if batch.isStreaming or checkpoint is not None:
+            known.wait()
+        write_files(batch, topic, format, path, f"{job.get('id') or uuid.uuid4()}-{number}")
 
     if not df.isStreaming:
+        checkpoint = None
         put(df)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint")
-    return (df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
-
-
-def next_offset(spark: SparkSession, format: str, path: str) -> int:
-    """One more than the greatest offset in the files of a topic."""
-    try:
-        written = spark.read.schema(TOPIC_RECORD).format(format).load(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return 0
-    return (written.agg(F.max("offset")).first()[0] or -1) + 1
+    query = (df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+    job["id"] = str(query.id)
+    known.set()
+    return query
+
+
+OFFSETS = "_offsets"  # folder of the ledger: readers pass over names with an underscore
+KEPT = 100  # entries of the ledger that are kept
+
+
+def write_files(batch: DataFrame, topic: str, format: str, path: str, write: str) -> None:
+    """Add a batch to the files of a topic, as the write of a given name; a write that is there already stays.
+
+    The rows are put in order in a checkpoint first, where they are counted: a task's rows have the offsets of
+    one stretch of the range. So nothing of the topic itself is read.
+    """
+    spark = batch.sparkSession
+    if Folder(spark, path).exists(f"write={write}/_SUCCESS"):
+        return
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    records = to_topic_records(order_by_series(batch), keep=["ts"]).checkpoint()
+    part = F.spark_partition_id()
+    sizes = records.groupBy(part.alias("part")).count().agg(F.max("part"), F.max("count")).first()
+    parts, stride = (sizes[0] or 0) + 1, sizes[1] or 0
+    first = reserve(spark, path, parts * stride)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2 ** 33 - 1))  # within the task
+    (records.select("key", "value", F.lit(topic).alias("topic"), F.pmod(F.hash("key"), F.lit(16)).alias("partition"),
+                    (F.lit(first) + part.cast("bigint") * stride + place).alias("offset"), F.col("ts").alias("timestamp"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "gzip")
+     .format(format).save(f"{path}/write={write}"))
+
+
+def reserve(spark: SparkSession, path: str, count: int) -> int:
+    """The first of ``count`` offsets that no other write gets."""
+    ledger = Folder(spark, f"{path}/{OFFSETS}")
+
+    def make(number: int) -> dict:
+        first = entry(ledger, number - 1)["next"] if number > 1 else 0
+        return {"first": first, "next": first + count, "number": number}
+
+    mine = append(ledger, make)
+    for old in numbers(ledger):
+        if old <= mine["number"] - KEPT:
+            ledger.delete(f"{old:012d}.json")
+    return mine["first"]

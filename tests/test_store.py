@@ -10,7 +10,7 @@ from pulsegrid.operators.summary import summarise_gauge
 from pulsegrid.plans.panels import Range, evaluate, evaluate_store
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
 from pulsegrid.sources.points import compact_points, read_points, write_points
-from pulsegrid.sources.topic import next_offset, producer_options, write_topic
+from pulsegrid.sources.topic import producer_options, reserve, write_files, write_topic
 from pulsegrid.streaming.jobs import drop_redelivered, load_topic_to_points
 
 SCHEMA = "ts timestamp, name string, tags map<string,string>, fields map<string,double>"
@@ -114,7 +114,6 @@ def test_rejects_keep_their_bytes(spark):
 def test_topic_offsets_go_on_and_streams_are_written(spark, tmp_path):
     df = spark.createDataFrame([point(k, "a", {"x": float(k)}) for k in range(4)], SCHEMA)
     path, rows = str(tmp_path / "topic"), str(tmp_path / "rows")
-    assert next_offset(spark, "parquet", path) == 0
     write_topic(df, format="parquet", path=path)
     df.write.parquet(rows)
     stream = spark.readStream.schema(df.schema).parquet(rows)
@@ -123,3 +122,20 @@ def test_topic_offsets_go_on_and_streams_are_written(spark, tmp_path):
     found = spark.read.parquet(path).select("partition", "offset").collect()
     assert len(found) == len(set(found)) == 8
     assert producer_options({"producer.acks": "all", "producer.topic": "t", "other": "x"})["kafka.acks"] == "all"
+
+
+def test_offsets_never_repeat(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    one = spark.createDataFrame([point(0, "a", {"x": 1.0})], SCHEMA)
+    for _ in range(3):
+        write_topic(one, format="parquet", path=path)
+    write_files(one, "metrics", "parquet", path, "writer-7")
+    write_files(one, "metrics", "parquet", path, "writer-7")  # tried again
+    write_files(one.limit(0), "metrics", "parquet", path, "writer-8")
+    offsets = sorted(r.offset for r in spark.read.parquet(path).collect())
+    assert len(offsets) == len(set(offsets)) == 4
+    # ranges of writers at the same time do not touch
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(4) as pool:
+        firsts = sorted(pool.map(lambda _: reserve(spark, path, 10), range(12)))
+    assert all(b - a == 10 for a, b in zip(firsts, firsts[1:])) and firsts[0] > offsets[-1]

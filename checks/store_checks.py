@@ -16,7 +16,7 @@ from pulsegrid.plans.panels import PANELS, evaluate_store
 from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.session import work_dir
 from pulsegrid.sources.envelope import decode_envelope
-from pulsegrid.sources.points import compact_points, read_points, write_archive, write_points
+from pulsegrid.sources.points import compact_points, read_points, stored_points, write_archive, write_points
 from pulsegrid.sources.topic import order_by_series, read_topic, write_files, write_topic
 from pulsegrid.streaming.jobs import (
     drop_redelivered, load_topic_to_points, store_stream, stream_panel, stream_panel_series, tick_trigger, union_streams)
@@ -32,12 +32,12 @@ def _topic(spark, sf_dir, label: str) -> str:
     (rows.select(F.lit(None).cast("binary").alias("key"), json_text().cast("binary").alias("value"),
                  F.lit("metrics").alias("topic"), F.lit(99).alias("partition"),
                  F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-     .write.mode("append").parquet(f"{path}/write=clicks"))
+     .write.mode("append").parquet(path))
     return path
 
 
 def _records(spark, path: str):
-    return spark.read.schema(TOPIC_RECORD).parquet(path).select(TOPIC_RECORD.names)
+    return spark.read.schema(TOPIC_RECORD).option("recursiveFileLookup", "true").parquet(path)
 
 
 @query("s01_read_topic", f"""
@@ -115,8 +115,8 @@ def _write_twice(spark, sf_dir, path: str) -> None:
     second = df.filter(F.col("fields")["Value"] >= 50).withColumn(
         "fields", F.create_map(F.lit("Value"), F.col("fields")["Value"] + 1000))
     for _attempt in range(2):
-        write_points(first, path, 0, "event_id")
-        write_points(second, path, 1, "event_id")
+        write_points(first, path, 0, "event_id", writer="job")
+        write_points(second, path, 1, "event_id", writer="job")
 
 
 def _flat_points(df):
@@ -178,6 +178,54 @@ def written_after_compaction(spark, sf_dir):
     return _flat_points(read_points(spark, target))
 
 
+@query("s03_default_writer", _TWO_WRITERS_SQL)
+def default_writer(spark, sf_dir):
+    """Two callers that name no writer, both with batch 0: neither erases the other."""
+    path = work_dir(spark, "s03n")
+    for part in _two_parts(spark, sf_dir):
+        write_points(part, path, 0, "event_id")
+    return _flat_points(read_points(spark, path))
+
+
+@query("s03_write_before_compaction", _TWO_WRITERS_SQL)
+def written_before_compaction(spark, sf_dir):
+    """The target has newer values already when older ones are compacted into it, twice."""
+    path, target = work_dir(spark, "s03b"), work_dir(spark, "s03b-target")
+    first, second = _two_parts(spark, sf_dir)
+    write_points(first, path, 0, "event_id")
+    write_points(second, target, 0, "event_id")
+    compact_points(spark, path, target)
+    compact_points(spark, path, target)
+    return _flat_points(read_points(spark, target))
+
+
+@query("s03_compact_closed_days", f"""
+    WITH {MEASUREMENTS_SQL},
+    writes AS (SELECT 0 AS made, event_id, ts, name, service, topic, 'Value' AS field, value FROM m
+      UNION ALL SELECT 0, event_id, ts, name, service, topic, 'OneMinuteRate', value / 60 FROM m
+      UNION ALL SELECT 1, event_id, ts, name, service, topic, 'Value', value + 1000 FROM m WHERE value >= 50
+      UNION ALL SELECT 2, event_id, ts, name, service, topic, 'Value', value + 2000 FROM m WHERE value >= 75),
+    points AS (SELECT ts, name, service, topic, field,
+      arg_max(value, struct_pack(b := made, e := event_id, v := value)) AS value FROM writes GROUP BY ALL)
+    SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS commits FROM points""")
+def compacted_days(spark, sf_dir):
+    """Commits before, during and after the compaction of twenty days, which leaves one folder of each of these."""
+    path = work_dir(spark, "s03d")
+    first, second = _two_parts(spark, sf_dir)
+    write_points(first, path, 0, "event_id", writer="job")
+    write_points(second, path, 1, "event_id", writer="job")
+    compact_points(spark, path, before="2024-01-21")
+    folders = stored_points(spark, path).groupBy("d").agg(F.count_distinct("commit").cast("int").alias("commits"))
+    folders = folders.select("d", "commits").checkpoint()
+    third = second.filter(F.col("fields")["Value"] >= 1075).withColumn("fields", F.create_map(
+        F.lit("Value"), F.col("fields")["Value"] + 1000))
+    write_points(third, path, 2, "event_id", writer="job")
+    write_points(second, path, 1, "event_id", writer="job")  # tried again: it keeps its rank
+    compact_points(spark, path, before="2024-01-11")
+    rows = read_points(spark, path)
+    return _flat_points(rows).withColumn("d", F.to_date("ts")).join(folders, "d").drop("d")
+
+
 @query("s03_panel_over_points", SERIES_SQL["Q09"])
 def panel_over_points(spark, sf_dir):
     path = work_dir(spark, "s03p")

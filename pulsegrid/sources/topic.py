@@ -48,8 +48,9 @@ def read_topic(spark: SparkSession, conf: dict[str, str], format: str = "kafka",
         raise ValueError("no consumer.topic is set")
     if format == "kafka":
         return spark.readStream.format("kafka").options(**consumer_options(conf)).load()
-    return (spark.readStream.schema(TOPIC_RECORD).format(format).load(path)
-            .filter(F.col("topic") == conf[f"{PREFIX}topic"]).select(TOPIC_RECORD.names))
+    # files may lie in the folder itself or in those of single writes
+    return (spark.readStream.schema(TOPIC_RECORD).format(format).option("recursiveFileLookup", "true").load(path)
+            .filter(F.col("topic") == conf[f"{PREFIX}topic"]))
 
 
 def order_by_series(df: DataFrame) -> DataFrame:

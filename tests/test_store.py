@@ -9,7 +9,9 @@ from pulsegrid.operators.quantiles import exact_percentiles
 from pulsegrid.operators.summary import summarise_gauge
 from pulsegrid.plans.panels import Range, evaluate, evaluate_store
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
-from pulsegrid.sources.points import compact_points, read_points, write_points
+from pulsegrid.sources import points as store
+from pulsegrid.sources.ledger import Folder
+from pulsegrid.sources.points import compact_points, drop_replaced, read_points, stored_points, write_points
 from pulsegrid.sources.topic import producer_options, reserve, write_files, write_topic
 from pulsegrid.streaming.jobs import drop_redelivered, load_topic_to_points
 
@@ -36,8 +38,8 @@ def test_two_jobs_feed_one_store(spark, tmp_path):
     # a batch that is written again takes its other days along
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        write_points(spark.createDataFrame([point(0, "a", {"x": 1.0})], SCHEMA), out, 0)
-        write_points(spark.createDataFrame([point(30, "a", {"x": 1.0})], SCHEMA), out, 0)
+        write_points(spark.createDataFrame([point(0, "a", {"x": 1.0})], SCHEMA), out, 0, writer="w")
+        write_points(spark.createDataFrame([point(30, "a", {"x": 1.0})], SCHEMA), out, 0, writer="w")
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r[0] for r in flat(read_points(spark, out)) if r[1] == "a"] == ["2024-01-02T06:00:00"]
@@ -139,3 +141,98 @@ def test_offsets_never_repeat(spark, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         firsts = sorted(pool.map(lambda _: reserve(spark, path, 10), range(12)))
     assert all(b - a == 10 for a, b in zip(firsts, firsts[1:])) and firsts[0] > offsets[-1]
+
+
+def values(spark, path):
+    return {(r.ts.hour, k): v for r in read_points(spark, path).collect() for k, v in r.fields.items()}
+
+
+def test_points_are_resolved_in_their_buckets(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [point(k, "a", {"x": float(k), "y": 1.0}, topic=f"t{k % 5}") for k in range(60)]
+    for batch in range(3):
+        write_points(spark.createDataFrame(rows[batch:], SCHEMA), path, batch, writer="w")
+    plan = read_points(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+    pruned = read_points(spark, path, where=lambda p: time_range(p, "2024-01-02", "2024-01-03"))
+    assert "Exchange" not in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 24 and read_points(spark, path).count() == 60
+    shuffled = spark.createDataFrame(rows * 2, SCHEMA).repartition(7)  # a hot series is spread over the buckets
+    write_points(shuffled, path, 9)
+    assert stored_points(spark, path).select("slot").distinct().count() >= 60
+
+
+def test_readers_see_whole_commits_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    write_points(spark.createDataFrame([point(0, "a", {"x": 1.0})], SCHEMA), path, 0, writer="w")
+    own = store._log
+
+    def broken(log, change):
+        if change.__name__ == "end":
+            raise OSError("the writer dies before its commit")
+        return own(log, change)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_log", broken)
+        for batch in (0, 1):
+            try:
+                write_points(spark.createDataFrame([point(0, "a", {"x": 7.0}), point(5, "a", {"x": 7.0})], SCHEMA), path, batch,
+                             writer="w")
+            except OSError:
+                pass
+    assert values(spark, path) == {(0, "x"): 1.0}
+    assert len(Folder(spark, f"{path}/metrics/default/data").names()) == 3
+    assert drop_replaced(spark, path) == []  # too young
+    assert len(drop_replaced(spark, path, age=0)) == 2
+    assert values(spark, path) == {(0, "x"): 1.0}
+
+
+def test_ranks_outlive_compaction_and_retries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "SNAPSHOT", 3)  # the state is read from snapshots
+    path = str(tmp_path / "store")
+
+    def write(batch, writer="w", **fields):
+        write_points(spark.createDataFrame([point(0, "a", fields), point(30, "b", fields)], SCHEMA), path, batch, writer=writer)
+
+    write(0, x=1.0, y=1.0, z=1.0)
+    write(0, writer="other", y=3.0, z=2.0)
+    compact_points(spark, path)
+    assert stored_points(spark, path).select("commit").distinct().count() == 1
+    write(0, x=9.0, y=9.0, z=9.0)  # the last batch of its writer again: as old as it was
+    write(1, z=4.0)
+    write(2, x=5.0)
+    write(1, x=8.0, z=4.0)  # and one that is live
+    compact_points(spark, path)
+    compact_points(spark, path)
+    assert values(spark, path) == {(0, "x"): 5.0, (0, "y"): 3.0, (0, "z"): 4.0, (6, "x"): 5.0, (6, "y"): 3.0, (6, "z"): 4.0}
+    assert stored_points(spark, path).select("commit").distinct().count() == 1
+    compact_points(spark, path, before="2024-01-01")
+
+
+def test_a_write_during_compaction_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    for batch in (0, 1):
+        write_points(spark.createDataFrame([point(0, "a", {"x": float(batch)})], SCHEMA), path, batch, writer="w")
+    own, late = store._store, []
+
+    def slow(rows, base, buckets):
+        done = own(rows, base, buckets)
+        if not late:  # another commit, and one that replaces an input, before the compaction's own
+            late.append(True)
+            write_points(spark.createDataFrame([point(0, "a", {"y": 5.0})], SCHEMA), path, 2, writer="w")
+            write_points(spark.createDataFrame([point(0, "a", {"x": 8.0})], SCHEMA), path, 1, writer="w")
+        return done
+
+    monkeypatch.setattr(store, "_store", slow)
+    compact_points(spark, path)
+    assert values(spark, path) == {(0, "x"): 8.0, (0, "y"): 5.0}
+    assert stored_points(spark, path).select("commit").distinct().count() == 1
+
+
+def test_writers_at_the_same_time(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "store")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: write_points(spark.createDataFrame([point(k, "a", {"x": float(k)})], SCHEMA), path, 0), range(8)))
+    assert values(spark, path) == {(k, "x"): float(k) for k in range(8)}
+    assert read_points(spark, str(tmp_path / "nothing")).collect() == []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.panel_checks import ASKED, NUMBER_SQL, SERIES_SQL
 from checks.registry import query
-from checks.roles import HOUR, MEASUREMENTS_SQL, events, json_text, measurements, panel_input
+from checks.roles import HOUR, MEASUREMENTS_SQL, events, in_files, json_text, measurements, panel_input, table
 from pulsegrid.operators.pack import long_fields
 from pulsegrid.plans.dashboard import bundle_dashboard, cluster_dashboard
 from pulsegrid.plans.panels import PANELS, evaluate_store
@@ -19,7 +19,8 @@ from pulsegrid.sources.envelope import decode_envelope
 from pulsegrid.sources.points import compact_points, read_points, stored_points, write_archive, write_points
 from pulsegrid.sources.topic import order_by_series, read_topic, write_files, write_topic
 from pulsegrid.streaming.jobs import (
-    drop_redelivered, load_topic_to_points, store_stream, stream_panel, stream_panel_series, tick_trigger, union_streams)
+    drop_redelivered, keep_panel_numbers, load_topic_to_points, read_panel_numbers, store_stream, stream_panel,
+    stream_panel_series, tick_trigger, union_streams)
 
 TOPIC = {"consumer.topic": "metrics", "consumer.auto.offset.reset": "earliest"}
 
@@ -359,6 +360,54 @@ for _panel_id in ("Q01", "Q08", "Q13", "Q14"):
     _register_stream(_panel_id)
 
 
+def _closed_number_sql(panel_id: str) -> str:
+    """The panel's number over the hours that the stream has closed."""
+    newest = f"SELECT max(ts) - INTERVAL 1 HOUR FROM m WHERE name = '{PANELS[panel_id].measurement}'"
+    by = ", ".join(PANELS[panel_id].by)
+    value = ("arg_max(value, bucket)" if PANELS[panel_id].reduce == "current" else "avg(value)")
+    return (f"WITH {MEASUREMENTS_SQL} SELECT {by + ', ' if by else ''}round({value}, 4) AS value FROM ({SERIES_SQL[panel_id]}) "
+            f"WHERE value IS NOT NULL AND bucket + INTERVAL 1 HOUR <= ({newest}) {'GROUP BY ' + by if by else ''}")
+
+
+def _register_number(panel_id: str) -> None:
+    @query(f"r03_stream_{panel_id.lower()}", _closed_number_sql(panel_id))
+    def shown(spark, sf_dir):
+        """Ten days a batch."""
+        out = work_dir(spark, f"r03-{panel_id}")
+        stream = in_files(measurements(spark, sf_dir), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), f"{out}/in", 3)
+        keep_panel_numbers(stream, panel_id, ASKED, f"{out}/kept", f"{out}/checkpoint", HOUR, "1 hour", None).awaitTermination()
+        return read_panel_numbers(spark, f"{out}/kept", panel_id).withColumn("value", F.round("value", 4))
+
+
+for _panel_id in ("Q05", "Q07", "Q11"):
+    _register_number(_panel_id)
+
+
+@query("r04_two_sources", """
+    WITH slow AS (SELECT TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (o_orderkey % 480) AS ts, o_totalprice AS value FROM orders),
+    both_ AS (SELECT 'west' AS dc, ts, value FROM events UNION ALL SELECT 'east', ts, value FROM slow)
+    SELECT time_bucket(INTERVAL 1 DAY, ts) AS bucket, dc, count(*) AS n, round(sum(value), 2) AS total FROM both_
+    WHERE time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= least((SELECT max(ts) FROM events), (SELECT max(ts) FROM slow))
+    GROUP BY ALL""")
+def two_sources(spark, sf_dir):
+    """Events come at once, orders in four later batches of five days: the panel waits for the orders."""
+    out = work_dir(spark, "r04t")
+    west = measurements(spark, sf_dir).withColumn("name", F.lit("n"))
+    hour = F.pmod("o_orderkey", F.lit(480))
+    east = table(spark, sf_dir, "orders").select(
+        F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + hour * 3600).alias("ts"),
+        F.lit("n").alias("name"), F.expr("cast(map() as map<string,string>)").alias("tags"),
+        F.create_map(F.lit("Value"), F.col("o_totalprice")).alias("fields"), F.floor(hour / 120).alias("part"))
+    west.coalesce(1).write.parquet(f"{out}/west")
+    fast = spark.readStream.schema(west.schema).parquet(f"{out}/west")
+    slow = in_files(east, F.col("part"), f"{out}/east", 4).drop("part")
+    both = union_streams({"west": fast, "east": slow}, delays={"west": "0 seconds", "east": "0 seconds"})
+    panel = stream_panel(both, F.lit(True), {"dc": F.col("tags")["dc"]}, "1d",
+                         {"n": ("count", "Value"), "total": ("sum", "Value")}, None)
+    store_stream(panel, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+    return spark.read.schema(panel.schema).parquet(f"{out}/rows").withColumn("total", F.round("total", 2))
+
+
 @query("r04_multi_source_union", """
     SELECT CASE WHEN value >= 50 THEN 'west' ELSE 'east' END AS dc, event_type AS name, count(*) AS n
     FROM events GROUP BY ALL""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.lag_checks import _CARRY_SQL
 from checks.registry import query
-from checks.roles import events
+from checks.roles import events, in_files
 from pulsegrid.session import work_dir
 from pulsegrid.streaming.jobs import store_stream
 from pulsegrid.streaming.state import carry_forward_stream, keep_latest, read_latest, report_at_ticks
@@ -16,14 +16,6 @@ from pulsegrid.streaming.state import carry_forward_stream, keep_latest, read_la
 CLOCK = -1  # the key of rows that only move the watermark
 
 
-def in_files(df, part, path: str, parts: int):
-    """A stream of ``df`` in as many batches: rows with the number ``part`` are in the file of that number."""
-    for k in range(parts):
-        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
-    spark = df.sparkSession
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 @query("u02_stream_latest", """
     SELECT user_id, max(ts) AS ts, arg_max(event_id, struct_pack(t := ts, e := event_id)) AS event_id,
       arg_max(value, struct_pack(t := ts, e := event_id)) AS value

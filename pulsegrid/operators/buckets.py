@@ -84,7 +84,8 @@ def connect_nulls(bucketed: DataFrame, keys: list[str], value: str, width: int)
              .select(*keys, index.alias("_i"), F.col(value).alias("_v")))
     gaps = with_next(known, keys, "_i", ["_v"]).filter(F.col("next__i") > F.col("_i") + 1)
     step = (F.col("next__v") - F.col("_v")) / (F.col("next__i") - F.col("_i"))
-    line = (gaps.withColumn("_at", F.explode(F.sequence(F.col("_i") + 1, F.col("next__i") - 1)))
+    gaps = gaps.withColumns({"_low": F.col("_i") + 1, "_high": F.col("next__i") - 1})
+    line = (explode_in_chunks(gaps, keys, "_low", "_high", "_at")
             .select(*keys, F.timestamp_seconds(F.col("_at") * width).alias("bucket"),
                     (F.col("_v") + step * (F.col("_at") - F.col("_i"))).alias("_line")))
     return (join_series(bucketed, line, keys, ["bucket"], "left")

@@ -46,10 +46,10 @@ def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
     """Newest committed offset and lag of every group and partition whose log end is known.
 
     ``end_offsets``: ts, topic, partition, end_offset. ``committed``: ts, group_id, topic,
-    partition, offset. Console consumers and missing offsets are left out; a consumer ahead of
-    the known end has lag 0.
+    partition, offset. Console consumers and missing offsets are left out, and so are missing ends: the newest
+    known end counts. A consumer ahead of it has lag 0.
     """
-    ends = latest(end_offsets.select("ts", "topic", "partition", "end_offset"),
+    ends = latest(end_offsets.filter(F.col("end_offset").isNotNull()).select("ts", "topic", "partition", "end_offset"),
                   ["topic", "partition"], ["ts"]).drop("ts")
     groups = exclude_prefix(committed.filter(F.col("offset").isNotNull()), "group_id")
     groups = latest(groups.select("ts", "group_id", "topic", "partition", "offset"),

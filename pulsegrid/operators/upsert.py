@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.values import floor_div, truncate_millis
 from pulsegrid.operators.pack import long_fields, pack_fields
-from pulsegrid.operators.skew import with_next
+from pulsegrid.operators.skew import explode_in_chunks, with_next
 
 
 def upsert_points(df: DataFrame, order: Column | str) -> DataFrame:
@@ -47,6 +47,6 @@ def carry_forward(updates: DataFrame, keys: list[str], value: str, until: str, w
     if expire is not None:
         stop = F.least(stop, F.col("_tick") + -(-expire // width))
     stop = F.least(stop, end)
-    ticks = F.when(stop > F.col("_tick"), F.sequence(F.col("_tick"), stop - 1))
-    return held.select(*keys, F.explode(ticks).alias("_at"), value).select(
+    shown = held.withColumn("_last", stop - 1).filter(F.col("_last") >= F.col("_tick"))
+    return explode_in_chunks(shown, keys, "_tick", "_last", "_at").select(
         *keys, F.timestamp_seconds(F.col("_at") * width).alias("tick"), value)

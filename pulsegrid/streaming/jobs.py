@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from threading import Event
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,9 +28,21 @@ def tick_trigger(interval: int | str | None = DEFAULT_INTERVAL) -> dict:
     return {"processingTime": f"{interval_seconds(interval)} seconds"}
 
 
-def union_streams(sources: dict[str, DataFrame], tag: str = "dc") -> DataFrame:
-    """Several streams or tables of measurements as one, each tagged with where it is from."""
-    tagged = [with_fixed_tags(df, {tag: name}) for name, df in sources.items()]
+def union_streams(sources: dict[str, DataFrame], tag: str = "dc", delays: dict[str, str] | None = None) -> DataFrame:
+    """Several streams or tables of measurements as one, each tagged with where it is from.
+
+    ``delays`` gives each stream a watermark of its own. What follows waits for the slowest of them (the least
+    watermark, Spark's rule unless ``spark.sql.streaming.multipleWatermarkPolicy`` says otherwise), so a source that is days
+    behind the others loses nothing; a watermark on the union would go with the fastest.
+    """
+    if delays:
+        if set(delays) != set(sources):
+            raise ValueError("each source needs a delay")
+        policy = next(iter(sources.values())).sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min")
+        if policy != "min":
+            raise ValueError("the watermark must be the least of the sources'")
+    tagged = [with_fixed_tags(df.withWatermark("ts", delays[name]) if delays else df, {tag: name})
+              for name, df in sources.items()]
     return reduce(lambda a, b: a.unionByName(b), tagged)
 
 
@@ -86,11 +98,12 @@ def drop_redelivered(df: DataFrame, delay: str = "10 minutes",
 
 
 def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: int | str,
-                 aggregates: dict[str, tuple[str, str]], delay: str = "30 minutes") -> DataFrame:
+                 aggregates: dict[str, tuple[str, str]], delay: str | None = "30 minutes") -> DataFrame:
     """Bucketed aggregates (as ``bucket_agg``) over a stream of measurements.
 
     ``aggregates``: column name to (how, field). A bucket is given out once ``delay`` has
-    passed; what comes later than that is not counted, unlike in a panel over stored points.
+    passed; what comes later than that is not counted, unlike in a panel over stored points. Without ``delay``
+    the stream has watermarks already.
     A median is taken from a bounded sketch here, as the state of an exact one would grow with
     the stream.
     """
@@ -102,7 +115,7 @@ def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: in
         (F.percentile_approx(f"_{f}", 0.5, 10000) if how == "median" else aggregate(how, f"_{f}", "ts"))
         .alias(name) for name, (how, f) in aggregates.items()]
     window = F.window("ts", f"{interval_seconds(width)} seconds")
-    panels = rows.withWatermark("ts", delay).groupBy(window.alias("_w"), *keys).agg(*columns)
+    panels = (rows.withWatermark("ts", delay) if delay else rows).groupBy(window.alias("_w"), *keys).agg(*columns)
     return panels.select(F.col("_w.start").alias("bucket"), *keys, *aggregates)
 
 
@@ -121,6 +134,42 @@ def stream_panel_series(df: DataFrame, panel_id: str, asked: Range, width: int |
     return shown_series(table, panel)
 
 
+def keep_panel_numbers(df: DataFrame, panel_id: str, asked: Range, path: str, checkpoint: str, width: int | None = None,
+                       delay: str = "30 minutes", interval: int | str | None = DEFAULT_INTERVAL) -> StreamingQuery:
+    """Keep the number of each series of a panel (``panel_number``) over a stream, for ``read_panel_numbers``.
+
+    Two aggregations follow each other: buckets, which the stream gives out once each when they are closed; then sums, counts
+    and the last value of the buckets of a batch, which are stored and add up. A batch that is tried again
+    replaces its folder.
+    """
+    panel = PANELS[panel_id]
+    if panel.reduce is None:
+        raise ValueError(f"{panel.title} shows series, not numbers")
+    target = panel.targets[0]
+    closed = stream_panel(df, panel_filter(df, panel, asked), {k: group_tag(df, k) for k in panel.by},
+                          width or asked.width(panel), {"value": (target.how, target.field)}, delay)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        known = batch.filter(F.col("value").isNotNull())
+        (known.groupBy(*panel.by).agg(F.sum("value").alias("total"), F.count("*").alias("buckets"),
+                                      F.max(F.struct("bucket", "value")).alias("newest"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}"))
+
+    return (closed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(**tick_trigger(interval)).start())
+
+
+def read_panel_numbers(spark: SparkSession, path: str, panel_id: str) -> DataFrame:
+    """The number of each series over all buckets that have been closed: keys, value."""
+    panel = PANELS[panel_id]
+    schema = ", ".join([*(f"{k} string" for k in panel.by),
+                        "total double, buckets bigint, newest struct<bucket:timestamp,value:double>"])
+    parts = spark.read.schema(schema).parquet(path)
+    number = F.max("newest")["value"] if panel.reduce == "current" else F.sum("total") / F.sum("buckets")
+    return parts.groupBy(*panel.by).agg(number.alias("value"), F.count("*").alias("_parts")).filter(
+        F.col("_parts") > 0).drop("_parts")
+
+
 def store_stream(df: DataFrame, path: str, checkpoint: str,
                  interval: int | str | None = DEFAULT_INTERVAL) -> StreamingQuery:
     """Append finished rows of a stream to Parquet."""

@@ -1,8 +1,8 @@
 """Exact percentiles of groups of any size.
 
-A built-in exact percentile holds every distinct value of a group in one task. Here values are
-counted in coarse, then fine, bins of their magnitude; only the bin that holds a wanted rank is
-opened. All bins are counted with partial aggregation, and the number of bins in a window, and
+A built-in exact percentile holds every distinct value of a group in one task. Here rows are
+counted in coarse bins of their magnitude first. A second read keeps the rows of bins that hold a wanted rank,
+a thousandth of an octave each, and counts these by fine bin and value. All bins are counted with partial aggregation, and the number of bins in a window, and
 of distinct doubles in a fine bin, is bounded (about four million) whatever the group's size.
 """
 
@@ -15,6 +15,7 @@ from pulsegrid.operators.skew import salted_join
 
 FINE_BITS = 32  # fine bins per power of two: 2 ** 32
 COARSE_SHIFT = 22  # fine bins in a coarse bin: 2 ** 22
+OPENED = 20_000  # coarse bins with a wanted rank that are sent to the rows; some 100 bytes each
 
 
 def _fine_bin(value: Column) -> Column:
@@ -48,20 +49,20 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str,
                       quantiles: dict[str, float]) -> DataFrame:
     """Keys, ``n`` (values that are not null) and one column per quantile, interpolated linearly.
 
-    ``quantiles`` maps column names to fractions. Groups without any value give no row.
+    ``quantiles`` maps column names to fractions. Groups without any value give no row. The first read is done at
+    once, to see how many bins are opened.
     """
     fractions = list(quantiles.values())
     # the keys as one struct, and bins, are never null: so no join adds a null filter of its own
-    # to its input, and all uses of the counted values share one shuffle
-    counted = (df.filter(F.col(value).isNotNull())
-               .groupBy(F.struct(*keys).alias("_key"), F.col(value).alias("_value"))
-               .agg(F.count("*").alias("_count"))
-               .withColumn("_fine", _fine_bin(F.col("_value")))
-               .withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT)))
+    rows = (df.filter(F.col(value).isNotNull())
+            .select(F.struct(*keys).alias("_key"), F.col(value).alias("_value"))
+            .withColumn("_fine", _fine_bin(F.col("_value")))
+            .withColumn("_coarse", F.shiftright("_fine", COARSE_SHIFT)))
 
+    # first read: coarse bins are counted straight from the rows, and no value is shuffled
     in_key = Window.partitionBy("_key").orderBy("_coarse")
     start = (F.col("_end") - F.col("_count")).alias("_start")
-    coarse = (counted.groupBy("_key", "_coarse").agg(F.sum("_count").alias("_count"))
+    coarse = (rows.groupBy("_key", "_coarse").agg(F.count("*").alias("_count"))
               .withColumn("n", F.sum("_count").over(
                   in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
               .withColumn("_end", F.sum("_count").over(in_key))
@@ -69,16 +70,24 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str,
                                           F.col("_count")))
               .filter(F.size("_ranks") > 0).select("_key", "_coarse", "n", "_ranks", start))
 
-    opened = salted_join(counted, coarse, ["_key", "_coarse"], ["_value"])
+    # second read: only rows of opened bins go on. Few bins go to the rows, many meet them by key
+    few = coarse.limit(OPENED + 1).collect()
+    if len(few) <= OPENED:
+        opened = rows.join(F.broadcast(df.sparkSession.createDataFrame(few, coarse.schema)), ["_key", "_coarse"])
+    else:
+        opened = salted_join(rows, coarse, ["_key", "_coarse"], ["_value"])
+    counted = (opened.groupBy("_key", "_coarse", "n", "_ranks", "_start", "_fine", "_value")
+               .agg(F.count("*").alias("_count")))
+
     in_coarse = Window.partitionBy("_key", "_coarse").orderBy("_fine")
-    fine = (opened.groupBy("_key", "_coarse", "n", "_ranks", "_start", "_fine")
+    fine = (counted.groupBy("_key", "_coarse", "n", "_ranks", "_start", "_fine")
             .agg(F.sum("_count").alias("_count"))
             .withColumn("_end", F.col("_start") + F.sum("_count").over(in_coarse))
             .withColumn("_ranks", _held(F.col("_ranks"), F.col("_end"), F.col("_count")))
             .filter(F.size("_ranks") > 0).select("_key", "_fine", "n", "_ranks", start))
 
     in_fine = Window.partitionBy("_key", "_fine").orderBy("_value")
-    hits = (counted.join(fine, ["_key", "_fine"])
+    hits = (counted.select("_key", "_fine", "_value", "_count").join(fine, ["_key", "_fine"])
             .withColumn("_end", F.col("_start") + F.sum("_count").over(in_fine))
             .select("_key", "n", "_value", F.explode(
                 _held(F.col("_ranks"), F.col("_end"), F.col("_count"))).alias("_rank")))

@@ -50,6 +50,23 @@ def test_percentiles_count_values_before_they_are_shuffled_on_and_scan_once(spar
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
 
 
+def test_only_rows_of_opened_bins_are_shuffled(spark, tmp_path, monkeypatch):
+    from pulsegrid.operators import quantiles
+    spark.range(20000).select((F.col("id") % 3).alias("k"), F.rand(1).alias("v")).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    df = exact_percentiles(rows, ["k"], "v", {"m": 0.5})
+    few = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    lines = [x.strip() for x in plan.splitlines()]
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x)
+    above = lines[:scan][::-1]  # from the scan up, the join with the opened bins comes before any exchange
+    first = next(x for x in above if "BroadcastHashJoin" in x or "Exchange hashpartitioning" in x)
+    assert "BroadcastHashJoin" in first, plan
+    monkeypatch.setattr(quantiles, "OPENED", 0)  # more bins than that meet the rows by key
+    other = exact_percentiles(rows, ["k"], "v", {"m": 0.5})
+    assert sorted(map(tuple, other.collect())) == sorted(map(tuple, few))
+
+
 def test_salted_join_keeps_every_row(spark):
     many = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), "id")
     one = spark.range(0, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))

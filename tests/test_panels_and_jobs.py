@@ -199,3 +199,17 @@ def test_union_tags_do_not_replace_own(spark):
 def test_topic_records_decode_to_what_went_in(spark, brokers):
     from pulsegrid.sources.envelope import decode_envelope
     assert flat(decode_envelope(to_topic_records(brokers))) == flat(brokers)
+
+
+def test_lag_waits_for_a_known_end_and_addresses_count_once(spark):
+    from pulsegrid.operators.enrich import enrich_with_inventory
+    from pulsegrid.operators.lag import consumer_lag
+    ends = spark.createDataFrame([(at(1), "t", 0, 70), (at(2), "t", 0, None), (at(1), "u", 0, None)],
+                                 "ts timestamp, topic string, partition int, end_offset long")
+    done = spark.createDataFrame([(at(1), "g", t, 0, 40) for t in ("t", "u")],
+                                 "ts timestamp, group_id string, topic string, partition int, offset long")
+    assert [(r.topic, r.end_offset, r.lag) for r in consumer_lag(ends, done).collect()] == [("t", 70, 30)]
+    brokers = spark.createDataFrame([("10", "h", 9092, 1), ("9", "h", 9092, 1)], "id string, host string, port int, jmx_port int")
+    rows = spark.createDataFrame([("h:1", {}), ("x:1", {"a": "b"})], "address string, tags map<string,string>")
+    got = sorted((r.address, sorted(r.tags.items())) for r in enrich_with_inventory(rows, brokers, "main", ["address"]).collect())
+    assert got == [("h:1", [("host", "h"), ("name", "main"), ("service", "broker-9")]), ("x:1", [("a", "b")])]

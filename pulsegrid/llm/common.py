@@ -71,8 +71,8 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
-#: rows of one long that may be broadcast: some 32 bytes each in a task's hash table
-BROADCAST_ROWS = 1_000_000
+#: rows of one long that may be broadcast: some 24 bytes each in an executor's hash table, 100 MB in all
+BROADCAST_ROWS = 4_000_000
 
 
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

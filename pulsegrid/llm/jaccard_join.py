@@ -68,7 +68,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 def shingle_features(size: int):
     """Distinct shingles of a batch, by the first 48 bits of their codes: they only meet within pairs of documents."""
-    def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:  # places count for nothing here
         ids = batch.column(0).to_numpy()
         sets = [np.unique(s & ~np.uint64(0xFFFF)) for s in shingle_sets(batch.column(1), size)]
         return np.repeat(ids, [len(s) for s in sets]), np.concatenate(sets) if sets else np.empty(0, np.uint64)

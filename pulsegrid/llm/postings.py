@@ -14,6 +14,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,24 +25,28 @@ RANGE_BYTES = 4_000_000  # bytes of text for each range of codes
 LEAST_RANGES = 64
 PIECE = 50_000          # settled rows that go on together
 
-ENTRIES = "part int, piece bigint, n int, codes binary, docs binary, settled binary"
-FOUND = "doc_id bigint, code bigint, first bigint"
+ENTRIES = "part int, piece bigint, n int, codes binary, docs binary, settled binary, places binary"
+FOUND = "doc_id bigint, code bigint, first bigint, place bigint"
 
-#: features of a batch: (doc ids, codes), one pair for each distinct code of a document
-Features = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+#: features of a batch: (doc ids, codes, places in the document); places are not read unless ``earlier``
+Features = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers, as planes of their low bytes; planes of zeros at the top are left out."""
+    """Unsigned numbers, as planes of their low bytes; planes of zeros at the top are left out.
+
+    The planes are compressed by their bytes' frequencies, which makes the upper ones short.
+    """
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
     planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return bytes([width]) + planes.tobytes()
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(data: bytes, n: int) -> np.ndarray:
     width = data[0]
     wide = np.zeros((n, 8), np.uint8)
-    wide[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, n).T
+    planes = zstandard.ZstdDecompressor().decompress(data[1:])
+    wide[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
     return wide.reshape(-1).view("<u8").astype(np.uint64, copy=False)
 
 
@@ -83,65 +88,108 @@ def cut(codes: np.ndarray, ranges: int) -> Iterator[tuple[int, int, int]]:
             yield r, at[r], at[r + 1]
 
 
+def least_first(codes: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and places beside sorted codes, so ordered that each run begins with its least document's least place."""
+    first, group = runs(codes)
+    held = np.flatnonzero((np.bincount(group) > 1)[group])  # most codes stand alone
+    order = held[np.lexsort((places[held], docs[held], codes[held]))]
+    docs, places = docs.copy(), places.copy()
+    docs[held], places[held] = docs[order], places[order]
+    return docs, places
+
+
 def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: bool,
-                  pieces: Iterator[int]) -> dict[str, list]:
+                  pieces: Iterator[int], places: np.ndarray | None = None) -> dict[str, list]:
     """Entries of one chunk: one for each code, with its least document, and what the chunk settles itself.
 
     The settled ones have the part ``ranges`` and a number of ``pieces``; the others have the piece 0.
 
     A code held twice in the chunk is settled here: for all its documents, or with ``earlier`` for those
-    after the first, which goes on as the chunk's entry for the code.
+    after the first, which goes on as the chunk's entry for the code, with its place there.
     """
     order = np.argsort(codes)
     docs, codes = docs[order], codes[order]
+    if earlier:
+        docs, places = least_first(codes, docs, np.zeros_like(docs) if places is None else places[order])
     first, group = runs(codes)
-    least = np.minimum.reduceat(docs, first)
+    least = docs[first] if earlier else np.minimum.reduceat(docs, first)
     several = np.maximum.reduceat(docs, first) > least
-    out = {name: [] for name in ("part", "piece", "n", "codes", "docs", "settled")}
+    out = {name: [] for name in ("part", "piece", "n", "codes", "docs", "settled", "places")}
 
-    def add(part, piece, codes, docs, settled):
-        values = part, piece, len(codes), pack_sorted(codes), pack_ids(docs), settled
+    def add(part, piece, codes, docs, settled, places):
+        values = part, piece, len(codes), pack_sorted(codes), pack_ids(docs), settled, places
         for name, value in zip(out, values, strict=True):
             out[name].append(value)
 
     entry = codes[first]
+    spots = places[first].astype(np.uint64) if earlier else None
     for r, a, b in cut(entry, ranges):
-        add(r, 0, entry[a:b], least[a:b], np.packbits(several[a:b]).tobytes())
+        add(r, 0, entry[a:b], least[a:b], np.packbits(several[a:b]).tobytes(), pack(spots[a:b]) if earlier else b"")
     known = docs > least[group] if earlier else several[group]
-    known_codes, known_docs, known_first = codes[known], docs[known], least[group][known]
+    known_codes, known_docs = codes[known], docs[known]
     for a in range(0, len(known_codes), PIECE):
-        b = a + PIECE
-        add(ranges, next(pieces), known_codes[a:b], known_docs[a:b], pack_ids(known_first[a:b]) if earlier else b"")
+        at = slice(a, a + PIECE)
+        firsts, theirs = (pack_ids(least[group][known][at]), pack(spots[group][known][at])) if earlier else (b"", b"")
+        add(ranges, next(pieces), known_codes[at], known_docs[at], firsts, theirs)
     return out
 
 
-def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) -> DataFrame:
-    """(doc_id, code, first) of codes that several documents hold; ``first`` is a document before.
+KNOWN = np.dtype([("code", "<u8"), ("first", "<i8"), ("place", "<u4")])  # columns of what is packed for a document
+
+
+def pack_known(doc: np.ndarray, code: np.ndarray, first: np.ndarray, place: np.ndarray) -> pa.Table:
+    """(doc_id, known): for each document all it has, column after column."""
+    order = np.argsort(doc, kind="stable")
+    doc, columns = doc[order], [x[order].astype(KNOWN[k]) for k, x in enumerate((code, first, place))]
+    starts, _ = runs(doc)
+    ends = np.append(starts[1:], len(doc))[:len(starts)]
+    known = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return pa.table([pa.array(doc[starts]), pa.array(known, pa.binary())], schema=PACKED_SCHEMA)
 
-    With ``earlier``, only of documents after the first that holds the code, and ``first`` has a smaller
-    id; without, of all documents that hold it, and ``first`` says nothing.
+
+def unpack_known(parts: list[bytes]) -> list[np.ndarray]:
+    """Codes, firsts and places out of what ``pack_known`` made for one document."""
+    columns: list[list[np.ndarray]] = [[], [], []]
+    for part in parts:
+        n, at = len(part) // KNOWN.itemsize, 0
+        for k, column in enumerate(columns):
+            column.append(np.frombuffer(part, KNOWN[k], n, at))
+            at += n * KNOWN[k].itemsize
+    return [np.concatenate(c) for c in columns]
+
+
+PACKED = "doc_id bigint, known binary"
+PACKED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("known", pa.binary())])
+
+
+def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool, packed: bool = False) -> DataFrame:
+    """(doc_id, code, first, place), or ``packed`` for each document and range, of codes that several documents hold.
+
+    With ``earlier``, only of documents after the first that holds the code; ``first`` is this one, or of documents
+    that met in a task the least there, and ``place`` where the code stands in it. Without, of all documents that
+    hold it, and ``first`` and ``place`` say nothing.
     """
     names = [f.split()[0] for f in ENTRIES.split(", ")]
     entry_schema = pa.schema([("part", pa.int32()), ("piece", pa.int64()), ("n", pa.int32()), ("codes", pa.binary()),
-                              ("docs", pa.binary()), ("settled", pa.binary())])
-    found_schema = pa.schema([("doc_id", pa.int64()), ("code", pa.int64()), ("first", pa.int64())])
+                              ("docs", pa.binary()), ("settled", pa.binary()), ("places", pa.binary())])
+    found_schema = pa.schema([("doc_id", pa.int64()), ("code", pa.int64()), ("first", pa.int64()), ("place", pa.int64())])
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
         pieces = count((TaskContext.get().partitionId() << 32) + 1)
 
         def flush():
-            made = chunk_entries(np.concatenate([d for d, _ in held]), np.concatenate([c for _, c in held]),
-                                 ranges, earlier, pieces)
+            ids, codes, *places = (np.concatenate(x) for x in zip(*held, strict=True))
+            made = chunk_entries(ids, codes, ranges, earlier, pieces, *places)
             return pa.RecordBatch.from_pydict({name: made[name] for name in names}, schema=entry_schema)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                ids, codes = features(batch.slice(at, 500))
-                if len(codes):
-                    held.append((ids, codes))
-                    size += len(codes)
+                found = features(batch.slice(at, 500))
+                if len(found[1]):
+                    held.append(found)
+                    size += len(found[1])
                 if size >= CHUNK:
                     yield flush()
                     held, size = [], 0
@@ -150,24 +198,31 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) ->
 
     def meet(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        codes = [unpack_sorted(r["codes"], r["n"]) for r in rows]
-        ids = [unpack_ids(r["docs"], r["n"]) for r in rows]
+        code = np.concatenate([unpack_sorted(r["codes"], r["n"]) for r in rows])
+        doc = np.concatenate([unpack_ids(r["docs"], r["n"]) for r in rows])
+        place = (np.concatenate([unpack(r["places"], r["n"]) for r in rows]).astype(np.int64) if earlier
+                 else np.zeros(len(doc), np.int64))
         if rows[0]["part"] >= ranges:  # a piece of what a chunk has settled
-            code, doc = np.concatenate(codes), np.concatenate(ids)
             first = np.concatenate([unpack_ids(r["settled"], r["n"]) for r in rows]) if earlier else doc
         else:
-            code, doc = np.concatenate(codes), np.concatenate(ids)
-            settled = np.concatenate([np.unpackbits(np.frombuffer(r["settled"], np.uint8), count=r["n"])
-                                      for r in rows]).astype(bool)
             order = np.argsort(code)
-            code, doc, settled = code[order], doc[order], settled[order]
+            code, doc, place = code[order], doc[order], place[order]
+            if earlier:
+                doc, place = least_first(code, doc, place)
             starts, at = runs(code)
-            first = np.minimum.reduceat(doc, starts)[at]
-            keep = doc > first if earlier else (np.bincount(at)[at] > 1) & ~settled
-            code, doc, first = code[keep], doc[keep], first[keep]
-        return pa.table([pa.array(doc), pa.array(code.view(np.int64)), pa.array(first)], schema=found_schema)
-
-    return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, FOUND)
+            if earlier:
+                first, place = doc[starts][at], place[starts][at]
+                keep = doc > first
+            else:
+                settled = np.concatenate([np.unpackbits(np.frombuffer(r["settled"], np.uint8), count=r["n"])
+                                          for r in rows]).astype(bool)[order]
+                first, keep = doc, (np.bincount(at)[at] > 1) & ~settled
+            code, doc, first, place = code[keep], doc[keep], first[keep], place[keep]
+        if packed:
+            return pack_known(doc, code, first, place)
+        return pa.table([pa.array(doc), pa.array(code.view(np.int64)), pa.array(first), pa.array(place)], schema=found_schema)
+
+    return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, PACKED if packed else FOUND)
 
 
 def refuse_other_ids(docs: DataFrame, doc_id: str) -> None:

@@ -1,16 +1,18 @@
 """Substring dedup: a relative Lempel-Ziv parse of each document against the documents before it.
 
 The reference is every document with a smaller id, indexed by windows of ``window`` words (see postings):
-of each window the index has the least document that holds it. A document is parsed greedily from the left. A
-factor starts at the next window that the index knows and is as long as its windows go on in one reference
-document; words between factors are literals. Factors shorter than a window do not count. A window that starts
-inside a factor and ends beyond it may stand in another reference, so the parse goes back over the boundary:
+of each window the index has a document before that holds it, and its place there. A document is parsed greedily from the
+left: a factor starts at the next window that the index knows, stands at that place of the reference document, and
+goes on as long as the following windows stand at the following places of the same document. So the words of a factor are
+those of its reference from the given place on. Words between factors are literals; what is shorter than a window is no
+factor. A window across the end of a factor may stand in another reference, so the parse goes back over the boundary:
 the next factor may begin at any of the last ``window - 1`` words of the one before. All words in factors are
-duplicate spans. The parse looks at the input as it was, not at what is left of it.
+duplicate spans. The parse looks at the input as it was, not at what is left of it. Texts travel compressed to where their
+windows meet.
 
 Defined cases: null and empty texts have no words and keep the empty text; documents shorter than a window keep
 all; a row without doc_id is kept whole and is nobody's reference; rows that repeat a doc_id are one document,
-each checked by its own text. Texts are cut at ``[\x20\x09-\x0D]+`` and kept words joined by one space.
+each checked by its own text, and a place in it is one in any of its rows. Ids are whole numbers. Texts are cut at ``[\x20\x09-\x0D]+`` and kept words joined by one space.
 """
 
 from __future__ import annotations
@@ -23,15 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import query, table, text_bytes
-from pulsegrid.llm.postings import known_ids, range_count, repeated
+from pulsegrid.llm.postings import known_ids, range_count, repeated, unpack_known
 from pulsegrid.llm.words import window_codes, word_hashes
 
 WINDOW = 13
 
 
 def window_features(window: int):
-    """The window codes of a batch, with the document of each."""
-    def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The window codes of a batch, with the document of each and its place there."""
+    def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashes, first = word_hashes(batch.column(1))
         codes = window_codes(hashes, window)
         counts = np.maximum(np.diff(first) - window + 1, 0)
@@ -39,47 +41,64 @@ def window_features(window: int):
         own = counts > 0
         np.add.at(inside, first[:-1][own], 1)
         np.add.at(inside, (first[:-1] + counts)[own], -1)
-        return np.repeat(batch.column(0).to_numpy(), counts), codes[np.cumsum(inside[:-1]) > 0]
+        begins = np.repeat(np.cumsum(counts) - counts, counts)
+        return (np.repeat(batch.column(0).to_numpy(), counts), codes[np.cumsum(inside[:-1]) > 0],
+                np.arange(len(begins)) - begins)
     return features
 
 
-def factors(at: np.ndarray, reference: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (first word, end, reference) from the windows ``at`` which the index knows."""
+def factors(at: np.ndarray, reference: np.ndarray, place: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Greedy factors (first word, end, reference, place in it) from the windows ``at`` which the index knows."""
     if not len(at):
         return []
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (reference[1:] != reference[:-1])
+    new[1:] = (at[1:] != at[:-1] + 1) | (reference[1:] != reference[:-1]) | (place[1:] != place[:-1] + 1)
     starts = np.flatnonzero(new)
     last = np.append(starts[1:], len(at)) - 1
-    return list(zip(at[starts].tolist(), (at[last] + window).tolist(), reference[starts].tolist(), strict=True))
+    return list(zip(at[starts].tolist(), (at[last] + window).tolist(), reference[starts].tolist(), place[starts].tolist(),
+                    strict=True))
+
+
+def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) with each text compressed."""
+    import zstandard
+
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [None if t is None else packer.compress(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "text"])
 
 
 def parser(window: int, schema: pa.Schema):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
         for whole in batches:
             for start in range(0, whole.num_rows, 200):
                 batch = whole.slice(start, 200)
-                texts = batch.column(1).to_pylist()
-                hashes, first = word_hashes(batch.column(1))
+                texts = [None if t is None else unpacker.decompress(t) for t in batch.column(1).to_pylist()]
+                hashes, first = word_hashes(pa.array(texts, pa.binary()))
                 codes = window_codes(hashes, window)
                 counts, removed, spans, kept = [], [], [], []
                 for k, known in enumerate(batch.column(2)):
                     words = (texts[k] or b"").split()
                     found = []
                     if known.is_valid and len(words) >= window:
-                        index = known.values.field(0).to_numpy().view(np.uint64)
+                        index, references, places = unpack_known(known.as_py())
                         order = np.argsort(index)
                         own = codes[first[k]:first[k + 1] - window + 1]
                         place = np.searchsorted(index, own, sorter=order)
                         place[place == len(index)] = 0
                         at = np.flatnonzero(index[order[place]] == own)
-                        found = factors(at, known.values.field(1).to_numpy()[order[place[at]]], window)
+                        there = order[place[at]]
+                        found = factors(at, references[there], places[there].astype(np.int64), window)
                     drop = np.zeros(len(words), bool)
-                    for a, b, _ in found:
+                    for a, b, *_ in found:
                         drop[a:b] = True
                     counts.append(len(words))
                     removed.append(int(drop.sum()))
-                    spans.append([{"start": a, "stop": b, "reference": r} for a, b, r in found])
+                    spans.append([dict(zip(("start", "stop", "reference", "place"), f, strict=True)) for f in found])
                     kept.append(b" ".join(w for w, x in zip(words, drop.tolist(), strict=True) if not x)
                                 if found else b" ".join(words))
                 yield pa.RecordBatch.from_arrays(
@@ -92,18 +111,19 @@ def parser(window: int, schema: pa.Schema):
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept), one row for each row of ``docs``.
 
-    ``spans`` are the factors in words, each with the reference document; ``kept`` the text that is left.
+    ``spans`` are the factors in words, each with the reference document and its place in it; ``kept`` the text that is left.
     """
-    found = repeated(known_ids(docs, doc_id, text), window_features(window), range_count(text_bytes(docs, text)), True)
+    found = repeated(known_ids(docs, doc_id, text), window_features(window), range_count(text_bytes(docs, text)), True, packed=True)
     # one document's windows: as long as its text
-    index = found.groupBy("doc_id").agg(F.collect_list(F.struct("code", "first")).alias("known"))
+    index = found.groupBy("doc_id").agg(F.collect_list("known").alias("known"))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("reference", pa.int64())]))
+    rows = rows.mapInArrow(compressed, "doc_id bigint, text binary")
+    span = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "stop", "reference", "place")]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                         ("spans", span), ("kept", pa.string())])
     return rows.join(index, "doc_id", "left").select("doc_id", "text", "known").mapInArrow(
         parser(window, schema), "doc_id bigint, n_words bigint, n_removed bigint, "
-        "spans array<struct<start:bigint,stop:bigint,reference:bigint>>, kept string")
+        "spans array<struct<start:bigint,stop:bigint,reference:bigint,place:bigint>>, kept string")
 
 
 SQL = r"""

@@ -115,8 +115,25 @@ def test_substring_dedup(spark, documents, window):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     found = substrings.remove_repeats(documents, window).collect()
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in found) == brute_repeats(rows, window)
+    words = {}
+    for d, t in rows:
+        words.setdefault(d, []).append(SPACES.findall(t or ""))
     for r in found:
-        assert all(s.reference < r.doc_id and s.stop - s.start >= window for s in r.spans)
+        for s in r.spans:
+            assert s.reference < r.doc_id and s.stop - s.start >= window
+            # the words of a factor stand in its reference, from the given place on
+            own = {tuple(w[s.start:s.stop]) for w in words[r.doc_id]}
+            assert own & {tuple(w[s.place:s.place + s.stop - s.start]) for w in words[s.reference]}
+
+
+def test_a_factor_ends_where_its_reference_does(spark):
+    w = [f"w{k}" for k in range(14)]
+    texts = {1: w[:13] + ["x", "y", "z"] + w[1:], 2: w, 3: ["a"] + w + ["b"] + w}
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in substrings.remove_repeats(docs).collect()}
+    assert got[1] == []
+    assert got[2] == [(0, 13, 1, 0), (1, 14, 1, 16)]  # two places of document 1, which has no run of 14
+    assert got[3] == [(1, 14, 1, 0), (2, 15, 1, 16), (16, 29, 1, 0), (17, 30, 1, 16)]
 
 
 def test_substring_dedup_of_nothing(spark, documents):

@@ -33,7 +33,7 @@ def packed(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(packed(docs), model).where(F.col("score") < toxicity.THRESHOLD).select("document.*")
+    return toxicity.scored(packed(docs), model, keep=["document"]).where(F.col("score") < toxicity.THRESHOLD).select("document.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +45,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
-    found = decontaminate.benchmark_hits(packed(docs), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.benchmark_hits(packed(docs), table(spark, sf_dir, "benchmark"), keep=["document"])
     return found.where(~F.col("contaminated")).select("document.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.scanned(packed(docs), secret_scan.train(docs))
-    clean = secret_scan.redacted(F.col("text"), F.col("spans"))
+    found = secret_scan.scanned(packed(docs), secret_scan.train(docs), keep=["document"])
+    clean = secret_scan.redacted(F.col("document.text"), F.col("spans"))
     changed = {"text": clean, "n_chars": F.when(F.size("spans") > 0, F.length(clean).cast("bigint")).otherwise(
         F.col("document.n_chars"))}
     return found.select(*(changed[c].alias(c) if c in changed else F.col(f"document.`{c}`") for c in docs.columns))

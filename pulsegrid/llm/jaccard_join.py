@@ -35,6 +35,7 @@ from pulsegrid.llm.words import FOLD, SPACED, window_codes, word_hashes
 
 
 HUBS = 2
+DENSE = 32  # groups of a list from which on its entries carry what tells a pair's first list
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -164,16 +165,17 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     placed = placed.join(group.select("sign", "n", "prefix", "gid"), ["sign", "n", "prefix"]).drop("sign", "prefix")
     # an entry of a list is what the filters need of its group; the prefix stays behind
     posting = group.drop("sign").withColumn("code", F.explode("prefix")).drop("prefix")
-    mixed = posting.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h")
-    posting = posting.join(mixed.select("code"), "code")
-
-    # a pair of groups that meets at several codes counts once
-    x, y = posting.alias("x"), posting.alias("y")
-    alone = (F.col("x.members") == 1) & (F.col("y.members") == 1)
-    groups = (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart("x", "y")
-                     & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent)))
-              .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")).distinct()
-              .unionByName(group.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
+    mixed = posting.groupBy("code").agg(F.min("lo").alias("l"), F.max("hi").alias("h"), F.count("*").alias("groups"))
+    posting = stable(posting.join(mixed.where("l != h").select("code", "groups"), "code"))
+    # a pair of groups that meets at several codes counts once: in dense lists at the least dense code of both, so that
+    # many alike groups make no more rows than pairs; in short ones, where it makes few, copies are dropped afterwards
+    dense = posting.where(F.col("groups") > DENSE)
+    own = dense.groupBy("gid").agg(F.collect_list("code").alias("dense"))
+    once = F.col("x.code") == F.array_min(F.array_intersect("x.dense", "y.dense"))
+    groups = stable(group_pairs(posting.where(F.col("groups") <= DENSE), F.lit(True), percent)
+                    .unionByName(group_pairs(dense.join(own, "gid"), once, percent)).distinct()
+                    .unionByName(group.where("lo != hi").select(F.col("gid").alias("g"), F.col("gid").alias("h"))))
+    forget(posting)
     x, y = placed.alias("x"), placed.alias("y")
     pairs = (groups.join(x, F.col("g") == F.col("x.gid"))
              .join(y, (F.col("h") == F.col("y.gid")) & (F.col("x.root") != F.col("y.root"))
@@ -183,6 +185,15 @@ def links(nodes: DataFrame, percent: int) -> DataFrame:
     return near.unionByName(verified(pairs, nodes, percent))
 
 
+def group_pairs(posting: DataFrame, once, percent: int) -> DataFrame:
+    """Pairs (g, h) of groups of different components in one list, as far as sizes and bitmaps allow a link."""
+    x, y = posting.alias("x"), posting.alias("y")
+    alone = (F.col("x.members") == 1) & (F.col("y.members") == 1)
+    return (x.join(y, (F.col("x.code") == F.col("y.code")) & (F.col("x.gid") < F.col("y.gid")) & apart("x", "y")
+                   & sizes_allow("x", "y", percent) & (~alone | bits_allow("x", "y", percent)) & once)
+            .select(F.col("x.gid").alias("g"), F.col("y.gid").alias("h")))
+
+
 def apart(x: str, y: str):
     """Two groups are not one component already; ``lo`` and ``hi`` are the least and greatest of their members."""
     return ~((F.col(f"{x}.lo") == F.col(f"{x}.hi")) & (F.col(f"{y}.lo") == F.col(f"{y}.hi"))

@@ -134,36 +134,8 @@ def chunk_entries(docs: np.ndarray, codes: np.ndarray, ranges: int, earlier: boo
     return out
 
 
-KNOWN = np.dtype([("code", "<u8"), ("first", "<i8"), ("place", "<u4")])  # columns of what is packed for a document
-
-
-def pack_known(doc: np.ndarray, code: np.ndarray, first: np.ndarray, place: np.ndarray) -> pa.Table:
-    """(doc_id, known): for each document all it has, column after column."""
-    order = np.argsort(doc, kind="stable")
-    doc, columns = doc[order], [x[order].astype(KNOWN[k]) for k, x in enumerate((code, first, place))]
-    starts, _ = runs(doc)
-    ends = np.append(starts[1:], len(doc))[:len(starts)]
-    known = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    return pa.table([pa.array(doc[starts]), pa.array(known, pa.binary())], schema=PACKED_SCHEMA)
-
-
-def unpack_known(parts: list[bytes]) -> list[np.ndarray]:
-    """Codes, firsts and places out of what ``pack_known`` made for one document."""
-    columns: list[list[np.ndarray]] = [[], [], []]
-    for part in parts:
-        n, at = len(part) // KNOWN.itemsize, 0
-        for k, column in enumerate(columns):
-            column.append(np.frombuffer(part, KNOWN[k], n, at))
-            at += n * KNOWN[k].itemsize
-    return [np.concatenate(c) for c in columns]
-
-
-PACKED = "doc_id bigint, known binary"
-PACKED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("known", pa.binary())])
-
-
-def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool, packed: bool = False) -> DataFrame:
-    """(doc_id, code, first, place), or ``packed`` for each document and range, of codes that several documents hold.
+def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool) -> DataFrame:
+    """(doc_id, code, first, place) of codes that several documents hold.
 
     With ``earlier``, only of documents after the first that holds the code; ``first`` is this one, or of documents
     that met in a task the least there, and ``place`` where the code stands in it. Without, of all documents that
@@ -218,11 +190,9 @@ def repeated(docs: DataFrame, features: Features, ranges: int, earlier: bool, pa
                                           for r in rows]).astype(bool)[order]
                 first, keep = doc, (np.bincount(at)[at] > 1) & ~settled
             code, doc, first, place = code[keep], doc[keep], first[keep], place[keep]
-        if packed:
-            return pack_known(doc, code, first, place)
         return pa.table([pa.array(doc), pa.array(code.view(np.int64)), pa.array(first), pa.array(place)], schema=found_schema)
 
-    return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, PACKED if packed else FOUND)
+    return docs.mapInArrow(entries, ENTRIES).groupBy("part", "piece").applyInArrow(meet, FOUND)
 
 
 def refuse_other_ids(docs: DataFrame, doc_id: str) -> None:

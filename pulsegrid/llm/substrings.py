@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import query, table, text_bytes
-from pulsegrid.llm.postings import known_ids, range_count, repeated, unpack_known
+from pulsegrid.llm.postings import known_ids, range_count, repeated
 from pulsegrid.llm.words import window_codes, word_hashes
 
 WINDOW = 13
@@ -85,14 +85,15 @@ def parser(window: int, schema: pa.Schema):
                     words = (texts[k] or b"").split()
                     found = []
                     if known.is_valid and len(words) >= window:
-                        index, references, places = unpack_known(known.as_py())
+                        index, references, places = (known.values.field(k).to_numpy() for k in range(3))
+                        index = index.view(np.uint64)
                         order = np.argsort(index)
                         own = codes[first[k]:first[k + 1] - window + 1]
                         place = np.searchsorted(index, own, sorter=order)
                         place[place == len(index)] = 0
                         at = np.flatnonzero(index[order[place]] == own)
                         there = order[place[at]]
-                        found = factors(at, references[there], places[there].astype(np.int64), window)
+                        found = factors(at, references[there], places[there], window)
                     drop = np.zeros(len(words), bool)
                     for a, b, *_ in found:
                         drop[a:b] = True
@@ -113,9 +114,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     ``spans`` are the factors in words, each with the reference document and its place in it; ``kept`` the text that is left.
     """
-    found = repeated(known_ids(docs, doc_id, text), window_features(window), range_count(text_bytes(docs, text)), True, packed=True)
+    found = repeated(known_ids(docs, doc_id, text), window_features(window), range_count(text_bytes(docs, text)), True)
     # one document's windows: as long as its text
-    index = found.groupBy("doc_id").agg(F.collect_list("known").alias("known"))
+    index = found.groupBy("doc_id").agg(F.collect_list(F.struct("code", "first", "place")).alias("known"))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     rows = rows.mapInArrow(compressed, "doc_id bigint, text binary")
     span = pa.list_(pa.struct([(x, pa.int64()) for x in ("start", "stop", "reference", "place")]))

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from checks.lag_checks import _CARRY_SQL
 from checks.registry import query
-from checks.roles import events, in_files
+from checks.panel_checks import ASKED, SERIES_SQL
+from checks.roles import END, events, in_files, measurements
+from checks.summary_checks import DAY, EWMA_SQL, RATES, TICK
 from pulsegrid.session import work_dir
+from pulsegrid.plans.panels import PANELS
+from pulsegrid.streaming.intervals import ewma_rate_stream, filled_panel_series
 from pulsegrid.streaming.jobs import store_stream
 from pulsegrid.streaming.state import carry_forward_stream, keep_latest, read_latest, report_at_ticks
 
@@ -87,3 +91,41 @@ def fixed_rate(spark, sf_dir):
     return found.groupBy("user_id").agg(
         newest, (F.max(second) - F.min(second) + 1 - F.count("*")).alias("gaps"),
         (F.count_distinct("tick") >= 3).alias("goes_on")).select("user_id", "_n.set_at", "_n.value", "gaps", "goes_on")
+
+
+@query("a08_stream", EWMA_SQL)
+def rates_over_stream(spark, sf_dir):
+    """Ten days a batch; every fifth event of the last two days comes a batch later. Reports go on when a key is silent."""
+    out = work_dir(spark, "a08s")
+    rows = events(spark, sf_dir).select("event_type", "ts", "event_id")
+    day = F.dayofmonth("ts") - 1
+    late = (day % 10 >= 8) & (F.col("event_id") % 5 == 0) & (day < 28)
+    clock = spark.range(1).select(F.lit("clock").alias("event_type"), F.lit("2024-02-03").cast("timestamp").alias("ts"),
+                                  F.lit(-1).cast("bigint").alias("event_id"))
+    both = rows.withColumn("part", F.least(F.floor(day / 10), F.lit(2)) + late.cast("int")).unionByName(
+        clock.withColumn("part", F.lit(3)))
+    stream = in_files(both, F.col("part"), f"{out}/in", 4)
+    rates = ewma_rate_stream(stream, ["event_type"], DAY // 4, delay="3 days", tick_seconds=TICK, minutes=RATES)
+    store_stream(rates, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+    found = spark.read.schema(rates.schema).parquet(f"{out}/rows")
+    return found.select("event_type", "at", *[F.round(r, 9).alias(r) for r in RATES])
+
+
+def _register_filled(name: str, panel_id: str) -> None:
+    @query(name, SERIES_SQL[panel_id])
+    def shown(spark, sf_dir):
+        """Ten days a batch, then one measurement after the range, which closes its last hours."""
+        out = work_dir(spark, name)
+        rows = measurements(spark, sf_dir, "event_id")
+        part = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+        clock = rows.filter(F.col("name") == PANELS[panel_id].measurement).limit(1).withColumn(
+            "ts", F.lit(END).cast("timestamp") + F.expr("interval 2 hours"))
+        both = rows.withColumn("part", part).unionByName(clock.withColumn("part", F.lit(3)))
+        stream = in_files(both, F.col("part"), f"{out}/in", 4)
+        panel = filled_panel_series(stream, panel_id, ASKED, 3600, "1 hour")
+        store_stream(panel, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+        return spark.read.schema(panel.schema).parquet(f"{out}/rows").withColumn("value", F.round("value", 6))
+
+
+for _name, _panel_id in {"t02_stream": "Q01", "t02_stream_three_targets": "Q13", "t02_stream_one_series": "Q11"}.items():
+    _register_filled(_name, _panel_id)

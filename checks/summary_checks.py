@@ -184,7 +184,7 @@ def timer(spark, sf_dir):
     return _rounded(df, {**_SPREAD_PLACES, "MeanRate": 9, **{r: 9 for r in RATES}})
 
 
-@query("a08_ewma_rate", f"""
+EWMA_SQL = f"""
     WITH {_TICKS},
     reports AS (SELECT event_type, first, r AS report FROM firsts,
       generate_series((SELECT min(first) // 72 FROM firsts), epoch(TIMESTAMP '2024-01-31')::BIGINT // 21600 - 1) g(r)
@@ -192,7 +192,10 @@ def timer(spark, sf_dir):
     SELECT event_type, make_timestamp((report + 1) * 21600000000) AS at,
       {_RATES_SQL.format(last='((report + 1) * 72 - 1)')}
     FROM reports JOIN ticks USING (event_type) WHERE tick < (report + 1) * 72
-    GROUP BY event_type, report""")
+    GROUP BY event_type, report"""
+
+
+@query("a08_ewma_rate", EWMA_SQL)
 def ewma(spark, sf_dir):
     df = summary.ewma_rate(events(spark, sf_dir), ["event_type"], END, DAY // 4, tick_seconds=TICK, minutes=RATES)
     return _rounded(df, {r: 9 for r in RATES})

@@ -76,7 +76,7 @@ def _tick_counts(df: DataFrame, keys: list[str], ts: str, until: str, tick_secon
     return rows.groupBy(*keys, "_tick").agg(F.count("*").alias("_n"))
 
 
-def _decay(minutes: float, tick_seconds: float) -> float:
+def decay(minutes: float, tick_seconds: float) -> float:
     """What one tick leaves of a rate: 1 - alpha."""
     return math.exp(-tick_seconds / (60 * minutes))
 
@@ -91,7 +91,7 @@ def _meter_columns(until: str, tick_seconds: int, minutes: dict[str, float]) ->
     seconds = (last + 1 - first) * tick_seconds
     columns = [count.cast("double").alias("Count"), (count / seconds).alias("MeanRate")]
     for name, m in minutes.items():
-        keep = _decay(m, tick_seconds)
+        keep = decay(m, tick_seconds)
         recent = F.sum((1 - keep) * F.col("_n") * F.pow(F.lit(keep), last - F.col("_tick")))
         started = keep * F.min_by("_n", "_tick") * F.pow(F.lit(keep), last - first)
         columns.append(((recent + started) / tick_seconds).alias(name))
@@ -136,7 +136,7 @@ def ewma_rate(df: DataFrame, keys: list[str], until: str, report_seconds: int, t
     if per_report * tick_seconds != report_seconds:
         raise ValueError("a report interval must be a whole number of ticks")
     names = list(minutes)
-    keep = {name: _decay(m, tick_seconds) for name, m in minutes.items()}
+    keep = {name: decay(m, tick_seconds) for name, m in minutes.items()}
     fade = {name: keep[name] ** per_report for name in names}
     fastest = per_report * tick_seconds / (60 * min(minutes.values()))
     block = max(1, min(4096, int(575 / fastest)))

@@ -303,6 +303,35 @@ def bundled(spark, sf_dir):
     return total
 
 
+def _bundle_values_sql() -> str:
+    parts = []
+    for panel_id, panel in PANELS.items():
+        number = panel_id in NUMBER_SQL
+        key = panel.by[0] if panel.by else "CAST(NULL AS VARCHAR)"
+        columns = ("CAST(NULL AS TIMESTAMP) AS bucket", "CAST(NULL AS VARCHAR) AS series") if number else ("bucket", "series")
+        level = "level" if panel.levels else "CAST(NULL AS VARCHAR) AS level"
+        parts.append(f"SELECT '{panel_id}' AS panel, {key} AS key, {', '.join(columns)}, round(value, 4) AS value, {level} "
+                     f"FROM ({NUMBER_SQL.get(panel_id, SERIES_SQL[panel_id])})")
+    return " UNION ALL ".join(parts)
+
+
+@query("s09_bundle_values", _bundle_values_sql())
+def bundled_values(spark, sf_dir):
+    """Every stored row of every panel."""
+    out = work_dir(spark, "s09v")
+    paths = bundle_dashboard(panel_input(spark, sf_dir), cluster_dashboard("main", 3), ASKED, out, HOUR)
+    shown = None
+    for (panel_id, panel), path in zip(PANELS.items(), paths, strict=True):
+        rows = spark.read.parquet(path)
+        rows = rows.select(
+            F.lit(panel_id).alias("panel"), (F.col(panel.by[0]) if panel.by else F.lit(None).cast("string")).alias("key"),
+            *[(F.col(c) if c in rows.columns else F.lit(None).cast(kind)).alias(c)
+              for c, kind in (("bucket", "timestamp"), ("series", "string"))], F.round("value", 4).alias("value"),
+            (F.col("level") if "level" in rows.columns else F.lit(None).cast("string")).alias("level"))
+        shown = rows if shown is None else shown.unionByName(rows)
+    return shown
+
+
 def _points_stream(spark, sf_dir, label: str, extra: str = "event_id"):
     """Measurements as a stream of files, in which later rows never come before earlier days."""
     path = work_dir(spark, label)

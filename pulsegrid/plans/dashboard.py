@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from pulsegrid.functions.tags import tag
 from pulsegrid.operators.filters import time_range
-from pulsegrid.plans.panels import PANELS, Range, evaluate
+from pulsegrid.plans.panels import PANELS, Range, can_merge, evaluate, merged_tables, of_merged
 
 
 @dataclass
@@ -46,17 +46,18 @@ def bundle_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range, path: st
                      width: int | None = None) -> list[str]:
     """Store every panel of a dashboard under its id. Gives the paths, in panel order.
 
-    The input is cut to what the panels need and written once, by measurement; each panel then
-    reads the folder of its measurement only.
+    All panels whose aggregates merge come from one read and one shuffle of the input; their buckets, a row per
+    panel, series and bucket, are kept while each panel is finished and stored. Panels with last values or medians read
+    the rows of their measurement.
     """
-    spark = df.sparkSession
     ids = dashboard.panel_ids()
-    shared = f"{path}/_input"
-    (dashboard_input(df, ids, asked).hint("rebalance", "name")
-     .write.mode("overwrite").partitionBy("name").parquet(shared))
-    rows = spark.read.schema(df.schema).parquet(shared)
-    paths = []
-    for panel, shown in evaluate_dashboard(rows, dashboard, asked, width).items():
-        paths.append(f"{path}/{panel}")
-        shown.write.mode("overwrite").parquet(paths[-1])
-    return paths
+    merged = [p for p in ids if can_merge(p)]
+    tables = merged_tables(df, merged, asked, width).persist() if merged else None
+    try:
+        for panel in ids:
+            shown = of_merged(tables, panel, asked, width) if panel in merged else evaluate(df, panel, asked, width)
+            shown.write.mode("overwrite").parquet(f"{path}/{panel}")
+    finally:
+        if tables is not None:
+            tables.unpersist()
+    return [f"{path}/{panel}" for panel in ids]

@@ -138,6 +138,11 @@ def panel_table(df: DataFrame, panel: Panel, asked: Range, width: int | None = N
     present = F.coalesce(*[F.col(f"_{f}") for f in fields]).isNotNull()
     table = buckets.bucket_agg(rows.filter(present), width, list(panel.by),
                                {t.column: (t.how, f"_{t.field}") for t in panel.targets})
+    return _finished(table, panel, asked, width, fill)
+
+
+def _finished(table: DataFrame, panel: Panel, asked: Range, width: int, fill: bool) -> DataFrame:
+    """The aggregates of a panel's buckets with its empty buckets, and those shown below the axis negated."""
     if fill:
         table = buckets.fill_null(table, asked.start, asked.end, width, list(panel.by))
     for t in panel.targets:
@@ -171,9 +176,13 @@ def panel_number(df: DataFrame, panel: Panel, asked: Range, width: int | None =
     """A panel that shows one number per series: ``current`` or ``avg`` over the buckets."""
     if panel.reduce is None:
         raise ValueError(f"{panel.title} shows series, not numbers")
-    name = panel.targets[0].column
     # empty buckets do not count for either, so they need not be made
-    table = panel_table(df, panel, asked, width, fill=False)
+    return shown_number(panel_table(df, panel, asked, width, fill=False), panel)
+
+
+def shown_number(table: DataFrame, panel: Panel) -> DataFrame:
+    """A table of a panel's aggregates as one number per series."""
+    name = panel.targets[0].column
     return buckets.series_reduce(table, list(panel.by), name, panel.reduce).withColumnRenamed(name, "value")
 
 
@@ -184,6 +193,50 @@ def evaluate(df: DataFrame, panel_id: str, asked: Range, width: int | None = Non
     return show(df, panel, asked, width)
 
 
+def can_merge(panel_id: str) -> bool:
+    """Whether the panel's aggregates fit into one hash aggregation with those of others: last values and medians do not."""
+    return {t.how for t in PANELS[panel_id].targets} <= {"sum", "mean", "max", "min", "count"}
+
+
+def merged_tables(df: DataFrame, panel_ids: list[str], asked: Range, width: int | None = None) -> DataFrame:
+    """The aggregates of several panels from one read and one shuffle: (_panel, bucket, keys of any of them, aggregates).
+
+    A measurement goes to each of the panels that show it, at most as many as have its name, and is aggregated before the
+    shuffle by panel, bucket and keys. ``of_merged`` takes a panel out again.
+    """
+    panels = {p: PANELS[p] for p in panel_ids}
+    keys = sorted({k for panel in panels.values() for k in panel.by})
+    fields = {p: list(dict.fromkeys(t.field for t in panel.targets)) for p, panel in panels.items()}
+    slots = max(map(len, fields.values()))
+
+    def row(panel_id: str) -> Column:
+        panel = panels[panel_id]
+        values = [F.col("fields")[f] for f in fields[panel_id]]
+        values += [F.lit(None).cast("double")] * (slots - len(values))
+        shown = F.struct(
+            F.lit(panel_id).alias("_panel"), buckets.time_bucket(width or asked.width(panel)).alias("bucket"),
+            *[(group_tag(df, k) if k in panel.by else F.lit("")).alias(k) for k in keys],
+            *[v.alias(f"_v{j}") for j, v in enumerate(values)])
+        return F.when(panel_filter(df, panel, asked) & F.coalesce(*values).isNotNull(), shown)
+
+    names = sorted({panel.measurement for panel in panels.values()})
+    rows = (df.filter(df["name"].isin(names) & (tag(df, "name") == asked.dash) & time_range(df, asked.start, asked.end))
+            .select(F.explode(F.array_compact(F.array(*map(row, panel_ids)))).alias("_r")).select("_r.*"))
+    wanted = sorted({(t.how, fields[p].index(t.field)) for p, panel in panels.items() for t in panel.targets})
+    return rows.groupBy("_panel", "bucket", *keys).agg(
+        *[buckets.aggregate(how, f"_v{j}", "bucket").alias(f"_{how}_{j}") for how, j in wanted])
+
+
+def of_merged(tables: DataFrame, panel_id: str, asked: Range, width: int | None = None) -> DataFrame:
+    """A panel out of ``merged_tables``, as ``evaluate`` shows it."""
+    panel = PANELS[panel_id]
+    fields = list(dict.fromkeys(t.field for t in panel.targets))
+    table = tables.filter(F.col("_panel") == panel_id).select(
+        "bucket", *panel.by, *[F.col(f"_{t.how}_{fields.index(t.field)}").alias(t.column) for t in panel.targets])
+    table = _finished(table, panel, asked, width or asked.width(panel), panel.reduce is None)
+    return shown_number(table, panel) if panel.reduce else shown_series(table, panel)
+
+
 def evaluate_store(spark: SparkSession, path: str, panel_id: str, asked: Range, width: int | None = None,
                    database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION) -> DataFrame:
     """A panel over stored points. Its days, measurement and tags select rows in the scan, and only its

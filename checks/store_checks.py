@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from checks.panel_checks import ASKED, NUMBER_SQL, SERIES_SQL
 from checks.registry import query
 from checks.roles import HOUR, MEASUREMENTS_SQL, events, in_files, json_text, measurements, panel_input, table
+from pulsegrid.operators import buckets
 from pulsegrid.operators.pack import long_fields
 from pulsegrid.plans.dashboard import bundle_dashboard, cluster_dashboard
-from pulsegrid.plans.panels import PANELS, evaluate_store
+from pulsegrid.plans.panels import PANELS, evaluate_sketches, evaluate_store
 from pulsegrid.schema import TOPIC_RECORD, series_hash
 from pulsegrid.session import work_dir
 from pulsegrid.sources.envelope import decode_envelope
@@ -20,7 +21,7 @@ from pulsegrid.sources.points import compact_points, read_points, stored_points,
 from pulsegrid.sources.topic import order_by_series, read_topic, write_files, write_topic
 from pulsegrid.streaming.jobs import (
     drop_redelivered, keep_panel_numbers, load_topic_to_points, read_panel_numbers, store_stream, stream_panel,
-    stream_panel_series, tick_trigger, union_streams)
+    stream_panel_series, stream_sketches, tick_trigger, union_streams)
 
 TOPIC = {"consumer.topic": "metrics", "consumer.auto.offset.reset": "earliest"}
 
@@ -412,6 +413,33 @@ for _panel_id in ("Q05", "Q07", "Q11"):
     _register_number(_panel_id)
 
 
+@query("r03_stream_q12", f"""
+    WITH {MEASUREMENTS_SQL}
+    SELECT time_bucket(INTERVAL 1 DAY, ts) AS bucket, service, max(value) AS high, min(value) AS low, true AS middle
+    FROM m WHERE name = 'NumDelayedOperations' AND time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY
+      <= (SELECT max(ts) - INTERVAL 1 HOUR FROM m WHERE name = 'NumDelayedOperations') GROUP BY ALL""")
+def medians_of_stream(spark, sf_dir):
+    """Sketches of closed hours, stored by the stream and merged to days. A median's rank is within a hundredth of the half."""
+    out = work_dir(spark, "r03-q12")
+    stream = in_files(measurements(spark, sf_dir), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), f"{out}/in", 3)
+    closed = stream_sketches(stream, "Q12", ASKED, "1h", "1 hour")
+    store_stream(closed, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+    sketches = spark.read.schema(closed.schema).parquet(f"{out}/rows")
+    shown = evaluate_sketches(sketches, "Q12", ASKED, 24 * HOUR, fill=False)
+    days = shown.groupBy("bucket", "service").pivot("series", ["max", "median", "min"]).agg(F.first("value"))
+    rows = measurements(spark, sf_dir).filter(F.col("name") == "NumDelayedOperations").select(
+        buckets.time_bucket(24 * HOUR).alias("bucket"), F.col("tags")["service"].alias("service"),
+        F.col("fields")["Value"].alias("v"))
+    below, upto = F.count_if(F.col("v") < F.col("median")), F.count_if(F.col("v") <= F.col("median"))
+    slack = 1 + 0.01 * F.count("*")
+    ranked = rows.join(days, ["bucket", "service"]).groupBy("bucket", "service", "max", "min").agg(
+        ((below <= F.count("*") / 2 + slack) & (upto >= F.count("*") / 2 - slack)).alias("middle"))
+    # the last day has closed hours only in part
+    newest = measurements(spark, sf_dir).filter(F.col("name") == "NumDelayedOperations").agg(F.max("ts")).first()[0]
+    closed_days = F.unix_seconds("bucket") + 24 * HOUR <= F.unix_seconds(F.lit(newest)) - HOUR
+    return ranked.filter(closed_days).select("bucket", "service", F.col("max").alias("high"), F.col("min").alias("low"), "middle")
+
+
 @query("r04_two_sources", """
     WITH slow AS (SELECT TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (o_orderkey % 480) AS ts, o_totalprice AS value FROM orders),
     both_ AS (SELECT 'west' AS dc, ts, value FROM events UNION ALL SELECT 'east', ts, value FROM slow)

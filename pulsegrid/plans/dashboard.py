@@ -6,8 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from pulsegrid.functions.tags import tag
-from pulsegrid.operators.filters import time_range
 from pulsegrid.plans.panels import PANELS, Range, can_merge, evaluate, merged_tables, of_merged
 
 
@@ -29,13 +27,6 @@ def cluster_dashboard(name: str, brokers: int) -> Dashboard:
     ])
 
 
-def dashboard_input(df: DataFrame, panel_ids: list[str], asked: Range) -> DataFrame:
-    """Only what the panels read: their measurements, the dashboard's name, the time range."""
-    names = sorted({PANELS[p].measurement for p in panel_ids})
-    return df.filter(df["name"].isin(names) & (tag(df, "name") == asked.dash)
-                     & time_range(df, asked.start, asked.end))
-
-
 def evaluate_dashboard(df: DataFrame, dashboard: Dashboard, asked: Range,
                        width: int | None = None) -> dict[str, DataFrame]:
     """Every panel of a dashboard; ``width`` replaces the bucket widths of the panels."""

@@ -20,6 +20,7 @@ from pulsegrid.functions.tags import group_tag, series_label, tag
 from pulsegrid.functions.values import auto_interval, interval_seconds
 from pulsegrid.operators import buckets
 from pulsegrid.operators.filters import measurement_is, tag_eq, tag_re, time_range
+from pulsegrid.operators.sketches import sketch_quantile, widen_sketches
 from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, read_points
 
 ALL = ".+"  # a topic pattern that any topic matches
@@ -237,6 +238,23 @@ def of_merged(tables: DataFrame, panel_id: str, asked: Range, width: int | None
     return shown_number(table, panel) if panel.reduce else shown_series(table, panel)
 
 
+def evaluate_sketches(sketches: DataFrame, panel_id: str, asked: Range, width: int | None = None, fill: bool = True) -> DataFrame:
+    """A panel of medians and extremes (Q12) from stored sketches of narrower buckets, as ``panel_series`` shows it.
+
+    The extremes are exact, a median is within the rank error of the sketches.
+    """
+    panel = PANELS[panel_id]
+    fractions = {"min": 0.0, "median": 0.5, "max": 1.0}
+    if {t.how for t in panel.targets} - set(fractions) or len({t.field for t in panel.targets}) > 1:
+        raise ValueError(f"{panel.title} cannot be had from sketches")
+    width = width or asked.width(panel)
+    rows = sketches.filter((F.col("bucket") >= F.lit(asked.start).cast("timestamp"))
+                           & (F.col("bucket") < F.lit(asked.end).cast("timestamp")))
+    table = widen_sketches(rows, width, list(panel.by)).select(
+        "bucket", *panel.by, *[sketch_quantile(fractions[t.how]).alias(t.column) for t in panel.targets])
+    return shown_series(_finished(table, panel, asked, width, fill), panel)
+
+
 def evaluate_store(spark: SparkSession, path: str, panel_id: str, asked: Range, width: int | None = None,
                    database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION) -> DataFrame:
     """A panel over stored points. Its days, measurement and tags select rows in the scan, and only its

@@ -13,6 +13,7 @@ from pulsegrid.functions.tags import group_tag, with_fixed_tags
 from pulsegrid.functions.values import interval_seconds
 from pulsegrid.operators.buckets import aggregate
 from pulsegrid.operators.skew import SALTS
+from pulsegrid.operators.sketches import PARTS, sketch_of
 from pulsegrid.plans.panels import PANELS, Range, panel_filter, shown_series
 from pulsegrid.schema import series_key, tag_entries
 from pulsegrid.sources.envelope import decode_envelope, split_rejects
@@ -134,6 +135,20 @@ def stream_panel_series(df: DataFrame, panel_id: str, asked: Range, width: int |
     return shown_series(table, panel)
 
 
+def stream_sketches(df: DataFrame, panel_id: str, asked: Range, width: int | str, delay: str = "30 minutes") -> DataFrame:
+    """Sketches of a panel's field in closed buckets of a stream, to be stored and read by ``evaluate_sketches``.
+
+    ``width`` is that of the narrowest panel to be drawn; wider ones merge what is stored.
+    """
+    panel = PANELS[panel_id]
+    rows = df.filter(panel_filter(df, panel, asked)).select(
+        "ts", *[group_tag(df, k).alias(k) for k in panel.by], F.col("fields")[panel.targets[0].field].alias("_v"))
+    window = F.window("ts", f"{interval_seconds(width)} seconds")
+    closed = (rows.filter(F.col("_v").isNotNull()).withWatermark("ts", delay)
+              .groupBy(window.alias("_w"), *panel.by).agg(*sketch_of("_v")))
+    return closed.select(F.col("_w.start").alias("bucket"), *panel.by, *PARTS)
+
+
 def keep_panel_numbers(df: DataFrame, panel_id: str, asked: Range, path: str, checkpoint: str, width: int | None = None,
                        delay: str = "30 minutes", interval: int | str | None = DEFAULT_INTERVAL) -> StreamingQuery:
     """Keep the number of each series of a panel (``panel_number``) over a stream, for ``read_panel_numbers``.

@@ -12,8 +12,8 @@ it if nothing but a letter, digit or white space precedes. So a certain pair is
 * after white space, or inside a character;
 * after an apostrophe, or before one that no ASCII letter or digit precedes.
 
-White space other than blank, tab and line ends is not seen by its bytes: a text that has any is one fragment.
-The strings of special tokens are cut out first.
+White space other than blank, tab and line ends is not seen by pairs of bytes: it is looked for, and there is no cut after
+it either. The strings of special tokens are cut out first.
 
 Defined cases: null text is the empty text; the empty text has no ids and decodes to itself. Ids decode to their
 bytes; bytes that are no UTF-8 become the replacement character, as in the library.
@@ -83,10 +83,13 @@ class Codec:
         self.known: dict[bytes, bytes] = {}
 
     def fragments(self, text: bytes) -> list[bytes]:
-        if not text or RARE.search(text):
-            return [text] if text else []
+        if not text:
+            return []
         at = np.frombuffer(text, np.uint8)
-        cuts = [0, *(np.flatnonzero(self.cut[at[:-1], at[1:]]) + 1).tolist(), len(text)]
+        certain = self.cut[at[:-1], at[1:]]
+        for rare in RARE.finditer(text):
+            certain[rare.end() - 1:rare.end()] = False
+        cuts = [0, *(np.flatnonzero(certain) + 1).tolist(), len(text)]
         return [text[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:

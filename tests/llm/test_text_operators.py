@@ -99,6 +99,18 @@ def test_bpe_equals_library(spark, library):
         assert got[k].decoded == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_bpe_cuts_texts_with_rare_white_space(library):
+    codec = bpe.Codec(open(bpe.tokenizer_file(), encoding="utf-8").read())
+    rare = [chr(x) for x in (0x0B, 0x0C, 0x1C, 0x1F, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x205F, 0x3000)]
+    pieces = [*"abcXYZ019 \n\t\r'.,!-_(){}é日😀²", "'s", "'LL", " the", "http://", "<|endoftext|>", "\r\n"]
+    draw = random.Random(3)
+    for _ in range(4000):
+        text = "".join(draw.choice(rare if draw.random() < 0.25 else pieces) for _ in range(draw.randint(1, 24)))
+        ids = np.frombuffer(codec.encode([text.encode()])[0], "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+    assert len(codec.fragments("one,\u00a0two\n(three) \u3000 four\n".encode())) > 3
+
+
 def test_bpe_broken_characters(library):
     codec = bpe.Codec(open(bpe.tokenizer_file(), encoding="utf-8").read())
     ids = library.encode("🙂é", add_special_tokens=False).ids

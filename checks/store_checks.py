@@ -281,6 +281,24 @@ def continuous_load(spark, sf_dir):
     return _load(spark, sf_dir, "r02")
 
 
+@query("r02_loaded_values", f"""
+    WITH {MEASUREMENTS_SQL}
+    SELECT event_id, ts, name, service, coalesce(topic, '') AS topic, value, round(value / 60, 9) AS rate FROM m""")
+def loaded_values(spark, sf_dir):
+    """Every field of every point that came through the topic, in two appends; each event is a point of its own."""
+    path, out = work_dir(spark, "r02v-topic"), work_dir(spark, "r02v-out")
+    rows = measurements(spark, sf_dir, "event_id")
+    rows = rows.withColumn("tags", F.map_concat("tags", F.create_map(F.lit("event"), F.col("event_id").cast("string"))))
+    for part in (0, 1):
+        write_topic(rows.filter(F.col("event_id") % 2 == part).drop("event_id"), format="parquet", path=path)
+        load_topic_to_points(read_topic(spark, TOPIC, "parquet", path), out, f"{out}/checkpoint", None).awaitTermination()
+    tags, fields = F.col("tags"), F.col("fields")
+    return read_points(spark, out).select(
+        tags["event"].cast("bigint").alias("event_id"), "ts", "name", tags["service"].alias("service"),
+        F.coalesce(tags["topic"], F.lit("")).alias("topic"), fields["Value"].alias("value"),
+        F.round(fields["OneMinuteRate"], 9).alias("rate"))
+
+
 def _bundle_sql() -> str:
     parts = []
     for panel_id in PANELS:
@@ -526,6 +544,25 @@ def redelivered_spread(spark, sf_dir):
     return rows.groupBy("name").agg(F.count("*").alias("n"))
 
 
+@query("r07_copies_that_differ", f"""
+    WITH {MEASUREMENTS_SQL}, d AS (SELECT * FROM m UNION ALL SELECT * REPLACE (value + 1000 AS value) FROM m WHERE value >= 50)
+    SELECT DISTINCT ts, name, service, coalesce(topic, '') AS topic, value FROM d""")
+def redelivered_changed(spark, sf_dir):
+    """Two deliveries of every point, and for half of them a third and a fourth with another value: one of each stays."""
+    path, out = work_dir(spark, "r07d-in"), work_dir(spark, "r07d")
+    df = measurements(spark, sf_dir)
+    changed = df.filter(F.col("fields")["Value"] >= 50).withColumn(
+        "fields", F.transform_values("fields", lambda k, v: F.when(k == "Value", v + 1000).otherwise(v)))
+    twice = df.unionByName(changed)
+    twice.unionByName(twice).repartition(4).write.parquet(path)
+    once = drop_redelivered(spark.readStream.schema(df.schema).parquet(path), "40 days")
+    store_stream(once, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
+    tags = F.col("tags")
+    return spark.read.schema(df.schema).parquet(f"{out}/rows").select(
+        "ts", "name", tags["service"].alias("service"), F.coalesce(tags["topic"], F.lit("")).alias("topic"),
+        F.col("fields")["Value"].alias("value"))
+
+
 @query("r07_drop_redelivered_batch", f"""
     WITH {MEASUREMENTS_SQL} SELECT DISTINCT ts, name, service, coalesce(topic, '') AS topic FROM m""")
 def redelivered_batch(spark, sf_dir):

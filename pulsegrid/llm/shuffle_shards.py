@@ -4,12 +4,16 @@ All rows are to be in random order, and shard j gets its exact number of them. H
 shard j is then a cell of a random matrix with given row sums (rows of the partitions) and column sums (sizes of
 the shards): a multivariate hypergeometric draw. With the matrix known, every task deals out its own rows:
 
-1. Draw: columns are blocks of at most ``block_rows`` rows, and of so many that rows of mean size make
-   ``block_bytes`` at most, each a stretch of the slots of one shard, so no later group grows with the input. Nobody holds the matrix. A task draws its own row by walking down a binary tree
-   over the partitions: at each node the columns left over are split between the halves, by a generator seeded by
-   the node, so all tasks agree. The driver knows the rows and bytes of each partition and no more.
-2. Permute locally: the labels of the row, in random order, go to the partition's rows.
-3. Exchange by block, and permute again: a random key orders the rows of each block, which take its slots.
+1. Draw: nobody holds the matrix. A task draws its own row by walking down a binary tree over the partitions: at each
+   node the shards' rows left over are split between the halves, by a generator seeded by the node, so all tasks agree. The
+   driver knows the rows and bytes of each partition and no more.
+2. Permute locally: the labels of the row, in random order, go to the partition's rows, each with a random key of 63 bits.
+3. Exchange, and permute again: keys order the rows of a shard. A block is an even stretch of a shard's keys, meant for
+   ``block_rows`` rows and ``block_bytes`` bytes at most on average, so no group grows with the input. How many
+   rows fall into each block follows from the partitions' sizes alone; those before a block, and a row's place in it,
+   make its slot.
+
+What a task draws is in proportion to its rows, and what it is sent to the number of partitions, whatever the number of blocks.
 
 Rows are written to the checkpoint folder first, so that a task that runs again deals the same rows the same way.
 
@@ -34,6 +38,8 @@ from pulsegrid.session import ensure_shared_dir, work_dir
 
 BLOCK_ROWS = 100_000
 BLOCK_BYTES = 16_000_000
+EXCHANGE_BYTES = 128_000_000  # for each task of the exchange
+BROADCAST_BLOCKS = 1_000_000  # of 20 bytes each
 LARGEST = 10 ** 9  # populations that numpy draws from
 
 
@@ -90,15 +96,40 @@ def matrix_row(sizes: np.ndarray, columns: np.ndarray, row: int, seed: int) -> n
     return columns
 
 
-def block_sizes(rows: int, shards: int, block_rows: int) -> list[tuple[int, int, int]]:
-    """(shard, first slot, rows) of every block."""
-    out = []
-    for shard in range(shards):
-        size = rows // shards + (shard < rows % shards)
-        parts = max(1, -(-size // block_rows))
-        cuts = [size * k // parts for k in range(parts + 1)]
-        out += [(shard, a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return out
+def shard_sizes(rows: int, shards: int) -> np.ndarray:
+    return np.array([rows // shards + (shard < rows % shards) for shard in range(shards)], np.int64)
+
+
+def draw(sizes: np.ndarray, columns: np.ndarray, parts: int, part: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Block and key of each row of a partition; block k of shard j, of ``parts`` each, is ``j * parts + k``."""
+    rng = np.random.default_rng([seed, part])
+    shard = np.repeat(np.arange(len(columns), dtype=np.int64), matrix_row(sizes, columns, part, seed))
+    rng.shuffle(shard)
+    key = rng.integers(0, 2 ** 63, len(shard))
+    return shard * parts + ((key >> 32) * parts >> 31), key
+
+
+def counter(sizes: np.ndarray, columns: np.ndarray, parts: int, seed: int):
+    """Rows of each block that partitions send, by their numbers."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                block, n = np.unique(draw(sizes, columns, parts, part, seed)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(n)], names=["block", "n"])
+    return count
+
+
+def dealer(sizes: np.ndarray, columns: np.ndarray, parts: int, seed: int):
+    """The rows of a partition with block and key."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, drawn = 0, None
+        for batch in batches:
+            if drawn is None:
+                drawn = draw(sizes, columns, parts, TaskContext.get().partitionId(), seed)
+            block, key = (pa.array(x[at:at + batch.num_rows]) for x in drawn)
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays([batch.column(0), block, key], names=["row", "block", "key"])
+    return deal
 
 
 def partition_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,31 +150,23 @@ def shuffled_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: int =
     counts = {r["p"]: r["n"] for r in found}
     sizes = np.array([counts.get(p, 0) for p in range(max(counts, default=-1) + 1)], np.int64)
     total = int(sizes.sum())
-    fit = block_bytes * total // max(1, sum(r["size"] for r in found))
-    blocks = block_sizes(total, shards, max(1, min(block_rows, fit)))
-    kind = rows.schema["row"].dataType.simpleString()
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        labels = None
-        for batch in batches:
-            if labels is None:
-                cells = matrix_row(sizes, np.array([n for _, _, n in blocks], np.int64), part, seed)
-                rng = np.random.default_rng([seed, part])
-                labels = np.repeat(np.arange(len(blocks), dtype=np.int64), cells)
-                rng.shuffle(labels)
-                at = 0
-            mine = labels[at:at + batch.num_rows]
-            at += batch.num_rows
-            shard, first = (np.array([blocks[b][k] for b in mine], np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(mine), pa.array(shard.astype(np.int32)), pa.array(first),
-                 pa.array(rng.integers(-2 ** 63, 2 ** 63, batch.num_rows))],
-                names=["row", "block", "shard", "first", "key"])
-
-    dealt = rows.mapInArrow(deal, f"row {kind}, block bigint, shard int, first bigint, key bigint")
+    size = sum(r["size"] for r in found)
+    columns = shard_sizes(total, shards)
+    parts = max(1, -(-total // (shards * max(1, min(block_rows, block_bytes * total // max(1, size))))))
+    spark, kind = df.sparkSession, rows.schema["row"].dataType.simpleString()
+
+    counted = spark.range(len(sizes)).mapInArrow(counter(sizes, columns, parts, seed), "block bigint, n bigint").groupBy(
+        "block").agg(F.sum("n").alias("n")).withColumn("shard", (F.col("block") / parts).cast("int"))
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = counted.select("block", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // EXCHANGE_BYTES))
+    dealt = rows.mapInArrow(dealer(sizes, columns, parts, seed), f"row {kind}, block bigint, key bigint").repartition(
+        tasks, "block")
+    few = parts * shards <= BROADCAST_BLOCKS
     place = F.row_number().over(Window.partitionBy("block").orderBy("key"))
-    return dealt.withColumn("slot", F.col("first") + place - 1).select("row.*", "shard", "slot")
+    return dealt.join(F.broadcast(first) if few else first.hint("merge"), "block").withColumn(
+        "slot", F.col("first") + place - 1).select("row.*", "shard", "slot")
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -30,27 +30,50 @@ from pulsegrid.llm.common import query, table
 
 # --- fixed values: forms of licence sentences (regular expressions over normalised sentences) ---
 HEADER = r"(?:this )?\w+(?: \w+){0,3} is free software you (?:can|may) redistribute it and or modify it under the terms of the "
+#: how a sentence that names a licence begins, and what it may add
+UNDER = r"(?:(?:this|the) \w+(?: \w+)? is |\w+ is )?(?:made )?(?:released |licen[cs]ed |distributed |available |provided )under (?:the )?(?:terms of the )?"
+SEE = r"(?: see (?:the )?(?:accompanying |included )?(?:licen[cs]e|copying)(?: licen[cs]e| copying| md| txt| rst| file)*(?: for (?:more |full |the )?(?:details|information|text))?)?"
 SENTENCES = (
-    ("mit-name", r"(?:this \w+ is |\w+ is )?(?:released|licensed|distributed|available) under the (?:terms of the )?mit licen[cs]e"),
+    ("mit-name", r"(?:this \w+ is |\w+ is )?(?:released|licensed|distributed|available) under the (?:terms of the )?mit licen[cs]e" + SEE),
+    ("mit-title", r"(?:the )?mit licen[cs]e(?: mit)?"),
+    ("mpl-header", r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? 2 0"),
+    ("mpl-copy", r"if a copy of the mpl was not distributed with this file you can obtain one at https? (?:www )?mozilla org mpl 2 0"),
+    ("mpl-name", UNDER + r"mozilla public licen[cs]e(?: v(?:ersion)?)? 2 0" + SEE),
+    ("isc-grant", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc-as-is", r"the software is provided as is and .* disclaims? all warranties with regard to this software .*"),
+    ("isc-name", UNDER + r"isc licen[cs]e" + SEE),
+    ("boost-name", UNDER + r"boost software licen[cs]e(?: version)? 1 0" + SEE),
+    ("boost-copy", r"see accompanying file licen[cs]e 1 0 txt or copy at https? (?:www )?boost org licen[cs]e 1 0 txt"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense-name", UNDER + r"unlicense" + SEE),
+    ("epl-header", r"this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e(?: v(?:ersion)?)? (?P<version>[12] 0)(?: .*)?"),
+    ("epl-name", UNDER + r"eclipse public licen[cs]e(?: v(?:ersion)?)? (?P<version>[12] 0)" + SEE),
+    ("bsd-clauses-name", UNDER + r"bsd (?P<clauses>[23]) clause(?: new or revised| new| revised| modified| simplified)? licen[cs]e" + SEE),
+    ("clauses-bsd-name", UNDER + r"(?P<clauses>[23]) clause bsd licen[cs]e" + SEE),
+    ("bsd-new-name", UNDER + r"(?:new|revised|modified) bsd licen[cs]e" + SEE),
+    ("bsd-simple-name", UNDER + r"(?:simplified|freebsd) bsd licen[cs]e" + SEE),
+    ("bsd-title", r"(?:the )?bsd (?P<clauses>[23]) clause licen[cs]e"),
+    ("zlib-as-is", r"this software is provided as is without any express or implied warranty"),
+    ("zlib-name", UNDER + r"zlib licen[cs]e" + SEE),
     ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction .*"),
     ("mit-notice", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("as-is", r"the software is provided as is without warranty of any kind .*"),
     ("no-liability", r"in no event shall .* be liable for any .*"),
-    ("apache-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?apache licen[cs]e(?: version)? 2 0(?: the license)?"),
+    ("apache-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?apache licen[cs]e(?: version)? 2 0(?: the license)?" + SEE),
     ("apache-condition", r"you may not use this file except in compliance with the license"),
     ("apache-copy", r"you may obtain a copy of the license at(?: .*)?"),
     ("apache-url", r"https? www apache org licenses license 2 0(?: txt| html)?"),
     ("apache-as-is", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis .*"),
-    ("gpl2-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2"),
+    ("gpl2-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2" + SEE),
     ("gpl2-later", HEADER + r"gnu general public licen[cs]e as published by the free software foundation either version 2 of the licen[cs]e or (?:at your option )?any later version"),
     ("gpl2-only", HEADER + r"gnu general public licen[cs]e(?: as published by the free software foundation version 2(?: of the licen[cs]e)?(?: only)?| version 2(?: only)? as published by the free software foundation)"),
     ("gpl3-later", HEADER + r"gnu general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or (?:at your option )?any later version"),
     ("gpl3-only", HEADER + r"gnu general public licen[cs]e(?: as published by the free software foundation version 3(?: of the licen[cs]e)?(?: only)?| version 3(?: only)? as published by the free software foundation)"),
     ("agpl-header", HEADER + r"gnu affero general public licen[cs]e as published by the free software foundation(?: either)? version 3(?: of the licen[cs]e)?(?: or (?:at your option )?any later version)?"),
     ("lgpl-header", HEADER + r"gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation(?: either)? version (?:2|2 1|3)(?: of the licen[cs]e)?(?: or (?:at your option )?any later version)?"),
-    ("gpl3-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3"),
-    ("lgpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu (?:lesser|library) general public licen[cs]e version (?:2|2 1|3)"),
-    ("agpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu affero general public licen[cs]e version 3"),
+    ("gpl3-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3" + SEE),
+    ("lgpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu (?:lesser|library) general public licen[cs]e version (?:2|2 1|3)" + SEE),
+    ("agpl-name", r"(?:this \w+ is )?(?:released |licensed |distributed )under the (?:terms of the )?gnu affero general public licen[cs]e version 3" + SEE),
     ("later", r"(?:or )?(?:at your option )?any later version(?: of the license)?"),
     ("gpl-warranty", r"this program is distributed in the hope that it will be useful but without any warranty(?: .*)?"),
     ("bsd-grant", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -68,6 +91,10 @@ RULES = (
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"), "BSD-3-Clause"),
     (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
     (("mit-grant", "mit-notice", "as-is"), "MIT"),
+    (("mit-title", "mit-grant", "mit-notice", "as-is"), "MIT"),
+    (("isc-grant", "isc-as-is"), "ISC"),
+    (("mpl-header", "mpl-copy"), "MPL-2.0"),
+    (("boost-name", "boost-copy"), "BSL-1.0"),
     (("apache-name", "apache-condition", "apache-copy", "apache-as-is"), "Apache-2.0"),
     (("apache-name", "apache-condition", "apache-copy", "apache-url", "apache-as-is"), "Apache-2.0"),
     (("gpl3-name", "later"), "GPL-3.0-or-later"),
@@ -86,12 +113,29 @@ RULES = (
     (("gpl2-name",), "GPL-2.0-only"),
     (("mit-grant",), "MIT"),
     (("mit-name",), "MIT"),
+    (("mit-title",), "MIT"),
+    (("isc-grant",), "ISC"),
+    (("isc-name",), "ISC"),
+    (("mpl-header",), "MPL-2.0"),
+    (("mpl-name",), "MPL-2.0"),
+    (("boost-name",), "BSL-1.0"),
+    (("unlicense",), "Unlicense"),
+    (("unlicense-name",), "Unlicense"),
+    (("epl-header",), "EPL-{version}"),
+    (("epl-name",), "EPL-{version}"),
+    (("bsd-clauses-name",), "BSD-{clauses}-Clause"),
+    (("clauses-bsd-name",), "BSD-{clauses}-Clause"),
+    (("bsd-title",), "BSD-{clauses}-Clause"),
+    (("bsd-new-name",), "BSD-3-Clause"),
+    (("bsd-simple-name",), "BSD-2-Clause"),
+    (("zlib-as-is",), "Zlib"),
+    (("zlib-name",), "Zlib"),
     (("cc",), "CC-{terms}-{version}"),
     (("public-domain",), "Public-Domain"),
 )
 #: every known sentence has one of these in its normalised form
 KEYS = ("licen", "permission", "copyright", "warranty", "liable", "redistribution", "public domain", "later version",
-        "all rights reserved", "creative commons", "cc by", "cc 0")
+        "all rights reserved", "creative commons", "cc by", "cc 0", "mozilla", "warranties")
 # --- end of fixed values ---
 
 #: "cc" only as a word

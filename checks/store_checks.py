@@ -521,7 +521,7 @@ def series_in_order(spark, sf_dir):
 def redelivered(spark, sf_dir):
     path, out = work_dir(spark, "r07-in"), work_dir(spark, "r07")
     df = measurements(spark, sf_dir)
-    df.unionByName(df).repartition(4).write.parquet(path)
+    df.unionByName(df).hint("rebalance").write.parquet(path)
     stream = spark.readStream.schema(df.schema).parquet(path)
     once = drop_redelivered(stream, "40 days")
     store_stream(once, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
@@ -536,7 +536,7 @@ def redelivered_spread(spark, sf_dir):
     path, out = work_dir(spark, "r07s-in"), work_dir(spark, "r07s")
     df = measurements(spark, sf_dir)
     copies = df.withColumn("offset", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
-    copies.repartition(4).write.parquet(path)
+    copies.hint("rebalance").write.parquet(path)
     stream = spark.readStream.schema(copies.schema).parquet(path)
     once = drop_redelivered(stream, "40 days", spread=["offset"]).drop("offset")
     store_stream(once, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
@@ -554,7 +554,7 @@ def redelivered_changed(spark, sf_dir):
     changed = df.filter(F.col("fields")["Value"] >= 50).withColumn(
         "fields", F.transform_values("fields", lambda k, v: F.when(k == "Value", v + 1000).otherwise(v)))
     twice = df.unionByName(changed)
-    twice.unionByName(twice).repartition(4).write.parquet(path)
+    twice.unionByName(twice).hint("rebalance").write.parquet(path)
     once = drop_redelivered(spark.readStream.schema(df.schema).parquet(path), "40 days")
     store_stream(once, f"{out}/rows", f"{out}/checkpoint", None).awaitTermination()
     tags = F.col("tags")

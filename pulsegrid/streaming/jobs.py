@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from threading import Event
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions.tags import group_tag, with_fixed_tags
@@ -20,6 +23,7 @@ from pulsegrid.sources.envelope import decode_envelope, split_rejects
 from pulsegrid.sources.points import DEFAULT_DATABASE, DEFAULT_RETENTION, write_points
 
 DEFAULT_INTERVAL = 10
+SEEN = 200_000  # deliveries whose copies a task drops by itself
 
 
 def tick_trigger(interval: int | str | None = DEFAULT_INTERVAL) -> dict:
@@ -83,19 +87,49 @@ def drop_redelivered(df: DataFrame, delay: str = "10 minutes",
     """Each delivery of a point once, of all its copies within ``delay``: the same series, time and
     fields. Deliveries of one point with other fields all stay; merging them is what upsert does.
 
-    A table drops copies before it is shuffled. A stream cannot, so where one point may come very
-    often, ``spread`` names columns that differ between its deliveries (partition and offset):
-    these deal the copies to several tasks, which leave one each, before the last is chosen.
+    Copies are dropped before the shuffle. In a stream a task drops those of the last ``SEEN`` deliveries it has read, and a
+    state of one short row for each delivery that was kept drops the rest. Where one point may come very often from very
+    many tasks, ``spread`` names columns that differ between its deliveries (partition and offset): these deal the copies
+    to several tasks first, which drop theirs, before the last is chosen.
     """
-    copy = ["_series", "ts", "_fields"]
-    keyed = df.withColumn("_series", series_key()).withColumn("_fields", tag_entries("fields"))
     if not df.isStreaming:
+        copy = ["_series", "ts", "_fields"]
+        keyed = df.withColumn("_series", series_key()).withColumn("_fields", tag_entries("fields"))
         return keyed.dropDuplicates(copy).drop("_series", "_fields")
-    keyed = keyed.withWatermark("ts", delay)
+    keyed = df.withWatermark("ts", delay).withColumns(delivery_code())
+    copy = ["_copy1", "_copy2"]
     if spread:
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-        keyed = keyed.dropDuplicatesWithinWatermark([*copy, "_salt"]).drop("_salt")
-    return keyed.dropDuplicatesWithinWatermark(copy).drop("_series", "_fields")
+        keyed = keyed.repartition(*copy, F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    return keyed.filter(_first_seen(*copy)).dropDuplicatesWithinWatermark(copy).drop(*copy)
+
+
+def delivery_code() -> dict[str, Column]:
+    """What a delivery says (name, tags, time and fields) as 128 bits, in two numbers.
+
+    Hashes pass over nulls, so these count by their places. By chance, one pair among 10^12 deliveries would agree with
+    a probability of about 10^-15.
+    """
+    nulls = [F.transform(tag_entries(m), lambda e: e["value"].isNull()) for m in ("tags", "fields")]
+    said = [F.col("name").isNull(), F.col("name"), F.size("tags"), F.size("fields"), F.unix_micros("ts"), *nulls,
+            tag_entries("tags"), tag_entries("fields")]
+    return {f"_copy{k}": F.xxhash64(F.lit(k), *said) for k in (1, 2)}
+
+
+@F.arrow_udf(T.BooleanType())
+def _first(one: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    seen: set[tuple[int, int]] = set()
+    for parts in one:
+        new = []
+        for copy in zip(*(part.to_pylist() for part in parts), strict=True):
+            new.append(copy not in seen)
+            seen.add(copy)
+        if len(seen) >= SEEN:
+            seen.clear()
+        yield pa.array(new, pa.bool_())
+
+
+# it depends on the rows before, so that it is to run once, where it stands
+_first_seen = _first.asNondeterministic()
 
 
 def stream_panel(df: DataFrame, keep: Column, keys: dict[str, Column], width: int | str,

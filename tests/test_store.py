@@ -236,3 +236,21 @@ def test_writers_at_the_same_time(spark, tmp_path):
         list(pool.map(lambda k: write_points(spark.createDataFrame([point(k, "a", {"x": float(k)})], SCHEMA), path, 0), range(8)))
     assert values(spark, path) == {(k, "x"): float(k) for k in range(8)}
     assert read_points(spark, str(tmp_path / "nothing")).collect() == []
+
+
+def test_redelivered_copies_take_no_state(spark, tmp_path):
+    """The state holds a row for each delivery that is kept, however many copies there are and wherever they lie."""
+    rows = [(*point(k % 24, "a", {"x": float(k)}, t=t), copy) for k in range(40) for t in ("u", None) for copy in range(3)]
+    rows += [(dt.datetime(2024, 1, 1), "a", tags, {"x": 0.0}, copy) for copy in range(3)
+             for tags in ({"b": None, "c": "d"}, {"b": "c", "d": None}, {})]
+    df = spark.createDataFrame(rows, SCHEMA + ", place int")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    for spread in (None, ["place"]):
+        once = drop_redelivered(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "2 days", spread)
+        out = str(tmp_path / f"out-{spread}")
+        job = once.drop("place").writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start()
+        job.awaitTermination()
+        states = [s.numRowsTotal for s in job.recentProgress[0].stateOperators]
+        found = [(r.ts, str(sorted(r.tags.items(), key=str)), r.fields["x"]) for r in spark.read.parquet(out).collect()]
+        assert (len(found), len(set(found)), states) == (83, 83, [83])

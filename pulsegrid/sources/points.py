@@ -36,7 +36,9 @@ HOT_TAGS = ("topic", "service", "group", "name")
 DEFAULT_DATABASE = "metrics"
 DEFAULT_RETENTION = "default"
 
-BUCKETS = 8      # of a store that is new; a large one is created with as many as its readers have tasks
+BUCKETS = 8      # of a store that is new, at least
+CELLS = 500_000  # values (and one a row) for each bucket of a new store, and for each task of a write
+GROWN = 4        # times that much in a bucket, readers no longer take a bucket for a task
 SLOT = 3600      # seconds of a series that lie in one bucket
 SNAPSHOT = 50    # every so many entries one has the whole state
 RANK = ("made", "writer", "batch", "seq")
@@ -54,12 +56,16 @@ class Conflict(Exception):
 @dataclass
 class State:
     """What the log says: live folders (commit, day) with their writer, batch and rank; the last batch of each named
-    writer with its rank, which it keeps when it is written again, also after it was compacted."""
+    writer with its rank, which it keeps when it is written again, also after it was compacted; how much is in a commit."""
 
     live: dict[tuple[str, str], tuple[str, int, int]]
     last: int
     buckets: int | None
     writers: dict[str, tuple[int, int]]
+    cells: dict[str, int]  # of each live commit
+
+    def held(self) -> int:
+        return sum(self.cells.get(c, 0) for c in {c for c, _ in self.live})
 
     def dumped(self) -> list[list]:
         return [[*key, *value] for key, value in sorted(self.live.items())]
@@ -79,7 +85,7 @@ def log_state(log: Folder, below: int | None = None) -> State:
     """The state after all entries, or those below a number."""
     known = [n for n in numbers(log) if below is None or n < below]
     whole = [n for n in known if n % SNAPSHOT == 0]
-    state = State({}, 0, None, {})
+    state = State({}, 0, None, {}, {})
     for number in known:
         if whole and number < whole[-1]:
             continue
@@ -88,7 +94,9 @@ def log_state(log: Folder, below: int | None = None) -> State:
         if "live" in found:
             state.live = {(c, d): (w, b, m) for c, d, w, b, m in found["live"]}
             state.writers = {w: (b, m) for w, b, m in found["writers"]}
+            state.cells = found.get("cells", {})
             continue
+        state.cells.update(found.get("cells", {}))
         if found.get("named"):
             state.writers[found["begin"][0]] = (found["begin"][1], found["made"])
         for key in found.get("remove", ()):
@@ -110,17 +118,29 @@ def _log(log: Folder, change) -> dict:
                 state.live[c, d] = (w, b, m)
             if made.get("named"):
                 state.writers[made["begin"][0]] = (made["begin"][1], made["made"])
-            made = made | {"live": state.dumped(), "writers": [[w, *x] for w, x in sorted(state.writers.items())]}
+            made = made | {"live": state.dumped(), "writers": [[w, *x] for w, x in sorted(state.writers.items())],
+                           "cells": {c: n for c, n in (state.cells | made.get("cells", {})).items() if c in {c for c, _ in state.live}}}
         return made
     return append(log, make)
 
 
+def _cells(df: DataFrame) -> int:
+    """How much there is to write: a value counts for one, and so does a row."""
+    return df.agg(F.sum(F.greatest(F.size("fields"), F.lit(0)) + 1)).first()[0] or 0
+
+
+def _dealt(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
+    """Rows by bucket. A task has one bucket, or part of one where there is much to write: a number of tasks that is a
+    multiple of that of buckets cuts each bucket by itself."""
+    return rows.repartition(buckets * max(1, -(-cells // (buckets * CELLS))), "slot")
+
+
 def _store(rows: DataFrame, base: str, buckets: int) -> tuple[str, list[str]]:
-    """Write stored rows to a new folder, by day and bucket; its commit id and days."""
+    """Write stored rows, dealt by bucket, to a new folder, by day and bucket; its commit id and days."""
     spark, commit = rows.sparkSession, uuid.uuid4().hex
     name = f"pulsegrid_write_{commit}"
-    # a task has one bucket, so a day of a commit has a file for each bucket at most; Parquet skips by name
-    (rows.repartition(buckets, "slot").write.format("parquet").partitionBy("d").bucketBy(buckets, "slot")
+    # a task has one bucket at most, so a day of a commit has a file for each task at most; Parquet skips by name
+    (rows.write.format("parquet").partitionBy("d").bucketBy(buckets, "slot")
      .sortBy("name", "ts").option("path", f"{base}/data/commit={commit}").saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")  # the files stay
     days = [n[2:] for n in Folder(spark, f"{base}/data").names(f"commit={commit}") if n.startswith("d=")]
@@ -129,12 +149,14 @@ def _store(rows: DataFrame, base: str, buckets: int) -> tuple[str, list[str]]:
 
 def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
                  database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION,
-                 writer: str | None = None, buckets: int = BUCKETS) -> None:
+                 writer: str | None = None, buckets: int | None = None) -> None:
     """Commit one batch of measurements.
 
     ``writer`` names who writes, and writing the same batch of the same writer again replaces it, so a retried batch
     leaves no copies. Without a writer the write is one of its own and replaces nothing. ``order`` ranks the
-    writes within the batch. ``buckets`` counts for a new store only.
+    writes within the batch. ``buckets`` counts for a new store only; without it, a new store has as many as its
+    first write needs, so that a reader's task has its share however much there is. What is written is counted first,
+    so ``df`` is read twice unless it is persisted.
     """
     spark, base = df.sparkSession, points_path(path, database, retention)
     log, named, writer = Folder(spark, f"{base}/_log"), writer is not None, writer or uuid.uuid4().hex
@@ -146,6 +168,8 @@ def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
         return {"begin": [writer, batch], "named": named, "made": made, "last": max(made, state.last),
                 "buckets": state.buckets or buckets}
 
+    cells = _cells(df)
+    buckets = buckets or max(BUCKETS, -(-cells // CELLS))
     begun = _log(log, begin)
     hour = F.floor(F.unix_seconds("ts") / SLOT)
     rows = promote_tags(df.withColumn("ts", truncate_millis(F.col("ts")))
@@ -154,12 +178,12 @@ def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
     rows = rows.select("*", F.lit(begun["made"]).cast("bigint").alias("made"), F.lit(writer).alias("writer"),
                        F.lit(batch).cast("bigint").alias("batch"),
                        F.xxhash64("name", tag_entries("tags"), hour).alias("slot"), utc_day(F.col("ts")).alias("d"))
-    commit, days = _store(rows, base, begun["buckets"])
+    commit, days = _store(_dealt(rows, begun["buckets"], cells), base, begun["buckets"])
 
     def end(state: State) -> dict:
         return {"add": [[commit, day, writer, batch, begun["made"]] for day in days],
                 "remove": [key for key, (w, b, _) in state.live.items() if (w, b) == (writer, batch)],
-                "last": state.last, "buckets": state.buckets}
+                "last": state.last, "buckets": state.buckets, "cells": {commit: cells}}
 
     _log(log, end)
 
@@ -172,18 +196,19 @@ def stored_points(spark: SparkSession, path: str, database: str = DEFAULT_DATABA
 
 
 def _live(spark: SparkSession, base: str, state: State, days: set[str] | None = None) -> DataFrame:
-    """The stored rows of the live folders (of some days)."""
+    """The stored rows of the live folders (of some days), by bucket; where these hold too much, dealt to more tasks."""
     keys = sorted(k for k in state.live if days is None or k[1] in days)
     if not keys:
         return spark.createDataFrame([], POINT_SCHEMA)
-    name = "pulsegrid_points_" + md5(repr((base, keys)).encode()).hexdigest()
+    grown = state.held() > GROWN * CELLS * state.buckets
+    name = "pulsegrid_points_" + md5(repr((base, keys, grown)).encode()).hexdigest()
     if not spark.catalog.tableExists(name):
         columns = ", ".join(c.strip() for c in POINT_SCHEMA.split(", "))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (commit, d) "
-                  f"CLUSTERED BY (slot) INTO {state.buckets} BUCKETS LOCATION '{base}/data'")
+                  + ("" if grown else f"CLUSTERED BY (slot) INTO {state.buckets} BUCKETS ") + f"LOCATION '{base}/data'")
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS "
                   + " ".join(f"PARTITION (commit='{c}', d='{d}')" for c, d in keys))
-    return spark.table(name)
+    return spark.table(name).repartition(-(-state.held() // CELLS), "slot") if grown else spark.table(name)
 
 
 def resolved(stored: DataFrame) -> DataFrame:
@@ -248,13 +273,15 @@ def _compacted(spark: SparkSession, base: str, before: str) -> bool:
     if not days:
         return True
     inputs = sorted(k for k in state.live if k[1] in days)
-    commit, written = _store(winners(_live(spark, base, state, days)), base, state.buckets)
+    cells = sum(state.cells.get(c, 0) for c in {c for c, _ in inputs})  # at most
+    left = winners(_live(spark, base, state, days))
+    commit, written = _store(_dealt(left, state.buckets, cells), base, state.buckets)
 
     def swap(now: State) -> dict:
         if any(k not in now.live for k in inputs):
             raise Conflict
         return {"add": [[commit, day, f"compaction-{commit}", 0, 0] for day in written], "remove": inputs,
-                "last": now.last, "buckets": now.buckets}
+                "last": now.last, "buckets": now.buckets, "cells": {commit: cells}}
 
     try:
         _log(log, swap)
@@ -266,9 +293,10 @@ def _compacted(spark: SparkSession, base: str, before: str) -> bool:
 def _copy(spark: SparkSession, base: str, state: State, target: str) -> None:
     log = Folder(spark, f"{target}/_log")
     begun = _log(log, lambda s: {"last": max(s.last, state.last), "buckets": s.buckets or state.buckets or BUCKETS})
-    commit, days = _store(winners(_live(spark, base, state)), target, begun["buckets"])
+    cells = state.held()  # at most
+    commit, days = _store(_dealt(winners(_live(spark, base, state)), begun["buckets"], cells), target, begun["buckets"])
     _log(log, lambda s: {"add": [[commit, day, f"compaction-{commit}", 0, 0] for day in days], "last": s.last,
-                         "buckets": s.buckets})
+                         "buckets": s.buckets, "cells": {commit: cells}})
 
 
 def drop_replaced(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE, retention: str = DEFAULT_RETENTION,

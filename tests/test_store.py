@@ -254,3 +254,24 @@ def test_redelivered_copies_take_no_state(spark, tmp_path):
         states = [s.numRowsTotal for s in job.recentProgress[0].stateOperators]
         found = [(r.ts, str(sorted(r.tags.items(), key=str)), r.fields["x"]) for r in spark.read.parquet(out).collect()]
         assert (len(found), len(set(found)), states) == (83, 83, [83])
+
+
+def test_large_stores_have_more_buckets_and_tasks(spark, tmp_path, monkeypatch):
+    """A task's share of a store stays, whether its first write is large or later ones are, also through compaction."""
+    monkeypatch.setattr(store, "CELLS", 50)
+    rows = [point(k % 48, "a", {"x": float(k), "y": 1.0}, t=str(k)) for k in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first, grown, target = (str(tmp_path / p) for p in ("first", "grown", "target"))
+    write_points(df, first, 0)
+    assert read_points(spark, first).rdd.getNumPartitions() == 24  # 400 rows of two values, 50 for each
+    write_points(df.limit(1), grown, 0)
+    for batch in range(3):
+        write_points(df.withColumn("fields", F.create_map(F.lit("x"), F.lit(float(batch)))), grown, 1 + batch, writer="w")
+    assert read_points(spark, grown).rdd.getNumPartitions() == 49
+    late = [r.fields["x"] for r in read_points(spark, grown).select("fields").collect()]
+    assert late == [2.0] * 400
+    compact_points(spark, grown, target)
+    assert flat(read_points(spark, target)) == flat(read_points(spark, grown))
+    compact_points(spark, grown)
+    assert flat(read_points(spark, target)) == flat(read_points(spark, grown))
+    assert stored_points(spark, grown).groupBy("commit", "d").count().groupBy("d").count().filter("count > 1").count() == 0

@@ -106,12 +106,15 @@ def drop_redelivered(df: DataFrame, delay: str = "10 minutes",
 def delivery_code() -> dict[str, Column]:
     """What a delivery says (name, tags, time and fields) as 128 bits, in two numbers.
 
-    Hashes pass over nulls, so these count by their places. By chance, one pair among 10^12 deliveries would agree with
+    Hashes pass over nulls and the sign of a zero, so these count by their places. By chance, one pair among 10^12 deliveries would agree with
     a probability of about 10^-15.
     """
-    nulls = [F.transform(tag_entries(m), lambda e: e["value"].isNull()) for m in ("tags", "fields")]
-    said = [F.col("name").isNull(), F.col("name"), F.size("tags"), F.size("fields"), F.unix_micros("ts"), *nulls,
-            tag_entries("tags"), tag_entries("fields")]
+    def mark(v: Column) -> Column:
+        return F.when(v.isNull(), 0).when(v == 0, F.when(v.cast("string") == "-0.0", 1).otherwise(2)).otherwise(3)
+
+    said = [F.col("name").isNull(), F.col("name"), F.size("tags"), F.size("fields"), F.unix_micros("ts"),
+            F.transform(tag_entries("tags"), lambda e: e["value"].isNull()),
+            F.transform(tag_entries("fields"), lambda e: mark(e["value"])), tag_entries("tags"), tag_entries("fields")]
     return {f"_copy{k}": F.xxhash64(F.lit(k), *said) for k in (1, 2)}
 
 

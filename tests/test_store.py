@@ -243,6 +243,7 @@ def test_redelivered_copies_take_no_state(spark, tmp_path):
     rows = [(*point(k % 24, "a", {"x": float(k)}, t=t), copy) for k in range(40) for t in ("u", None) for copy in range(3)]
     rows += [(dt.datetime(2024, 1, 1), "a", tags, {"x": 0.0}, copy) for copy in range(3)
              for tags in ({"b": None, "c": "d"}, {"b": "c", "d": None}, {})]
+    rows += [(dt.datetime(2024, 1, 1), "a", {}, {"x": x}, copy) for copy in range(3) for x in (-0.0, float("nan"), None)]
     df = spark.createDataFrame(rows, SCHEMA + ", place int")
     df.repartition(3).write.parquet(str(tmp_path / "in"))
     for spread in (None, ["place"]):
@@ -252,8 +253,8 @@ def test_redelivered_copies_take_no_state(spark, tmp_path):
             "checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start()
         job.awaitTermination()
         states = [s.numRowsTotal for s in job.recentProgress[0].stateOperators]
-        found = [(r.ts, str(sorted(r.tags.items(), key=str)), r.fields["x"]) for r in spark.read.parquet(out).collect()]
-        assert (len(found), len(set(found)), states) == (83, 83, [83])
+        found = [(r.ts, str(sorted(r.tags.items(), key=str)), str(r.fields["x"])) for r in spark.read.parquet(out).collect()]
+        assert (len(found), len(set(found)), states) == (86, 86, [86])
 
 
 def test_large_stores_have_more_buckets_and_tasks(spark, tmp_path, monkeypatch):

@@ -276,3 +276,36 @@ def test_large_stores_have_more_buckets_and_tasks(spark, tmp_path, monkeypatch):
     compact_points(spark, grown)
     assert flat(read_points(spark, target)) == flat(read_points(spark, grown))
     assert stored_points(spark, grown).groupBy("commit", "d").count().groupBy("d").count().filter("count > 1").count() == 0
+
+
+def test_a_batch_is_decoded_by_size_not_by_file(spark, tmp_path, monkeypatch):
+    """Records of one file go to several tasks, and only rejects keep their payload there."""
+    from pulsegrid.streaming import jobs
+    topic, out, seen = str(tmp_path / "topic"), str(tmp_path / "out"), []
+    rows = [point(k % 48, f"n{k}", {"x": float(k)}) for k in range(2000)]
+    write_topic(spark.createDataFrame(rows, SCHEMA).coalesce(1), format="parquet", path=str(tmp_path / "many"))
+    bad = spark.range(1).selectExpr("cast(null as binary) AS key", "cast('?' as binary) AS value", "'metrics' AS topic", "0 AS partition",
+                                    "-1L AS offset", "current_timestamp() AS timestamp")
+    records = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "many"))
+    records.unionByName(bad).coalesce(1).write.parquet(topic)
+
+    def split(decoded):
+        kept = decoded.select(F.spark_partition_id().alias("part"), "error", "payload").collect()
+        seen.append((len({r.part for r in kept}), sum(r.payload is not None for r in kept), sum(r.error is not None for r in kept)))
+        return split_rejects(decoded)
+
+    monkeypatch.setattr(jobs, "split_rejects", split)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                                   "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    for key in before:
+        spark.conf.set(key, "8k")
+    try:
+        stream = spark.readStream.schema(spark.read.parquet(topic).schema).parquet(topic)
+        load_topic_to_points(stream, out, str(tmp_path / "checkpoint"), None).awaitTermination()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    (tasks, payloads, errors), = seen
+    assert tasks > 1 and payloads == errors == 1
+    assert read_points(spark, out).count() == 2000
+    assert [bytes(r.payload) for r in spark.read.parquet(f"{out}/rejects").collect()] == [b"?"]

@@ -215,3 +215,18 @@ def test_decoding_does_not_shuffle_and_reads_once(spark, tmp_path):
     df = split_rejects(decode_envelope(spark.read.parquet(str(tmp_path / "t"))))[0]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("FileScan") == 1 and plan.count("ArrowEvalPython") == 1
+
+
+def test_the_encoder_leaves_null_values_out():
+    tags, fields = pa.map_(pa.string(), pa.string()), pa.map_(pa.string(), pa.float64())
+
+    def encoded(*rows):
+        ms, names, tag_maps, field_maps = (list(c) for c in zip(*rows))
+        return encode_batch(pa.array(ms, pa.int64()), pa.array(names), pa.array(tag_maps, tags), pa.array(field_maps, fields)).to_pylist()
+
+    nulls = [(1, "a", [("k", None), ("l", "x")], [("f", 1.0), ("g", None), ("h", 2.0)]), (2, "b", [("k", None)], [("f", None)]),
+             (3, "c", None, [("f", 0.5)]), (4, "d", [("k", ""), ("m", None)], [])]
+    without = [(1, "a", [("l", "x")], [("f", 1.0), ("h", 2.0)]), (2, "b", [], []), (3, "c", [], [("f", 0.5)]), (4, "d", [("k", "")], [])]
+    assert encoded(*nulls) == encoded(*without)
+    read = decode_batch(pa.array(encoded(*nulls))).to_pylist()
+    assert [(r["ms"], r["tags"], r["fields"]) for r in read] == [(ms, t, f) for ms, _, t, f in without]

@@ -39,6 +39,7 @@ DEFAULT_RETENTION = "default"
 BUCKETS = 8      # of a store that is new, at least
 CELLS = 500_000  # values (and one a row) for each bucket of a new store, and for each task of a write
 GROWN = 4        # times that much in a bucket, readers no longer take a bucket for a task
+STREAMED = 200   # tasks, at most, to which a shuffle sends rows without holding them (unless the session says another number)
 SLOT = 3600      # seconds of a series that lie in one bucket
 SNAPSHOT = 50    # every so many entries one has the whole state
 RANK = ("made", "writer", "batch", "seq")
@@ -129,10 +130,23 @@ def _cells(df: DataFrame) -> int:
     return df.agg(F.sum(F.greatest(F.size("fields"), F.lit(0)) + 1)).first()[0] or 0
 
 
-def _dealt(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
-    """Rows by bucket. A task has one bucket, or part of one where there is much to write: a number of tasks that is a
-    multiple of that of buckets cuts each bucket by itself."""
-    return rows.repartition(buckets * max(1, -(-cells // (buckets * CELLS))), "slot")
+def _tasks(buckets: int, cells: int) -> int:
+    """A task has one bucket, or part of one where there is much to write: a number of tasks that is a multiple of that of
+    buckets cuts each bucket by itself."""
+    return buckets * max(1, -(-cells // (buckets * CELLS)))
+
+
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows by slot, from senders of any size. Beyond some number of tasks a sender holds all that it sends in memory, so
+    rows go to that number first, and from there on in steps of which none has senders with more than a few shares."""
+    most = int(rows.sparkSession.conf.get("spark.shuffle.sort.bypassMergeThreshold", str(STREAMED)))
+    steps = [tasks]
+    while steps[0] > most > 0:
+        steps.insert(0, max(most, -(-steps[0] // GROWN)))
+    for step in steps[:-1]:
+        # by a column of its own: Spark drops a repartition that stands directly below another
+        rows = rows.withColumn("_to", F.col("slot")).repartition(step, "_to").drop("_to")
+    return rows.repartition(tasks, "slot")
 
 
 def _store(rows: DataFrame, base: str, buckets: int) -> tuple[str, list[str]]:
@@ -172,13 +186,14 @@ def write_points(df: DataFrame, path: str, batch: int, order: str | None = None,
     buckets = buckets or max(BUCKETS, -(-cells // CELLS))
     begun = _log(log, begin)
     hour = F.floor(F.unix_seconds("ts") / SLOT)
-    rows = promote_tags(df.withColumn("ts", truncate_millis(F.col("ts")))
-                        .withColumn("seq", F.lit(0) if order is None else F.col(order))
-                        .select("ts", "name", "tags", "fields", F.col("seq").cast("bigint")))
-    rows = rows.select("*", F.lit(begun["made"]).cast("bigint").alias("made"), F.lit(writer).alias("writer"),
-                       F.lit(batch).cast("bigint").alias("batch"),
-                       F.xxhash64("name", tag_entries("tags"), hour).alias("slot"), utc_day(F.col("ts")).alias("d"))
-    commit, days = _store(_dealt(rows, begun["buckets"], cells), base, begun["buckets"])
+    rows = (df.withColumn("ts", truncate_millis(F.col("ts"))).withColumn("seq", F.lit(0) if order is None else F.col(order))
+            .select("ts", "name", "tags", "fields", F.col("seq").cast("bigint"),
+                    F.xxhash64("name", tag_entries("tags"), hour).alias("slot")))
+    # what follows from the row or is the same in all of them is added behind the shuffle
+    rows = promote_tags(_dealt(rows, _tasks(begun["buckets"], cells))).select(
+        "*", F.lit(begun["made"]).cast("bigint").alias("made"), F.lit(writer).alias("writer"),
+        F.lit(batch).cast("bigint").alias("batch"), utc_day(F.col("ts")).alias("d"))
+    commit, days = _store(rows, base, begun["buckets"])
 
     def end(state: State) -> dict:
         return {"add": [[commit, day, writer, batch, begun["made"]] for day in days],
@@ -208,7 +223,7 @@ def _live(spark: SparkSession, base: str, state: State, days: set[str] | None =
                   + ("" if grown else f"CLUSTERED BY (slot) INTO {state.buckets} BUCKETS ") + f"LOCATION '{base}/data'")
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS "
                   + " ".join(f"PARTITION (commit='{c}', d='{d}')" for c, d in keys))
-    return spark.table(name).repartition(-(-state.held() // CELLS), "slot") if grown else spark.table(name)
+    return _dealt(spark.table(name), -(-state.held() // CELLS)) if grown else spark.table(name)
 
 
 def resolved(stored: DataFrame) -> DataFrame:
@@ -275,7 +290,7 @@ def _compacted(spark: SparkSession, base: str, before: str) -> bool:
     inputs = sorted(k for k in state.live if k[1] in days)
     cells = sum(state.cells.get(c, 0) for c in {c for c, _ in inputs})  # at most
     left = winners(_live(spark, base, state, days))
-    commit, written = _store(_dealt(left, state.buckets, cells), base, state.buckets)
+    commit, written = _store(left.repartition(_tasks(state.buckets, cells), "slot"), base, state.buckets)
 
     def swap(now: State) -> dict:
         if any(k not in now.live for k in inputs):
@@ -294,7 +309,8 @@ def _copy(spark: SparkSession, base: str, state: State, target: str) -> None:
     log = Folder(spark, f"{target}/_log")
     begun = _log(log, lambda s: {"last": max(s.last, state.last), "buckets": s.buckets or state.buckets or BUCKETS})
     cells = state.held()  # at most
-    commit, days = _store(_dealt(winners(_live(spark, base, state)), begun["buckets"], cells), target, begun["buckets"])
+    left = winners(_live(spark, base, state))
+    commit, days = _store(left.repartition(_tasks(begun["buckets"], cells), "slot"), target, begun["buckets"])
     _log(log, lambda s: {"add": [[commit, day, f"compaction-{commit}", 0, 0] for day in days], "last": s.last,
                          "buckets": s.buckets, "cells": {commit: cells}})
 

@@ -309,3 +309,30 @@ def test_a_batch_is_decoded_by_size_not_by_file(spark, tmp_path, monkeypatch):
     assert tasks > 1 and payloads == errors == 1
     assert read_points(spark, out).count() == 2000
     assert [bytes(r.payload) for r in spark.read.parquet(f"{out}/rejects").collect()] == [b"?"]
+
+
+def test_many_tasks_are_reached_in_steps(spark, tmp_path, monkeypatch):
+    """What a sender of a large write holds does not follow its input: no shuffle goes from the input to more than 200 tasks."""
+    plans = []
+    monkeypatch.setattr(store, "CELLS", 2)
+    rows = [point(k % 48, "a", {"x": float(k), "y": 1.0}, t=str(k)) for k in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    with monkeypatch.context() as within:
+        within.setattr(store, "_store", lambda rows, *_: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), ("c", []))[1])
+        write_points(df, str(tmp_path / "planned"), 0)
+    widths = [int(line.split("REPARTITION_BY_NUM")[0].rstrip(" ,)").rsplit(" ", 1)[1]) for line in plans[0].splitlines() if "REPARTITION_BY_NUM" in line]
+    assert widths == [900, 225, 200]  # the last one first
+    # the same points by steps, also where a store has outgrown its buckets
+    monkeypatch.setattr(store, "CELLS", 40)
+    some, late = spark.createDataFrame(rows[:200], SCHEMA), F.create_map(F.lit("x"), F.lit(-1.0))
+    for most in (200, 3):
+        monkeypatch.setattr(store, "STREAMED", most)
+        path = str(tmp_path / f"most-{most}")
+        write_points(spark.createDataFrame(rows[:1], SCHEMA), path, 0)
+        write_points(some, path, 1)
+        write_points(some.withColumn("fields", late), path, 2)
+        write_points(some.withColumn("fields", late), path, 3)
+        found = read_points(spark, path)
+        assert found.rdd.getNumPartitions() == 36  # 1403 values and rows, 40 for each
+        assert sorted(r.tags["t"] for r in found.collect()) == sorted(str(k) for k in range(200))
+        assert all(r.fields == {"x": -1.0, "y": 1.0} for r in found.collect())
